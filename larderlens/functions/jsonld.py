@@ -12,18 +12,25 @@ _LD_TYPE = "application/ld+json"
 
 # One pass over a page. Comments and raw-text elements are consumed whole, whichever opens first, so a
 # block inside a comment is not seen and a comment mark inside a script does not hide what follows.
-# Group 1 is the body of a JSON-LD script and empty for everything else.
+# Group 1 is the body of a JSON-LD script and empty for everything else. Possessive loops keep the pass
+# linear and the stack flat on long bodies.
 _ATTRIBUTES = r"""(?:[^>"'\s/]++|[\s/]|"[^"]*+"|'[^']*+')*?"""
 _LD_VALUE = r"""(?:"application/ld\+json"|'application/ld\+json'|application/ld\+json(?=[\s>/]))"""
+_LD_TAG = rf"""(?=[\s/]){_ATTRIBUTES}(?<=[\s/"'])(?i:type)\s*=\s*{_LD_VALUE}{_ATTRIBUTES}>"""
+
+
+def _until(closing: str) -> str:
+    return rf"(?:[^<]++|<(?!/(?i:{closing})))*+"
+
+
 _PAGE_PARTS = (
-    r"(?s)<!--.*?(?:-->|\z)"
-    rf"""|<(?i:script)(?=[\s/]){_ATTRIBUTES}(?<=[\s/"'])(?i:type)\s*=\s*{_LD_VALUE}{_ATTRIBUTES}>"""
-    r"(.*?)(?:</(?i:script)[^>]*>|\z)"
-    r"|<(?i:(script|style))\b[^>]*>.*?(?:</(?i:\2)[^>]*>|\z)"
+    r"<(?:!--(?:[^-]++|-(?!->))*+"
+    rf"|(?i:script)(?:{_LD_TAG}({_until('script')})|\b[^>]*+>{_until('script')})"
+    rf"|(?i:style)\b[^>]*+>{_until('style')})"
 )
 
-# JSON texts that count as "no value".
-_FALSY = r'^(?:null|false|""|\[\]|\{\}|-?0(?:\.0*)?(?:E[+-]?\d+)?)$'
+# A JSON text counts as "no value" when its type is not string and it reads like one of these; so does "".
+_EMPTY_LOOKING = r"^(?:|null|false|\[\]|\{\}|-?0(?:\.0*)?(?:E[+-]?\d+)?)$"
 
 
 def jsonld_blocks(html: Column) -> Column:
@@ -75,17 +82,15 @@ def _is_string(node: Column) -> Column:
     return F.schema_of_variant(node) == "STRING"
 
 
-def _is_list(node: Column) -> Column:
-    return F.schema_of_variant(node).startswith("ARRAY")
-
-
 def _text(node: Column) -> Column:
     """The value of a JSON string; null for every other type."""
     return F.when(_is_string(node), _get(node, "$", "string"))
 
 
-def _is_falsy(node: Column) -> Column:
-    return node.isNull() | F.to_json(node).rlike(_FALSY)
+def _any_text(node: Column) -> Column:
+    """A value as text, null for the values that count as none: null, false, 0, "", [] and {}."""
+    text = _get(node, "$", "string")
+    return F.when(~text.rlike(_EMPTY_LOOKING) | ((text != "") & _is_string(node)), text)
 
 
 def _first(node: Column) -> Column:
@@ -93,36 +98,51 @@ def _first(node: Column) -> Column:
     return F.coalesce(_get(node, "$[0]"), node)
 
 
-def title(recipe: Column) -> Column:
-    return blank_to_null(strip(_text(_get(recipe, "$.name"))))
+# Readers take the recipe node and fetch what a field is made from; finishers turn that into the value.
+# They run as two projections, so a node is fetched once however often the rule looks at it.
 
 
-def description(recipe: Column) -> Column:
-    node = _get(recipe, "$.description")
-    return F.when(~_is_falsy(node), clean_text(_get(node, "$", "string")))
+def read_text(field: str):
+    return lambda recipe: _text(_get(recipe, f"$.{field}"))
 
 
-def image_url(recipe: Column) -> Column:
-    """A string, the `url` of an object, or the same of the first item of a list (two levels)."""
-    node = _first(_first(_get(recipe, "$.image")))
-    return F.coalesce(blank_to_null(_text(node)), _get(node, "$.url", "string"))
+def read_any(field: str):
+    return lambda recipe: _any_text(_get(recipe, f"$.{field}"))
 
 
-def _label(node: Column) -> Column:
-    return _text(_first(node))
+def read_first_text(field: str):
+    return lambda recipe: _text(_first(_get(recipe, f"$.{field}")))
 
 
-def cuisine_plain(recipe: Column) -> Column:
-    """`recipeCuisine`, first value, title-cased."""
-    return blank_to_null(title_case(strip(_label(_get(recipe, "$.recipeCuisine")))))
+def read_first_any(field: str):
+    return lambda recipe: _any_text(_first(_get(recipe, f"$.{field}")))
 
 
-def cuisine_or_category(recipe: Column) -> Column:
-    """`recipeCuisine`, else `recipeCategory` without its generic words."""
-    category = F.regexp_replace(
-        _label(_get(recipe, "$.recipeCategory")), rf"(?iU)\b(?:{lexicon.CATEGORY_NOISE})\b", ""
-    )
-    return F.coalesce(cuisine_plain(recipe), blank_to_null(title_case(strip(category))))
+def read_first_node(field: str):
+    """The node itself, or what is left of it after taking item 0 twice."""
+    return lambda recipe: _first(_first(_get(recipe, f"$.{field}")))
+
+
+def read_list(field: str):
+    return lambda recipe: _get(recipe, f"$.{field}", "array<variant>")
+
+
+def title(name: Column) -> Column:
+    return blank_to_null(strip(name))
+
+
+def image_url(node: Column) -> Column:
+    """A string, or the `url` of an object."""
+    return F.coalesce(blank_to_null(_text(node)), _get(node, "$.url", "string"))
+
+
+def cuisine(label: Column) -> Column:
+    return blank_to_null(title_case(strip(label)))
+
+
+def category_cuisine(label: Column) -> Column:
+    """A category without its generic words, as a cuisine."""
+    return cuisine(F.regexp_replace(label, rf"(?iU)\b(?:{lexicon.CATEGORY_NOISE})\b", ""))
 
 
 def _amount(duration: Column, letter: str) -> Column:
@@ -136,20 +156,12 @@ def minutes(duration: Column) -> Column:
     return F.when(timed, F.try_add(F.try_multiply(_amount(duration, "H"), F.lit(60)), _amount(duration, "M")))
 
 
-def duration(recipe: Column, field: str) -> Column:
-    return minutes(_text(_get(recipe, f"$.{field}")))
-
-
-def servings(recipe: Column) -> Column:
-    """First run of digits of `recipeYield` or of its first item."""
-    node = _get(recipe, "$.recipeYield")
-    item = F.when(_is_list(node), _get(node, "$[0]")).otherwise(node)
-    digits = F.regexp_extract(_get(item, "$", "string"), r"\d+", 0)
-    return F.when(~_is_falsy(item), blank_to_null(digits).try_cast("bigint"))
+def servings(text: Column) -> Column:
+    """The first run of digits."""
+    return blank_to_null(F.regexp_extract(text, r"\d+", 0)).try_cast("bigint")
 
 
-def ingredient_lines(recipe: Column) -> Column:
-    """The non-empty items of `recipeIngredient` as stripped strings; anything but a list gives none."""
-    items = F.filter(_get(recipe, "$.recipeIngredient", "array<variant>"), lambda item: ~_is_falsy(item))
-    lines = F.transform(items, lambda item: strip(_get(item, "$", "string")))
-    return F.coalesce(lines, F.array().cast("array<string>"))
+def ingredient_lines(items: Column) -> Column:
+    """The non-empty items as stripped strings; no list gives no lines. A blank string stays, as ""."""
+    lines = F.filter(F.transform(items, _any_text), lambda text: text.isNotNull())
+    return F.coalesce(F.transform(lines, strip), F.array().cast("array<string>"))

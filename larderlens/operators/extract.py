@@ -10,16 +10,19 @@ from larderlens.functions import jsonld
 
 _INT_MAX = 2**31 - 1
 
+# Field -> (reader of the recipe node, finisher of what was read).
 FIELDS = {
-    "title": jsonld.title,
-    "description": jsonld.description,
-    "prep_time": lambda r: jsonld.duration(r, "prepTime"),
-    "cook_time": lambda r: jsonld.duration(r, "cookTime"),
-    "total_time": lambda r: jsonld.duration(r, "totalTime"),
-    "servings": jsonld.servings,
-    "image_url": jsonld.image_url,
-    "ingredients": jsonld.ingredient_lines,
+    "title": (jsonld.read_text("name"), jsonld.title),
+    "description": (jsonld.read_any("description"), jsonld.clean_text),
+    "prep_time": (jsonld.read_text("prepTime"), jsonld.minutes),
+    "cook_time": (jsonld.read_text("cookTime"), jsonld.minutes),
+    "total_time": (jsonld.read_text("totalTime"), jsonld.minutes),
+    "servings": (jsonld.read_first_any("recipeYield"), jsonld.servings),
+    "image_url": (jsonld.read_first_node("image"), jsonld.image_url),
+    "ingredients": (jsonld.read_list("recipeIngredient"), jsonld.ingredient_lines),
+    "cuisine": (jsonld.read_first_text("recipeCuisine"), jsonld.cuisine),
 }
+_CATEGORY = jsonld.read_first_text("recipeCategory")
 
 
 def pick_recipes(pages: DataFrame) -> DataFrame:
@@ -32,25 +35,22 @@ def pick_recipes(pages: DataFrame) -> DataFrame:
     return pages.select(*kept, F.explode_outer(jsonld.recipe_nodes(F.col("html"))).alias("recipe"))
 
 
-def cuisine(recipe: Column, source: Column, category_sources: list) -> Column:
-    """The sources listed keep their cuisine in the category field; all others use the plain rule."""
-    if not category_sources:
-        return jsonld.cuisine_plain(recipe)
-    return F.when(source.isin(category_sources), jsonld.cuisine_or_category(recipe)).otherwise(
-        jsonld.cuisine_plain(recipe)
-    )
-
-
 def project_recipes(picked: DataFrame, category_sources: list, fields: list[str] | None = None) -> DataFrame:
-    """Read the named fields (all by default) of `recipe`; other columns pass through."""
+    """Read the named fields (all by default) of `recipe`; other columns pass through.
+
+    A cuisine missing from a page of one of `category_sources` is taken from its category.
+    """
     kept = [c for c in picked.columns if c != "recipe"]
-    recipe = F.col("recipe")
-    wanted = fields or [*FIELDS, "cuisine"]
-    columns = [
-        (cuisine(recipe, F.col("source"), category_sources) if name == "cuisine" else FIELDS[name](recipe)).alias(name)
-        for name in wanted
-    ]
-    return picked.select(*kept, *columns)
+    recipe, wanted = F.col("recipe"), fields or list(FIELDS)
+    by_category = "cuisine" in wanted and bool(category_sources)
+    read = {f"_{name}": FIELDS[name][0](recipe) for name in wanted}
+    if by_category:
+        read["_category"] = F.when(F.col("source").isin(category_sources), _CATEGORY(recipe))
+    finished = {name: FIELDS[name][1](F.col(f"_{name}")) for name in wanted}
+    if by_category:
+        finished["cuisine"] = F.coalesce(finished["cuisine"], jsonld.category_cuisine(F.col("_category")))
+    raw = picked.select(*kept, *[column.alias(name) for name, column in read.items()])
+    return raw.select(*kept, *[column.alias(name) for name, column in finished.items()])
 
 
 def _fault(condition: Column, message: str) -> Column:

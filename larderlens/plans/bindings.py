@@ -61,6 +61,11 @@ def _pick(values: tuple, index: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (index % len(values)).cast("int") + 1)
 
 
+def _spread(spark: SparkSession, rows: DataFrame, key: str) -> DataFrame:
+    """Distribute slim rows before each of them grows into a document: a small file is a single scan task."""
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def recipe_url(key: Column) -> Column:
     return F.concat(F.lit("https://example.org/recipes/"), key.cast("string"))
 
@@ -119,6 +124,7 @@ def pages(spark: SparkSession, sf_dir: str, with_lines: bool = True, with_copies
         base = base.join(_line_lists(spark, sf_dir), F.col("recipe_id") == k, "left")
     else:
         base = base.withColumn("items", F.lit(""))
+    base = _spread(spark, base, "o_orderkey")
     copies = F.when((k % 10 == 0) & F.lit(with_copies), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     base = base.select("o_orderkey", "o_custkey", "items", F.explode(copies).alias("arrival"))
 

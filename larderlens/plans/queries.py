@@ -156,6 +156,15 @@ def _tag_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.dietary_tag_links(_masks(spark, sf_dir), seeds.dietary_tags(spark))
 
 
+def _both_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Allergen and tag links from the same masks."""
+    masks = _masks(spark, sf_dir)
+    return (
+        rollup.allergen_links(masks, seeds.allergens(spark)),
+        rollup.dietary_tag_links(masks, seeds.dietary_tags(spark)),
+    )
+
+
 @_query
 def normalise_ingredients(spark, sf_dir):
     flagged = matching.flag_lines(b.lines(spark, sf_dir))
@@ -284,8 +293,7 @@ def require_tags(spark, sf_dir):
 def _safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.filter_recipes(
         b.recipes(spark, sf_dir),
-        _allergen_links(spark, sf_dir),
-        _tag_links(spark, sf_dir),
+        *_both_links(spark, sf_dir),
         seeds.allergens(spark),
         seeds.dietary_tags(spark),
         search.Filters(exclude_allergens="dairy,egg", dietary_tags="vegetarian", max_total_time=60),
@@ -308,8 +316,7 @@ def recipe_summary(spark, sf_dir):
     """All recipes with their allergens and tags."""
     nested = search.summaries(
         b.recipes(spark, sf_dir),
-        _allergen_links(spark, sf_dir),
-        _tag_links(spark, sf_dir),
+        *_both_links(spark, sf_dir),
         seeds.allergens(spark),
         seeds.dietary_tags(spark),
     )
@@ -331,8 +338,7 @@ def recipe_detail(spark, sf_dir):
     nested = search.details(
         b.recipes(spark, sf_dir),
         b.wanted_ids(spark, sf_dir),
-        _allergen_links(spark, sf_dir),
-        _tag_links(spark, sf_dir),
+        *_both_links(spark, sf_dir),
         seeds.allergens(spark),
         seeds.dietary_tags(spark),
         bridge.withColumns({c: nothing for c in ("quantity", "unit", "preparation")}),
@@ -464,11 +470,12 @@ def dq_domains(spark, sf_dir):
 @_query
 def cascade_delete(spark, sf_dir):
     """Rows per recipe left in each table after every tenth recipe was deleted."""
+    allergen_links, tag_links = _both_links(spark, sf_dir)
     tables = {
         "recipes": b.recipes(spark, sf_dir),
         "recipe_ingredients": rollup.bridge(b.lines(spark, sf_dir)),
-        "recipe_allergens": _allergen_links(spark, sf_dir),
-        "recipe_dietary_tags": _tag_links(spark, sf_dir),
+        "recipe_allergens": allergen_links,
+        "recipe_dietary_tags": tag_links,
     }
     deleted = tables["recipes"].where(F.col("id") % 10 == 0).select("id")
     left = quality.delete_recipes(tables, deleted)

@@ -31,6 +31,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "larde
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("LARDERLENS_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
