@@ -1,4 +1,4 @@
-"""Joins that stay balanced when one key holds a large share of the rows."""
+"""Balanced work: few-split scans, and joins in which one key holds a large share of the rows."""
 
 from __future__ import annotations
 
@@ -21,3 +21,12 @@ def attach_by_key(rows: DataFrame, summary: DataFrame, key: str, weight: str) ->
     direct = rows.join(frequent, key)
     shuffled = rows.join(frequent, key, "left_anti").join(summary.where(~is_frequent), key)
     return direct.unionByName(shuffled).drop(weight)
+
+
+def widen(scan: DataFrame, *keys: str) -> DataFrame:
+    """Spread a plain table scan over all cores when it has fewer splits than there are cores.
+
+    Meant for small files in front of costly per-row work. A scan with enough splits is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan

@@ -25,9 +25,14 @@ def new_urls(arrivals: DataFrame, loaded: DataFrame, order: list[str], good: Col
 
 
 def first_rows(arrivals: DataFrame, order: list[str], good: Column, columns: list[str]) -> DataFrame:
-    """(url, *columns) of the first good arrival of every URL, in one pass without a join."""
-    picked = F.min_by(F.struct(*columns), F.struct(*order))
-    return arrivals.where(good).groupBy("url").agg(picked.alias("row")).select("url", "row.*")
+    """(url, *columns) of the first good arrival of every URL, in one pass without a join.
+
+    The condition sits in the aggregate, not in a filter: a filter would move below the projection that
+    computes `good` and compute it once more there.
+    """
+    picked = F.min_by(F.struct(*columns), F.when(good, F.struct(*order)))
+    first = arrivals.groupBy("url").agg(picked.alias("row"))
+    return first.where(F.col("row").isNotNull()).select("url", "row.*")
 
 
 def arrival_status(

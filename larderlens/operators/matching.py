@@ -23,31 +23,37 @@ LOOKUP_ROWS = 50_000
 LOOKUP_LENGTH = 255
 
 
-def _holds_any(text: Column, words: tuple[str, ...]) -> Column:
-    """Whether the text contains a word. The word list is one constant, whatever its length."""
-    listed = F.split(F.lit("|".join(minimal(words))), r"\|")
-    return F.exists(listed, lambda word: F.contains(text, word))
+def _sql(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def category_mask(text: Column, categories: tuple[Category, ...] = CATEGORIES) -> Column:
-    """One bit per category of an already lower-case text, as BIGINT. Exceptions are tried only after a hit."""
-    mask = F.lit(0).cast("bigint")
+def _holds_any(column: str, words: tuple[str, ...]) -> str:
+    return f"exists(array({', '.join(map(_sql, minimal(words)))}), word -> contains({column}, word))"
+
+
+def category_mask(column: str, categories: tuple[Category, ...] = CATEGORIES) -> Column:
+    """One bit per category of a column of lower-case texts, as BIGINT. Exceptions are tried only after a hit.
+
+    Each word list is one constant. Built as text, since some hundred separate literals take the driver longer
+    than a small job runs.
+    """
+    terms = []
     for category in categories:
-        hit = _holds_any(text, category.keywords)
+        hit = _holds_any(column, category.keywords)
         if category.exceptions:
-            hit = hit & ~_holds_any(text, category.exceptions)
-        mask = mask.bitwiseOR(F.when(hit, F.lit(bit(category.name, categories))).otherwise(F.lit(0)).cast("bigint"))
-    return mask
+            hit = f"{hit} AND NOT {_holds_any(column, category.exceptions)}"
+        terms.append(f"CASE WHEN {hit} THEN {bit(category.name, categories)}L ELSE 0L END")
+    return F.expr(" | ".join(terms))
 
 
-def scan_mask(text: Column, categories: tuple[Category, ...] = CATEGORIES) -> Column:
+def scan_mask(column: str, categories: tuple[Category, ...] = CATEGORIES) -> Column:
     """`category_mask` for long texts: one pass over the text whatever the size of the dictionary.
 
     An automaton over all words runs in an Arrow-batched function. It returns the bits of the words seen,
     keywords low and exceptions high; the rule itself stays a column expression.
     """
     if ahocorasick is None:
-        return category_mask(text, categories)
+        return category_mask(column, categories)
     width = len(categories)
     bits: dict[str, int] = {}
     for i, category in enumerate(categories):
@@ -71,7 +77,7 @@ def scan_mask(text: Column, categories: tuple[Category, ...] = CATEGORIES) -> Co
         for batch in batches:
             yield batch.map(seen).astype("int64")
 
-    seen = words_seen(text)
+    seen = words_seen(F.col(column))
     return seen.bitwiseAND(F.bitwise_not(F.shiftright(seen, width))).bitwiseAND(F.lit((1 << width) - 1))
 
 
@@ -88,7 +94,7 @@ def has(mask: Column, name: str) -> Column:
 def flag_names(names: DataFrame) -> DataFrame:
     """Add `normalised` and `mask` to rows with a column `raw`, each matched where it stands."""
     named = names.withColumn("normalised", normalise_ingredient(F.col("raw")))
-    return named.withColumn("mask", category_mask(F.col("normalised")))
+    return named.withColumn("mask", category_mask("normalised"))
 
 
 def flag_lines(lines: DataFrame, lookup_rows: int = LOOKUP_ROWS) -> DataFrame:
@@ -106,7 +112,7 @@ def flag_lines(lines: DataFrame, lookup_rows: int = LOOKUP_ROWS) -> DataFrame:
         "normalised", F.coalesce("known.normalised", normalise_ingredient(F.col("raw")))
     )
     return named.select(
-        *lines.columns, "normalised", F.coalesce("known.mask", category_mask(F.col("normalised"))).alias("mask")
+        *lines.columns, "normalised", F.coalesce("known.mask", category_mask("normalised")).alias("mask")
     )
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larderlens.functions.skew import widen
+
 # The ingredient lines of the golden table, in id order.
 PANTRY = (
     "200g dried spaghetti", "2 large free-range eggs", "3 tbsp olive oil", "1/2 tsp fine sea salt",
@@ -61,11 +63,6 @@ def _pick(values: tuple, index: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (index % len(values)).cast("int") + 1)
 
 
-def _spread(spark: SparkSession, rows: DataFrame, key: str) -> DataFrame:
-    """Distribute slim rows before each of them grows into a document: a small file is a single scan task."""
-    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
-
-
 def recipe_url(key: Column) -> Column:
     return F.concat(F.lit("https://example.org/recipes/"), key.cast("string"))
 
@@ -92,7 +89,8 @@ def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ingredient lines (recipe_id, pos, raw), from line items."""
-    return table(spark, sf_dir, "lineitem").select(
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return widen(items, "l_orderkey").select(
         F.col("l_orderkey").alias("recipe_id"),
         F.col("l_linenumber").alias("pos"),
         _pick(PANTRY, F.col("l_partkey")).alias("raw"),
@@ -119,12 +117,11 @@ def pages(spark: SparkSession, sf_dir: str, with_lines: bool = True, with_copies
     name; of those, every second has no block the first time.
     """
     k = F.col("o_orderkey")
-    base = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    base = widen(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
     if with_lines:
         base = base.join(_line_lists(spark, sf_dir), F.col("recipe_id") == k, "left")
     else:
         base = base.withColumn("items", F.lit(""))
-    base = _spread(spark, base, "o_orderkey")
     copies = F.when((k % 10 == 0) & F.lit(with_copies), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     base = base.select("o_orderkey", "o_custkey", "items", F.explode(copies).alias("arrival"))
 
@@ -171,7 +168,12 @@ def pages(spark: SparkSession, sf_dir: str, with_lines: bool = True, with_copies
 
 def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as fetched (url, source, html): the pages table, which has no recipes."""
-    return table(spark, sf_dir, "pages").select("url", F.lit("1").alias("source"), "html")
+    return widen(table(spark, sf_dir, "pages").select("url", F.lit("1").alias("source"), "html"))
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long texts (doc_id, text)."""
+    return widen(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:

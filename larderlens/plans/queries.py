@@ -194,8 +194,8 @@ def ingredient_allergens(spark, sf_dir):
 @_query
 def dictionary_scan_documents(spark, sf_dir):
     """Every category of every document, over the whole text."""
-    docs = b.table(spark, sf_dir, "documents")
-    masks = docs.select("doc_id", matching.scan_mask(F.lower("text")).alias("mask"))
+    docs = b.documents(spark, sf_dir).select("doc_id", F.lower("text").alias("folded"))
+    masks = docs.select("doc_id", matching.scan_mask("folded").alias("mask"))
     return masks.select("doc_id", F.explode(matching.categories_of(F.col("mask"), CATEGORIES)).alias("category"))
 
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larderlens import schemas
-
 # Names and texts shown to users.
 ALLERGEN_ROWS = [
     (1, "peanuts", "Peanuts", "Includes peanuts and peanut-derived ingredients such as peanut oil or peanut butter"),
@@ -27,12 +25,18 @@ DIETARY_TAG_ROWS = [
 ]
 
 
+def _dimension(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """The rows as a local relation: its size is known when joins are planned, so it is broadcast by size."""
+    values = ", ".join(f"({key}, '{name}', '{display}', '{text}')" for key, name, display, text in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS rows(id, name, display_name, description)")
+
+
 def allergens(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ALLERGEN_ROWS, schemas.DIMENSION)
+    return _dimension(spark, ALLERGEN_ROWS)
 
 
 def dietary_tags(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DIETARY_TAG_ROWS, schemas.DIMENSION)
+    return _dimension(spark, DIETARY_TAG_ROWS)
 
 
 def add_sources(existing: DataFrame, wanted: DataFrame) -> DataFrame:
