@@ -14,9 +14,12 @@ _LD_TYPE = "application/ld+json"
 # block inside a comment is not seen and a comment mark inside a script does not hide what follows.
 # Group 1 is the body of a JSON-LD script and empty for everything else. Possessive loops keep the pass
 # linear and the stack flat on long bodies.
-_ATTRIBUTES = r"""(?:[^>"'\s/]++|[\s/]|"[^"]*+"|'[^']*+')*?"""
-_LD_VALUE = r"""(?:"application/ld\+json"|'application/ld\+json'|application/ld\+json(?=[\s>/]))"""
-_LD_TAG = rf"""(?=[\s/]){_ATTRIBUTES}(?<=[\s/"'])(?i:type)\s*=\s*{_LD_VALUE}{_ATTRIBUTES}>"""
+_VALUE = r"""=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
+_LD_ATTRIBUTE = r"""(?i:type)\s*=\s*(?:"application/ld\+json"|'application/ld\+json'|application/ld\+json(?=[\s>]))"""
+_LD_TAG = (
+    rf"(?=[\s/])(?:[\s/](?!{_LD_ATTRIBUTE})|{_VALUE}|[^\s/>=]++|=)*+[\s/]{_LD_ATTRIBUTE}"
+    rf"(?:[\s/]|{_VALUE}|[^\s/>=]++|=)*+>"
+)
 
 
 def _until(closing: str) -> str:
