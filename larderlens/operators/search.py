@@ -111,7 +111,8 @@ def _descend(recipes: DataFrame, skip: int, size: int, shallow: int) -> tuple[Da
         if low is None or low == high:
             break
         step = max(1, -(-(high - low + 1) // _SPLITS))
-        slot = F.floor((F.col("id").cast("decimal(38,0)") - F.lit(low).cast("decimal(38,0)")) / F.lit(step)).cast("int")
+        # Whole-number division of decimals: hashed ids span more than a BIGINT can hold.
+        slot = F.expr(f"CAST((CAST(id AS DECIMAL(38, 0)) - ({low}BD)) DIV {step}BD AS INT)")
         counts = dict(recipes.groupBy(slot.alias("slot")).count().collect())
         passed, first, last, covered = 0, None, None, 0
         for number in sorted(counts):

@@ -1,0 +1,157 @@
+import pytest
+from pyspark.sql import functions as F
+
+from larderlens.operators import search
+from larderlens.operators.search import Filters
+from larderlens.sources import seeds
+
+FIELDS = "id long, title string, url string, description string, cuisine string, prep_time int, cook_time int, total_time int, servings int, image_url string"
+
+
+@pytest.fixture(scope="module")
+def db(spark):
+    """Six recipes: 1 dairy vegetarian, 2 egg + dairy, 3 vegan gluten free, 4 plain, 5 peanuts, 6 without anything."""
+    rows = [
+        (1, "Mac", "u1", "d1", "British", 10, 20, 30, 4, None),
+        (2, "Carbonara", "u2", None, "Italian", 5, 10, 15, 2, "i2"),
+        (3, "Salad", "u3", None, None, 5, 0, None, None, None),
+        (4, "Beef 100%", "u4", None, "Tex-Mex", 10, 90, 100, 6, None),
+        (5, "Satay", "u5", None, "South_East Asian", 10, 50, 60, 4, None),
+        (6, "Water", "u6", None, "100% British", 0, 0, 0, 1, None),
+    ]
+    return {
+        "recipes": spark.createDataFrame(rows, FIELDS),
+        "recipe_allergens": spark.createDataFrame([(1, 3), (2, 3), (2, 4), (5, 1)], "recipe_id long, allergen_id int"),
+        "recipe_dietary_tags": spark.createDataFrame(
+            [(1, 1), (2, 4), (3, 1), (3, 2), (3, 3), (6, 1), (6, 2), (6, 3), (4, 3)], "recipe_id long, dietary_tag_id int"
+        ),
+        "allergens": seeds.allergens(spark),
+        "dietary_tags": seeds.dietary_tags(spark),
+    }
+
+
+def found(db, **filters):
+    kept = search.filter_recipes(
+        db["recipes"], db["recipe_allergens"], db["recipe_dietary_tags"], db["allergens"], db["dietary_tags"], Filters(**filters)
+    )
+    return sorted(r.id for r in kept.collect())
+
+
+@pytest.mark.parametrize(
+    ("filters", "ids"),
+    [
+        ({}, [1, 2, 3, 4, 5, 6]),
+        ({"exclude_allergens": "dairy"}, [3, 4, 5, 6]),
+        ({"exclude_allergens": " Dairy , PEANUTS"}, [3, 4, 6]),
+        ({"exclude_allergens": "unknown"}, [1, 2, 3, 4, 5, 6]),
+        ({"exclude_allergens": "unknown,egg"}, [1, 3, 4, 5, 6]),
+        ({"exclude_allergens": ""}, [1, 2, 3, 4, 5, 6]),
+        ({"dietary_tags": "vegan"}, [3, 6]),
+        ({"dietary_tags": "vegetarian,gluten_free"}, [3, 6]),
+        ({"dietary_tags": "vegetarian,vegetarian"}, [1, 3, 6]),
+        ({"dietary_tags": "unknown"}, [1, 2, 3, 4, 5, 6]),
+        ({"dietary_tags": "unknown, GLUTEN_FREE"}, [3, 4, 6]),
+        ({"dietary_tags": "vegan,contains_raw_egg"}, []),
+        ({"cuisine": "british"}, [1, 6]),
+        ({"cuisine": "IT"}, [1, 2, 6]),
+        ({"cuisine": "t_x"}, [4]),
+        ({"cuisine": "s%n"}, [5]),
+        ({"cuisine": ""}, [1, 2, 3, 4, 5, 6]),
+        ({"cuisine": "thai"}, []),
+        ({"max_total_time": 30}, [1, 2, 6]),
+        ({"max_total_time": 60}, [1, 2, 5, 6]),
+        ({"max_total_time": 0}, [1, 2, 3, 4, 5, 6]),
+        ({"exclude_allergens": "egg", "dietary_tags": "vegetarian", "cuisine": "british", "max_total_time": 30}, [1, 6]),
+    ],
+)
+def test_filters(db, filters, ids):
+    assert found(db, **filters) == ids
+
+
+def test_excluded_and_kept_make_all(db):
+    hit = db["recipe_allergens"].where("allergen_id = 3").select("recipe_id").distinct().count()
+    assert len(found(db, exclude_allergens="dairy")) + hit == 6
+
+
+@pytest.mark.parametrize(("number", "size", "ids"), [(1, 20, [1, 2, 3, 4, 5, 6]), (1, 4, [1, 2, 3, 4]), (2, 4, [5, 6]), (3, 4, []), (9, 100, [])])
+def test_pages(db, number, size, ids):
+    assert [r.id for r in search.page(db["recipes"], number, size).collect()] == ids
+
+
+@pytest.mark.parametrize(("number", "size"), [(0, 20), (1, 0), (1, 101), (-1, 5)])
+def test_page_arguments(db, number, size):
+    with pytest.raises(ValueError):
+        search.page(db["recipes"], number, size)
+
+
+@pytest.mark.parametrize("ids", ["id", "xxhash64(id)", "id * id * 7", "if(id < 4000, id, id + 9000000000000000000)"])
+def test_deep_pages_equal_shallow_ones(spark, ids):
+    """With a low bound every page takes the deep way."""
+    rows = spark.range(5000).selectExpr(f"{ids} AS id", "id AS n").cache()
+    ordered = [r.id for r in rows.orderBy("id").collect()]
+    for number, size in ((1, 20), (40, 100), (50, 100), (51, 100), (501, 10)):
+        got = [r.id for r in search.page(rows, number, size, shallow=50).collect()]
+        assert got == ordered[(number - 1) * size : number * size]
+    rows.unpersist()
+
+
+def test_page_plan_keeps_top_rows_only(db):
+    plan = search.page(db["recipes"], 2, 20)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+
+
+@pytest.mark.parametrize("on_page", [False, True])
+def test_summaries(db, on_page):
+    rows = search.page(db["recipes"], 1, 3) if on_page else db["recipes"]
+    links = db["recipe_allergens"], db["recipe_dietary_tags"], db["allergens"], db["dietary_tags"]
+    got = {r.id: r for r in search.summaries(rows, *links, on_page=on_page).collect()}
+    assert len(got) == (3 if on_page else 6)
+    assert [a.name for a in got[2].allergens] == ["dairy", "egg"]
+    assert [t.display_name for t in got[3].dietary_tags] == ["Vegetarian", "Vegan", "Gluten-Free"]
+    assert got[3].allergens == [] and got[2].dietary_tags[0].description.startswith("Includes raw")
+
+
+def test_details(db, spark):
+    ingredients = spark.createDataFrame([(10, "2 eggs", "eggs"), (11, "100g feta", "feta")], "id long, raw_name string, normalised_name string")
+    nothing = "string"
+    bridge = spark.createDataFrame(
+        [(2, 11, None, None, None), (2, 10, None, None, None), (1, 11, None, None, None)],
+        f"recipe_id long, ingredient_id long, quantity {nothing}, unit {nothing}, preparation {nothing}",
+    )
+    ids = spark.createDataFrame([(2,), (2,), (3,), (99,)], "id long")
+    links = db["recipe_allergens"], db["recipe_dietary_tags"], db["allergens"], db["dietary_tags"]
+    got = {r.id: r for r in search.details(db["recipes"], ids, *links, bridge, ingredients).collect()}
+    assert sorted(got) == [2, 3]
+    assert [i.ingredient.raw_name for i in got[2].ingredients] == ["2 eggs", "100g feta"]
+    assert got[2].ingredients[0].quantity is None
+    assert got[3].ingredients == [] and [a.name for a in got[2].allergens] == ["dairy", "egg"]
+
+
+def test_sub_lists(db, spark):
+    ids = spark.createDataFrame([(2,), (3,), (99,)], "id long")
+    got = search.dimension_of(ids, db["recipe_allergens"], db["allergens"], "allergen_id").collect()
+    assert sorted((r.recipe_id, r.name) for r in got) == [(2, "dairy"), (2, "egg")]
+    tags = search.dimension_of(ids, db["recipe_dietary_tags"], db["dietary_tags"], "dietary_tag_id").collect()
+    assert sorted((r.recipe_id, r.id) for r in tags) == [(2, 4), (3, 1), (3, 2), (3, 3)]
+
+
+def test_facets(db):
+    assert [r.cuisine for r in search.cuisines(db["recipes"]).collect()] == [
+        "100% British", "British", "Italian", "South_East Asian", "Tex-Mex",
+    ]
+    assert [r.name for r in search.listed(db["allergens"]).collect()] == ["dairy", "egg", "peanuts", "tree_nuts"]
+    assert [r.name for r in search.listed(db["dietary_tags"]).collect()] == [
+        "contains_raw_egg", "gluten_free", "vegan", "vegetarian",
+    ]
+    assert [tuple(r) for r in search.time_buckets(db["recipes"]).collect()] == [(15, 2), (30, 3), (60, 4), (90, 4)]
+    totals = search.page_ranges(search.total_count(db["recipes"]), 1, 4).first()
+    assert tuple(totals) == (6, 2, 1, 4)
+
+
+def test_filters_reach_the_scan(spark, sf, tmp_path):
+    from larderlens.plans import bindings
+
+    path = str(tmp_path / "recipes")
+    bindings.recipes(spark, sf).write.parquet(path)
+    plan = search.by_max_time(spark.read.parquet(path), 30).select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(total_time,30)" in plan and "ReadSchema: struct<id:bigint,total_time:int>" in plan
