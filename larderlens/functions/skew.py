@@ -13,7 +13,7 @@ def attach_by_key(rows: DataFrame, summary: DataFrame, key: str, weight: str) ->
     """Add the columns of `summary` (one short row per key, `weight` = rows of that key) to `rows`.
 
     Rows of frequent keys meet a broadcast of at most FREQUENT_KEYS summary rows and are not shuffled.
-    No other key is large enough to unbalance the shuffled join. Every key of `rows` is in `summary`.
+    No other key is large enough to unbalance the shuffled join. Keys missing from `summary` drop out.
     """
     total = summary.agg(F.sum(weight)).scalar()
     is_frequent = F.col(weight) * FREQUENT_KEYS >= total
@@ -23,6 +23,12 @@ def attach_by_key(rows: DataFrame, summary: DataFrame, key: str, weight: str) ->
     return direct.unionByName(shuffled).drop(weight)
 
 
+def attach_lookup(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
+    """Inner join of `rows` with a lookup of one row per key, balanced by how often each key is used."""
+    uses = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_uses"))
+    return attach_by_key(rows, uses.join(lookup, key), key, "_uses")
+
+
 def widen(scan: DataFrame, *keys: str) -> DataFrame:
     """Spread a plain table scan over all cores when it has fewer splits than there are cores.
 

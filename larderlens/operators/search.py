@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larderlens.functions.labels import page_count, page_from, page_to
+from larderlens.functions.skew import attach_lookup
 
 PRESET_LIMITS = (15, 30, 60, 90)
 MAX_PAGE_SIZE = 100
@@ -151,7 +152,7 @@ def _dimension_rows(links: DataFrame, dimension: DataFrame, link_id: str) -> Dat
 
 
 def _nest(rows: DataFrame, name: str) -> DataFrame:
-    """One sorted array per recipe. Its length is bounded by what one recipe holds."""
+    """One sorted array per recipe. The items of a recipe came from one page, which bounds their number."""
     return rows.groupBy(F.col("recipe_id").alias("id")).agg(F.sort_array(F.collect_list("item")).alias(name))
 
 
@@ -203,7 +204,8 @@ def details(
 ) -> DataFrame:
     """Full recipes of the given ids, with ingredients. A missing id gives no row.
 
-    The ids prune every link table before it is aggregated.
+    The ids prune every link table before it is aggregated. A common ingredient is part of very many
+    recipes, so names are attached by a join that allows for frequent keys.
     """
     wanted = ids.select("id").distinct()
     keys = wanted.withColumnRenamed("id", "recipe_id")
@@ -218,11 +220,9 @@ def details(
     names = ingredients.select(
         F.col("id").alias("ingredient_id"), F.struct("id", "raw_name", "normalised_name").alias("ingredient")
     )
-    lines = (
-        recipe_ingredients.join(keys, "recipe_id", "left_semi")
-        .join(names, "ingredient_id")
-        .select("recipe_id", F.struct("ingredient", "quantity", "unit", "preparation").alias("item"))
-    )
+    links = recipe_ingredients.join(keys, "recipe_id", "left_semi")
+    item = F.struct("ingredient", "quantity", "unit", "preparation").alias("item")
+    lines = attach_lookup(links, names, "ingredient_id").select("recipe_id", item)
     return _empty_for_null(nested.join(_nest(lines, "ingredients"), "id", "left"), "ingredients")
 
 

@@ -64,9 +64,9 @@ def register_sources(tables: Catalogue, sources: list[Source], batch: int) -> No
 def load_batch(tables: Catalogue, pages: DataFrame, batch: int, sources: tuple[Source, ...] = SOURCES) -> None:
     """Load one batch of pages (url, source = base_url, html, arrival) and log every arrival.
 
-    Pages are parsed once, into a staging table that also fixes the row order; each later step reads the few
-    columns it needs from there. The batch only depends on earlier batches, so running it again gives
-    the same tables. With no source enabled nothing is done.
+    Pages are parsed once, into a staged table that also fixes the row order; accepted recipes, names and
+    masks are staged likewise, and every table is a narrow read of one of these. A batch depends on earlier
+    batches only, so running it again gives the same tables. With no source enabled nothing is done.
     """
     session.configure(tables.spark)
     active = enabled(sources)
@@ -76,9 +76,8 @@ def load_batch(tables: Catalogue, pages: DataFrame, batch: int, sources: tuple[S
 
     chosen = pages.where(F.col("source").isin([s.base_url for s in active]))
     category_sources = [s.base_url for s in active if s.cuisine_in_category]
-    staged = extract.parse_pages(chosen, category_sources).withColumn("row_id", F.monotonically_increasing_id())
-    tables.write("parsed", staged, batch)
-    parsed = tables.read_batch("parsed", batch)
+    numbered = extract.parse_pages(chosen, category_sources).withColumn("row_id", F.monotonically_increasing_id())
+    parsed = tables.stage("parsed", numbered)
 
     seen = parsed.select("url", "source", *_ORDER, "outcome", "error_message")
     loaded = tables.read("recipes", before_batch=batch)
@@ -86,46 +85,30 @@ def load_batch(tables: Catalogue, pages: DataFrame, batch: int, sources: tuple[S
     winners = arrivals.new_urls(seen, loaded, _ORDER, good)
     # row_id is unique, so the join key is spread evenly however often one url arrives.
     fresh = parsed.where(good).join(winners.select("row_id"), "row_id", "left_semi")
+    accepted = tables.stage("accepted", fresh.withColumn("id", F.xxhash64("url")).drop("row_id", "outcome", "error_message"))
 
-    recipes = fresh.select(
-        F.xxhash64("url").alias("id"),
-        F.xxhash64("source").alias("source_id"),
-        "title", "url", "description", "cuisine", "prep_time", "cook_time", "total_time", "servings", "image_url",
-        F.current_timestamp().alias("scraped_at"),
-    )
-    tables.write("recipes", recipes, batch)
+    now = F.current_timestamp()
+    tables.write(
+        "recipes", accepted.withColumns({"source_id": F.xxhash64("source"), "scraped_at": now}), batch
+    )
+
+    lines = accepted.select(F.col("id").alias("recipe_id"), F.explode("ingredients").alias("raw"))
+    pairs = rollup.bridge(lines.select("recipe_id", F.xxhash64("raw").alias("ingredient_id")), "recipe_id", "ingredient_id")
+    unknown = F.lit(None).cast("string")
+    tables.write("recipe_ingredients", pairs.withColumns({c: unknown for c in ("quantity", "unit", "preparation")}), batch)
 
-    lines = fresh.select(F.xxhash64("url").alias("recipe_id"), F.explode("ingredients").alias("raw"))
     known = tables.read("ingredients", before_batch=batch).select(F.col("raw_name").alias("raw"))
     new_lines = lines.select("raw").distinct().join(known, "raw", "left_anti")
-    names = matching.flag_names(new_lines).select(
-        F.xxhash64("raw").alias("id"),
-        F.col("raw").alias("raw_name"),
-        F.col("normalised").alias("normalised_name"),
-        F.current_timestamp().alias("created_at"),
-        "mask",
-    )
-    tables.write("ingredients", names, batch)
-    ingredient_links = rollup.allergen_links(
-        matching.flag_names(new_lines).select(F.xxhash64("raw").alias("ingredient_id"), "mask"),
-        tables.allergens(),
-        "ingredient_id",
-    )
+    names = tables.stage("names", matching.flag_names(new_lines).withColumn("id", F.xxhash64("raw")))
+    renamed = {"raw": "raw_name", "normalised": "normalised_name"}
+    tables.write("ingredients", names.withColumnsRenamed(renamed).withColumn("created_at", now), batch)
+    ingredient_links = rollup.allergen_links(names.withColumnRenamed("id", "ingredient_id"), tables.allergens(), "ingredient_id")
     tables.write("ingredient_allergens", ingredient_links.withColumn("confidence", F.lit("high")), batch)
 
-    pairs = rollup.bridge(lines.select("recipe_id", F.xxhash64("raw").alias("ingredient_id")), "recipe_id", "ingredient_id")
-    empty = F.lit(None).cast("string")
-    tables.write("recipe_ingredients", pairs.withColumns({c: empty for c in ("quantity", "unit", "preparation")}), batch)
-
-    masks = rollup.mask_recipes(
-        fresh.select(F.xxhash64("url").alias("recipe_id")), rollup.recipe_masks(matching.flag_lines(lines))
-    )
+    recipe_ids = accepted.select(F.col("id").alias("recipe_id"))
+    masks = tables.stage("masks", rollup.mask_recipes(recipe_ids, rollup.recipe_masks(matching.flag_lines(lines))))
     tables.write("recipe_allergens", rollup.allergen_links(masks, tables.allergens()), batch)
     tables.write("recipe_dietary_tags", rollup.dietary_tag_links(masks, tables.dietary_tags()), batch)
 
     log = arrivals.arrival_status(seen, loaded, _ORDER, good, F.col("outcome"), F.col("error_message"))
-    tables.write(
-        "run_log",
-        log.select(F.xxhash64("source").alias("source_id"), "url", "status", "error_message", F.current_timestamp().alias("scraped_at")),
-        batch,
-    )
+    tables.write("run_log", log.withColumns({"source_id": F.xxhash64("source"), "scraped_at": now}), batch)

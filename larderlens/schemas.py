@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    ArrayType,
     BooleanType,
     IntegerType,
     LongType,
@@ -26,13 +25,6 @@ PAGES = _struct(("url", _STR, False), ("source", _STR, True), ("html", _STR, Tru
 
 SITEMAPS = _struct(("source", _STR, True), ("sitemap_pos", _INT, True), ("sitemap_url", _STR, True), ("xml", _STR, True))
 
-PARSED = _struct(
-    ("url", _STR, False), ("source", _STR, True), ("arrival", _LONG, True), ("row_id", _LONG, False),
-    ("title", _STR, True), ("description", _STR, True), ("cuisine", _STR, True), ("prep_time", _LONG, True),
-    ("cook_time", _LONG, True), ("total_time", _LONG, True), ("servings", _LONG, True), ("image_url", _STR, True),
-    ("ingredients", ArrayType(_STR), True), ("outcome", _STR, True), ("error_message", _STR, True),
-)
-
 SOURCES = _struct(
     ("id", _LONG, False), ("name", _STR, False), ("base_url", _STR, False), ("enabled", _BOOL, False),
     ("created_at", _TS, False),

@@ -27,7 +27,7 @@ class Catalogue:
 
     def read(self, table: str, before_batch: int | None = None) -> DataFrame:
         """A table, or what batches below `before_batch` wrote of it. A table not written yet is empty."""
-        schema = schemas.TABLES.get(table, schemas.PARSED)
+        schema = schemas.TABLES[table]
         with_batch = StructType([*schema.fields]).add("batch", LongType())
         try:
             frame = self.spark.read.schema(with_batch).parquet(self.path(table))
@@ -39,16 +39,21 @@ class Catalogue:
             frame = frame.where(F.col("batch") < before_batch)
         return frame.drop("batch")
 
-    def read_batch(self, table: str, batch: int) -> DataFrame:
-        schema = schemas.TABLES.get(table, schemas.PARSED)
-        return self.spark.read.schema(schema).parquet(f"{self.path(table)}/batch={batch}")
-
     def write(self, table: str, rows: DataFrame, batch: int) -> None:
         """Write one batch in schema order."""
-        schema = schemas.TABLES.get(table, schemas.PARSED)
-        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.TABLES[table].fields]
         rows.select(*columns).write.mode("overwrite").parquet(f"{self.path(table)}/batch={batch}")
 
+    def stage(self, name: str, rows: DataFrame) -> DataFrame:
+        """Write an intermediate result of the running batch and read it back.
+
+        Several tables are made from it, so it is computed once; what follows does not depend on lost executors
+        of what came before. The next batch overwrites it.
+        """
+        path = f"{self.root}/_staging/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def allergens(self) -> DataFrame:
         return seeds.allergens(self.spark)
 
