@@ -10,16 +10,20 @@ from pyspark.sql import functions as F
 from larderlens import lexicon
 
 _BLANK = r"[\s\x1c-\x1f]"
-# The look-behind starts a trailing run only at its first character, so long inner runs stay linear.
-_EDGES = rf"(?U)^{_BLANK}++|(?<!{_BLANK}){_BLANK}++$"
+
+# The characters that count as blank. `trim` alone removes U+0020 only.
+_BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 _LEADING = rf"(?U)^(?:\d[\d/.{_BLANK[1:-1]}]*)?(?:a{_BLANK}+)?(?:an{_BLANK}+)?(?:some{_BLANK}+)?"
 _FILLERS = r"(?U)\b(?:" + "|".join(map(re.escape, lexicon.UNIT_WORDS + lexicon.ADJECTIVE_WORDS)) + r")\b"
 
 
 def strip(text: Column) -> Column:
-    """Remove blanks of every kind from both ends (`trim` removes U+0020 only)."""
-    return F.regexp_replace(text, _EDGES, "")
+    """Remove blanks of every kind from both ends."""
+    return F.btrim(text, F.lit(_BLANKS))
 
 
 def blank_to_null(text: Column) -> Column:
@@ -56,5 +60,5 @@ def normalise_ingredient(raw: Column) -> Column:
     name = F.regexp_replace(line, r"\(\$[\d.]+\)", "")
     name = F.regexp_replace(name, _LEADING, "")
     name = F.regexp_replace(name, _FILLERS, "")
-    name = strip(F.regexp_replace(name, rf"(?U){_BLANK}+", " "))
+    name = F.trim(F.regexp_replace(name, rf"(?U){_BLANK}+", " "))
     return F.coalesce(blank_to_null(name), line)

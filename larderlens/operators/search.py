@@ -6,6 +6,7 @@ Functions take the catalogue tables and return lazily planned DataFrames. `recip
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -39,8 +40,11 @@ def split_names(text: str | None) -> list[str]:
 
 
 def by_cuisine(recipes: DataFrame, text: str | None) -> DataFrame:
-    """Case-insensitive substring; `%` and `_` in the text are wildcards."""
-    return recipes.where(F.col("cuisine").ilike(f"%{text}%")) if text else recipes
+    """Case-insensitive substring; `%` and `_` in the text are wildcards, a backslash takes the next character as it is."""
+    if not text:
+        return recipes
+    pattern = re.sub(r"\\([^%_\\])", r"\1", f"%{text}%")  # only these three may follow a backslash here
+    return recipes.where(F.col("cuisine").ilike(pattern))
 
 
 def by_max_time(recipes: DataFrame, limit: int | None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -13,6 +14,7 @@ from larderlens.operators.discover import POST_SITEMAPS, RECIPE_SITEMAPS, Discov
 from larderlens.sources.seeds import add_sources
 from larderlens.sources.tables import Catalogue
 
+_LOG = logging.getLogger(__name__)
 _ORDER = ["arrival", "row_id"]
 
 
@@ -71,6 +73,7 @@ def load_batch(tables: Catalogue, pages: DataFrame, batch: int, sources: tuple[S
     session.configure(tables.spark)
     active = enabled(sources)
     if not active:
+        _LOG.warning("no source is enabled")
         return
     register_sources(tables, active, batch)
 

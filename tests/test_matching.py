@@ -96,6 +96,35 @@ def test_normalise(spark):
     assert [(r.raw, r.got) for r in got] == [(r.raw, r.want) for r in got]
 
 
+def test_normalise_equals_one_rule_after_the_other(spark):
+    """Random lines of words, amounts and separators against the steps as nested SQL in another engine."""
+    import random
+
+    import duckdb
+
+    from larderlens.plans import oracle
+
+    random.seed(11)
+    words = lexicon.UNIT_WORDS + lexicon.ADJECTIVE_WORDS + ("a", "an", "some", "room", "free", "range", "egg", "Ham", "2", "1/2", "3.5", "($1.20)")
+    marks = (" ", "  ", "-", ", ", "", "\t", "/", ".", " x")
+    lines = ["".join(random.choice(words) + random.choice(marks) for _ in range(random.randint(1, 6))) for _ in range(5000)]
+    lines = list(dict.fromkeys(line.replace("\t", " ") if random.random() < 0.9 else line.strip() for line in lines))
+    frame = spark.createDataFrame([(line,) for line in lines], "raw string")
+    got = {r.raw: r.name for r in frame.select("raw", text.normalise_ingredient(F.col("raw")).alias("name")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(raw VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?)", [(line,) for line in lines])
+    want = dict(con.execute(f"SELECT raw, {oracle._normalised('raw')} FROM t").fetchall())
+    differing = {k: (got[k], want[k]) for k in want if got[k] != want[k]}
+    assert not differing, list(differing.items())[:5]
+
+
+def test_strip_takes_every_blank(spark):
+    blanks = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+    frame = spark.createDataFrame([(blanks + "a b" + blanks,), (blanks,), ("\u200b",)], "t string")
+    assert [r[0] for r in frame.select(text.strip(F.col("t"))).collect()] == ["a b", "", "\u200b"]
+
+
 def test_golden_table(spark):
     rows = golden()
     assert len(rows) == 60

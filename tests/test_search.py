@@ -56,6 +56,9 @@ def found(db, **filters):
         ({"cuisine": "IT"}, [1, 2, 6]),
         ({"cuisine": "t_x"}, [4]),
         ({"cuisine": "s%n"}, [5]),
+        ({"cuisine": "100\\%"}, [6]),
+        ({"cuisine": "t\\_x"}, []),
+        ({"cuisine": "\\italian"}, [2]),
         ({"cuisine": ""}, [1, 2, 3, 4, 5, 6]),
         ({"cuisine": "thai"}, []),
         ({"max_total_time": 30}, [1, 2, 6]),
