@@ -222,13 +222,14 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def loaded_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """URLs loaded in earlier runs: one customer in five."""
-    return (
-        table(spark, sf_dir, "customer")
-        .select("c_custkey")
-        .where(F.col("c_custkey") % 5 == 0)
-        .select(F.col("c_custkey").cast("string").alias("url"))
-    )
+    """URLs loaded in earlier runs: the customers of one segment."""
+    earlier = table(spark, sf_dir, "customer").where("c_mktsegment = 'HOUSEHOLD'")
+    return earlier.select(F.col("c_custkey").cast("string").alias("url"))
+
+
+def recipe_ids(spark: SparkSession, sf_dir: str, priority: str) -> DataFrame:
+    """Ids of the recipes whose order has a priority."""
+    return table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == priority).select(F.col("o_orderkey").alias("id"))
 
 
 def site_url(key: Column) -> Column:
@@ -236,10 +237,10 @@ def site_url(key: Column) -> Column:
 
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sources table, from suppliers; one in three is disabled."""
+    """The sources table, from suppliers; those with a low balance are disabled."""
     key = F.col("s_suppkey")
     return table(spark, sf_dir, "supplier").select(
-        key.alias("id"), F.col("s_name").alias("name"), site_url(key).alias("base_url"), (key % 3 != 0).alias("enabled")
+        key.alias("id"), F.col("s_name").alias("name"), site_url(key).alias("base_url"), (F.col("s_acctbal") >= 3000).alias("enabled")
     )
 
 

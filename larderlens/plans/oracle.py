@@ -110,7 +110,7 @@ def _if_block(value: str) -> str:
 
 N_LINES = """CAST(CASE WHEN k % 10 = 9 THEN 0 ELSE coalesce(n, 0) + CASE WHEN k % 10 = 3 THEN 1 ELSE 0 END END AS INT)"""
 
-LOADED = "loaded AS (SELECT CAST(c_custkey AS VARCHAR) AS url FROM customer WHERE c_custkey % 5 = 0)"
+LOADED = "loaded AS (SELECT CAST(c_custkey AS VARCHAR) AS url FROM customer WHERE c_mktsegment = 'HOUSEHOLD')"
 ARRIVALS_CTE = f"""arrivals AS (SELECT CAST(user_id AS VARCHAR) AS url, user_id % 2 + 1 AS source_id, ts, event_id, event_type FROM events),
 {LOADED},
 good AS (SELECT url, ts, event_id FROM (
@@ -173,9 +173,9 @@ ORACLE = {
     "discover_recipe_urls": _discovery("pos NOT IN (1, 5)", "contains(url, '/recipes/') AND NOT contains(url, '/premium/')"),
     "discover_post_urls": _discovery("true", "NOT contains(url, 'wp-content')"),
     "source_upsert": """SELECT DISTINCT 'Site ' || l_suppkey AS name, 'https://site-' || l_suppkey || '.example.org' AS base_url
-      FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 0)""",
+      FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 3000)""",
     "enabled_sources": """SELECT s_suppkey AS id, s_name AS name, 'https://site-' || s_suppkey || '.example.org' AS base_url
-      FROM supplier WHERE s_suppkey % 3 <> 0""",
+      FROM supplier WHERE s_acctbal >= 3000""",
     "normalise_ingredients": f"WITH {FLAGS_CTE} SELECT recipe_id, pos, raw, normalised FROM lines",
     "ingredient_dim": f"WITH {FLAGS_CTE} SELECT DISTINCT raw AS raw_name, normalised AS normalised_name FROM lines",
     "recipe_ingredient_bridge": f"WITH {FLAGS_CTE} SELECT DISTINCT recipe_id, raw AS raw_name FROM lines",
@@ -245,9 +245,9 @@ ORACLE = {
       UNION ALL SELECT 'ingredients.raw_name', raw, count(*) FROM lines GROUP BY raw HAVING count(*) > 1""",
     "dq_orphans": f"""WITH {FLAGS_CTE}
       SELECT 'recipe_ingredients.recipe_id' AS rule, CAST(recipe_id AS VARCHAR) AS key, count(*) AS rows FROM lines
-      WHERE recipe_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 37 <> 0) GROUP BY recipe_id
-      UNION ALL SELECT 'recipes.source_id', CAST(o_orderkey % 7 AS VARCHAR), count(*) FROM orders
-      WHERE o_orderkey % 7 NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 <> 0) GROUP BY o_orderkey % 7
+      WHERE recipe_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority <> '1-URGENT') GROUP BY recipe_id
+      UNION ALL SELECT 'recipes.source_id', CAST(l_suppkey AS VARCHAR), count(*) FROM lineitem
+      WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 3000) GROUP BY l_suppkey
       UNION ALL SELECT 'recipe_ingredients.ingredient_id', raw, count(*) FROM lines WHERE raw LIKE 'a%' GROUP BY raw""",
     "dq_lengths": """WITH broken AS (SELECT o_orderkey AS id,
         CASE WHEN o_orderkey % 40 = 0 THEN repeat('x', 300) WHEN o_orderkey % 43 <> 0 THEN 'Recipe ' || o_orderkey END AS title,
@@ -260,9 +260,10 @@ ORACLE = {
       UNION ALL SELECT 'url longer than 500', id, CAST(length(url) AS INT) FROM broken WHERE length(url) > 500""",
     "dq_domains": """SELECT 'status' AS column_name, event_id, event_type AS value FROM events
       WHERE event_type NOT IN ('click', 'view', 'error')""",
-    "cascade_delete": f"""WITH {LINKS_CTE}, bridge AS (SELECT DISTINCT recipe_id, raw FROM lines)
-      SELECT 'recipes' AS table_name, id AS recipe_id, count(*) AS rows_left FROM recipes WHERE id % 10 <> 0 GROUP BY id
-      UNION ALL SELECT 'recipe_ingredients', recipe_id, count(*) FROM bridge WHERE recipe_id % 10 <> 0 GROUP BY recipe_id
-      UNION ALL SELECT 'recipe_allergens', recipe_id, count(*) FROM recipe_allergens WHERE recipe_id % 10 <> 0 GROUP BY recipe_id
-      UNION ALL SELECT 'recipe_dietary_tags', recipe_id, count(*) FROM recipe_tags WHERE recipe_id % 10 <> 0 GROUP BY recipe_id""",
+    "cascade_delete": f"""WITH {LINKS_CTE}, gone AS (SELECT o_orderkey FROM orders WHERE o_orderpriority = '5-LOW'),
+      bridge AS (SELECT DISTINCT recipe_id, raw FROM lines)
+      SELECT 'recipes' AS table_name, id AS recipe_id, count(*) AS rows_left FROM recipes WHERE id NOT IN (SELECT o_orderkey FROM gone) GROUP BY id
+      UNION ALL SELECT 'recipe_ingredients', recipe_id, count(*) FROM bridge WHERE recipe_id NOT IN (SELECT o_orderkey FROM gone) GROUP BY recipe_id
+      UNION ALL SELECT 'recipe_allergens', recipe_id, count(*) FROM recipe_allergens WHERE recipe_id NOT IN (SELECT o_orderkey FROM gone) GROUP BY recipe_id
+      UNION ALL SELECT 'recipe_dietary_tags', recipe_id, count(*) FROM recipe_tags WHERE recipe_id NOT IN (SELECT o_orderkey FROM gone) GROUP BY recipe_id""",
 }

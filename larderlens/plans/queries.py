@@ -125,8 +125,8 @@ def discover_post_urls(spark, sf_dir):
 
 @_query
 def source_upsert(spark, sf_dir):
-    """Sources that line items name and the table lacks; half of the suppliers are in it."""
-    existing = b.sources(spark, sf_dir).where(F.col("id") % 2 == 0)
+    """Sources that line items name and the table lacks; the suppliers that are enabled are in it."""
+    existing = seeds.enabled_sources(b.sources(spark, sf_dir))
     key = F.col("l_suppkey")
     name = F.concat(F.lit("Site "), key.cast("string"))
     wanted = b.table(spark, sf_dir, "lineitem").select(name.alias("name"), b.site_url(key).alias("base_url"))
@@ -433,13 +433,15 @@ def dq_duplicates(spark, sf_dir):
 def dq_orphans(spark, sf_dir):
     """Link rules after some parents were dropped."""
     recipes, rows = b.recipes(spark, sf_dir), b.lines(spark, sf_dir)
-    kept = recipes.where(F.col("id") % 37 != 0)
-    origins = recipes.select((F.col("id") % 7).alias("source_id"))
+    kept = recipes.join(b.recipe_ids(spark, sf_dir, "1-URGENT"), "id", "left_anti")
+    origins = b.table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("source_id"))
     names = rows.select("raw").distinct().where(~F.col("raw").startswith("a"))
     return quality.union_all(
         [
             quality.orphans(rows, "recipe_id", kept, "id", "recipe_ingredients.recipe_id"),
-            quality.orphans(origins, "source_id", b.sources(spark, sf_dir).where("enabled"), "id", "recipes.source_id"),
+            quality.orphans(
+                origins, "source_id", seeds.enabled_sources(b.sources(spark, sf_dir)), "id", "recipes.source_id"
+            ),
             quality.orphans(rows, "raw", names, "raw", "recipe_ingredients.ingredient_id"),
         ]
     )
@@ -469,7 +471,7 @@ def dq_domains(spark, sf_dir):
 
 @_query
 def cascade_delete(spark, sf_dir):
-    """Rows per recipe left in each table after every tenth recipe was deleted."""
+    """Rows per recipe left in each table after the recipes of one priority were deleted."""
     allergen_links, tag_links = _both_links(spark, sf_dir)
     tables = {
         "recipes": b.recipes(spark, sf_dir),
@@ -477,7 +479,7 @@ def cascade_delete(spark, sf_dir):
         "recipe_allergens": allergen_links,
         "recipe_dietary_tags": tag_links,
     }
-    deleted = tables["recipes"].where(F.col("id") % 10 == 0).select("id")
+    deleted = b.recipe_ids(spark, sf_dir, "5-LOW")
     left = quality.delete_recipes(tables, deleted)
     counts = []
     for name, rows in left.items():

@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 # Runtime SQL settings that results depend on (UTC timestamps, last duplicate
 # JSON key wins) or that plans depend on (AQE re-planning and skew splitting).
 REQUIRED = {
+    # Methods above this size are never compiled by the JVM; interpreted expressions are then faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
