@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larderlens import session
+from larderlens import schemas, session
 from larderlens.functions import labels
 from larderlens.lexicon import CATEGORIES
 from larderlens.operators import arrivals, discover, extract, matching, quality, rollup, search
@@ -453,8 +453,7 @@ def dq_lengths(spark, sf_dir):
     long_title = F.when(k % 40 == 0, F.repeat(F.lit("x"), 300)).otherwise(F.when(k % 43 != 0, F.col("title")))
     url = F.when(k % 41 != 0, F.when(k % 47 == 0, F.concat("url", F.repeat(F.lit("y"), 500))).otherwise(F.col("url")))
     broken = b.recipes(spark, sf_dir).select("id", long_title.alias("title"), url.alias("url"), "cuisine", "image_url")
-    limits = {"title": 255, "url": 500, "cuisine": 100, "image_url": 500}
-    return quality.text_faults(broken, "id", ["title", "url"], limits)
+    return quality.text_faults(broken, "id", ["title", "url"], schemas.LENGTHS["recipes"])
 
 
 @_query
@@ -466,7 +465,7 @@ def dq_domains(spark, sf_dir):
         .otherwise(F.col("event_type"))
     )
     log = b.arrivals(spark, sf_dir).select("event_id", status.alias("status"))
-    return quality.outside_domain(log, "event_id", "status", ("success", "failed", "skipped"))
+    return quality.outside_domain(log, "event_id", "status", schemas.DOMAINS["run_log", "status"])
 
 
 @_query

@@ -80,3 +80,31 @@ DOMAINS = {
     ("ingredient_allergens", "confidence"): ("high", "medium", "low"),
     ("run_log", "status"): ("success", "failed", "skipped"),
 }
+
+# Unique keys. The id is a hash of the natural key, so it is checked like one.
+KEYS = (
+    ("sources", ("base_url",)),
+    ("sources", ("id",)),
+    ("recipes", ("url",)),
+    ("recipes", ("id",)),
+    ("ingredients", ("raw_name",)),
+    ("ingredients", ("id",)),
+    ("recipe_ingredients", ("recipe_id", "ingredient_id")),
+    ("ingredient_allergens", ("ingredient_id", "allergen_id")),
+    ("recipe_allergens", ("recipe_id", "allergen_id")),
+    ("recipe_dietary_tags", ("recipe_id", "dietary_tag_id")),
+)
+
+# Child column -> parent table; every parent key is `id`.
+LINKS = (
+    ("recipes", "source_id", "sources"),
+    ("recipe_ingredients", "recipe_id", "recipes"),
+    ("recipe_ingredients", "ingredient_id", "ingredients"),
+    ("ingredient_allergens", "ingredient_id", "ingredients"),
+    ("ingredient_allergens", "allergen_id", "allergens"),
+    ("recipe_allergens", "recipe_id", "recipes"),
+    ("recipe_allergens", "allergen_id", "allergens"),
+    ("recipe_dietary_tags", "recipe_id", "recipes"),
+    ("recipe_dietary_tags", "dietary_tag_id", "dietary_tags"),
+    ("run_log", "source_id", "sources"),
+)

@@ -6,6 +6,8 @@ so a task, job or batch that is run again after a failure replaces its rows and
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
@@ -18,9 +20,14 @@ from larderlens.sources import seeds
 class Catalogue:
     """Reads and writes the tables of one catalogue folder."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, staging: str | None = None):
+        """Intermediate results go to `staging`: by default the shared folder named in `spark.checkpoint.dir`, or,
+        where none is named, a folder of the catalogue."""
         self.spark = spark
         self.root = root.rstrip("/")
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        own = re.sub(r"\W+", "_", self.root)
+        self.staging = staging or (f"{shared.rstrip('/')}/larderlens/{own}" if shared else f"{self.root}/_staging")
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -50,7 +57,7 @@ class Catalogue:
         Several tables are made from it, so it is computed once; what follows does not depend on lost executors
         of what came before. The next batch overwrites it.
         """
-        path = f"{self.root}/_staging/{name}"
+        path = f"{self.staging}/{name}"
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from larderlens import schemas, session
 from larderlens.functions.skew import attach_by_key
 from larderlens.operators import arrivals, quality
+from larderlens.plans.checks import check_catalogue
 from larderlens.plans.catalogue import SOURCES, discover_all, load_batch
 from larderlens.sources import seeds
 from larderlens.sources.pages import read_pages
@@ -112,6 +113,26 @@ def test_vegan_implies_vegetarian(loaded):
     assert vegan <= {r.recipe_id for r in links.where("dietary_tag_id = 1").collect()}
 
 
+def test_catalogue_is_sound(loaded):
+    assert check_catalogue(loaded).collect() == []
+
+
+def test_check_finds_what_is_broken(spark, tmp_path):
+    tables = Catalogue(spark, str(tmp_path / "c"), staging=str(tmp_path / "staging"))
+    load_batch(tables, frame(spark, FIRST), 0)
+    assert (tmp_path / "staging" / "parsed").is_dir() and not (tmp_path / "c" / "_staging").exists()
+    recipes = tables.read("recipes")
+    double = recipes.where("url = 'u/1'").withColumn("title", F.repeat(F.lit("x"), 300))
+    stray = recipes.where("url = 'u/2'").select(F.lit(5).alias("id"), F.lit(6).alias("source_id"), F.lit(None).alias("title"), F.lit("u/x").alias("url"), *recipes.columns[4:])
+    tables.write("recipes", double.unionByName(stray), 7)
+    tables.write("run_log", tables.read("run_log").limit(1).withColumn("status", F.lit("odd")), 7)
+    found = {(r.kind, r.rule, r.rows) for r in check_catalogue(tables).collect()}
+    assert found == {
+        ("repeated", "recipes.url", 2), ("repeated", "recipes.id", 2), ("no parent", "recipes.source_id", 1),
+        ("value", "recipes.title longer than 255", 1), ("value", "recipes.title missing", 1), ("domain", "run_log.status=odd", 1),
+    }
+
+
 def test_keys_and_links_hold(loaded):
     assert quality.duplicate_keys(loaded.read("recipes"), "url", ["url"]).isEmpty()
     assert quality.duplicate_keys(loaded.read("recipes"), "id", ["id"]).isEmpty()
