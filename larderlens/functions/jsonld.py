@@ -28,8 +28,8 @@ def _until(closing: str) -> str:
 
 _PAGE_PARTS = (
     r"<(?:!--(?:[^-]++|-(?!->))*+"
-    rf"|(?i:script)(?:{_LD_TAG}({_until('script')})|\b[^>]*+>{_until('script')})"
-    rf"|(?i:style)\b[^>]*+>{_until('style')})"
+    rf"|(?i:script)(?:{_LD_TAG}({_until('script')})|\b[^>]*+(?:>|\z){_until('script')})"
+    rf"|(?i:style)\b[^>]*+(?:>|\z){_until('style')})"
 )
 
 # A JSON text counts as "no value" when its type is not string and it reads like one of these; so does "".

@@ -45,8 +45,11 @@ def title_case(text: Column) -> Column:
 
 
 def clean_text(text: Column) -> Column:
-    """Text without markup tags and outer blanks; null when nothing is left."""
-    return blank_to_null(strip(F.regexp_replace(text, "<[^>]++>", "")))
+    """Text without markup tags and outer blanks; null when nothing is left.
+
+    The second branch puts back what follows a tag that never ends, so it is searched once and not from every `<`.
+    """
+    return blank_to_null(strip(F.regexp_replace(text, r"<[^>]++>|(<[^>]*+\z)", "$1")))
 
 
 def normalise_ingredient(raw: Column) -> Column:

@@ -26,7 +26,7 @@ POST_SITEMAPS = DiscoveryRule(url_excludes="wp-content")
 
 # Comments are consumed first, so a commented-out entry is not seen. A pattern, unlike an XML parser,
 # does not fail the job on one malformed document.
-_LOC = r"(?s)<!--.*?(?:-->|\z)|<loc(?:\s[^>]*)?>(.*?)</loc\s*>"
+_LOC = r"(?s)<!--.*?(?:-->|\z)|<loc(?:\s[^>]*+)?+>((?:[^<]++|<(?!/?loc\b))*+)</loc\b"
 
 
 def _unescape(text: Column) -> Column:

@@ -142,6 +142,20 @@ def test_ingredients(spark):
     assert each(spark, "recipeIngredient", "ingredients", values) == want
 
 
+def test_hostile_texts_are_read_in_linear_time(spark):
+    """Openings that never close, a megabyte each. A pattern that tries each of them to the end takes hours."""
+    ld, good = "application/ld+json", LD.format('{"@type":"Recipe","name":"good"}')
+    openings = ["<script ", "<!-- ", "<!--", "<style ", "<script a='", '<script a="', "<script type=", "<script>", "<", "-", "<a "]
+    htmls = [good + o * (1_000_000 // len(o)) + ld for o in openings]
+    assert [r.title for r in parse(spark, htmls)] == ["good"] * len(htmls)
+    texts = ["<" * 1_000_000, "<a" * 500_000, "<" * 1_000_000 + ">x", "a <b> c <d"]
+    got = each(spark, "description", "description", texts)
+    assert got == [texts[0], texts[1], "x", "a  c <d"]
+    xml = "<loc>" * 200_000 + "https://s.org/recipes/1</loc>" + "<!--" * 100_000
+    maps = spark.createDataFrame([("a", 0, "1-recipe.xml", xml)], "source string, sitemap_pos int, sitemap_url string, xml string")
+    assert [r.url for r in discover.discover_urls(maps, RECIPE_SITEMAPS).collect()] == ["https://s.org/recipes/1"]
+
+
 def test_strip_is_linear_on_long_blank_runs(spark):
     frame = spark.createDataFrame([("a" + " " * 200_000 + "b\t\n",)], "t string")
     assert frame.select(F.length(text.strip(F.col("t")))).first()[0] == 200_002
