@@ -24,31 +24,33 @@ def mask_recipes(recipes: DataFrame, masks: DataFrame, recipe: str = "recipe_id"
     return recipes.select(recipe).join(masks, recipe, "left").select(recipe, F.coalesce("mask", F.lit(0)).alias("mask"))
 
 
+DIETARY_TAGS = ("vegetarian", "vegan", "gluten_free", "contains_raw_egg")
+
+
 def dietary_tags_of(mask: Column) -> Column:
     """Tags of a recipe: the first three hold when no line objects, raw egg when any line says so."""
     meat, animal = has(mask, "meat"), has(mask, "non_vegan")
-    return F.array_compact(
-        F.array(
-            F.when(~meat, F.lit("vegetarian")),
-            F.when(~meat & ~animal, F.lit("vegan")),
-            F.when(~has(mask, "gluten"), F.lit("gluten_free")),
-            F.when(has(mask, "raw_egg") | has(mask, "raw_egg_any"), F.lit("contains_raw_egg")),
-        )
-    )
-
-
-def _link(rows: DataFrame, names: Column, key: str, dimension: DataFrame, id_name: str) -> DataFrame:
-    """Explode names and keep those the dimension knows."""
+    holds = (~meat, ~meat & ~animal, ~has(mask, "gluten"), has(mask, "raw_egg") | has(mask, "raw_egg_any"))
+    tags = [F.when(rule, F.lit(name)) for name, rule in zip(DIETARY_TAGS, holds, strict=True)]
+    return F.array_compact(F.array(*tags))
+
+
+def _link(rows: DataFrame, names: Column, possible: list[str], key: str, dimension: DataFrame, id_name: str) -> DataFrame:
+    """Explode names and keep those the dimension knows.
+
+    Names are unique there and only the possible ones can match, so the broadcast side has no more rows than these.
+    """
     exploded = rows.select(key, F.explode(names).alias("name"))
-    ids = dimension.select("name", F.col("id").alias(id_name))
-    return exploded.join(ids, "name").select(key, id_name, "name")
+    ids = dimension.where(F.col("name").isin(possible)).select("name", F.col("id").alias(id_name))
+    return exploded.join(F.broadcast(ids), "name").select(key, id_name, "name")
 
 
 def allergen_links(masks: DataFrame, allergens: DataFrame, key: str = "recipe_id") -> DataFrame:
     """(key, allergen_id, name) for recipes or ingredients, one row per pair."""
-    return _link(masks, categories_of(F.col("mask"), ALLERGENS), key, allergens, "allergen_id")
+    possible = [category.name for category in ALLERGENS]
+    return _link(masks, categories_of(F.col("mask"), ALLERGENS), possible, key, allergens, "allergen_id")
 
 
 def dietary_tag_links(masks: DataFrame, tags: DataFrame, key: str = "recipe_id") -> DataFrame:
     """(key, dietary_tag_id, name), one row per pair. Feed it from mask_recipes, which keeps empty recipes."""
-    return _link(masks, dietary_tags_of(F.col("mask")), key, tags, "dietary_tag_id")
+    return _link(masks, dietary_tags_of(F.col("mask")), list(DIETARY_TAGS), key, tags, "dietary_tag_id")
