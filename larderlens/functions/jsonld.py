@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from larderlens import lexicon
-from larderlens.functions.text import blank_to_null, clean_text, strip, title_case
+from larderlens.functions.text import blank_to_null, strip, title_case
 
 _LD_TYPE = "application/ld+json"
 

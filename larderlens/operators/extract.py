@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larderlens import schemas
-from larderlens.functions import jsonld
+from larderlens.functions import jsonld, text
 
 _INT_MAX = 2**31 - 1
 
 # Field -> (reader of the recipe node, finisher of what was read).
 FIELDS = {
     "title": (jsonld.read_text("name"), jsonld.title),
-    "description": (jsonld.read_any("description"), jsonld.clean_text),
+    "description": (jsonld.read_any("description"), text.clean_text),
     "prep_time": (jsonld.read_text("prepTime"), jsonld.minutes),
     "cook_time": (jsonld.read_text("cookTime"), jsonld.minutes),
     "total_time": (jsonld.read_text("totalTime"), jsonld.minutes),

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from larderlens.operators import search
 from larderlens.operators.search import Filters
