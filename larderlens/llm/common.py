@@ -57,11 +57,15 @@ def free_name(taken: DataFrame, wish: str) -> str:
     return wish
 
 
-def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
-    """Cut a batch into runs of rows with about `limit` bytes of text: the rows, and their texts as bytes (null: empty)."""
+def text_slices(
+    batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES, rows: int = 1 << 30
+) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Cut a batch into runs with about `limit` bytes of text and at most `rows` rows: the rows, and their texts as
+    bytes (null: empty)."""
     texts = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
     texts = pc.fill_null(texts, b"")
     part = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)) // limit
+    part = part + np.arange(len(part)) // rows
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
     for lo, hi in zip(edges[:-1], edges[1:], strict=True):
         if hi > lo:

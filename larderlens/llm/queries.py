@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larderlens.llm import exact_dedup, packing, token_counts
+from larderlens.llm import exact_dedup, language_id, packing, quality_rules, sentencepiece_codec, token_counts
 
 
 def vocabulary_path(name: str) -> str:
@@ -19,10 +19,24 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return quality_rules.rate(docs, quality_rules.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.round_trip(_documents(spark, sf_dir), vocabulary_path("piece_bpe_32k.model"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(_documents(spark, sf_dir))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return language_id.identify(docs, language_id.train(docs))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), vocabulary_path("word_bpe_49k.json"))
 
@@ -34,7 +48,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_quality_rules,
+        op3_sentencepiece,
         op4_exact_dedup,
+        op5_language_id,
         op9_best_fit_packing,
         op10_token_counts,
     )
