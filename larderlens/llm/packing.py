@@ -9,6 +9,8 @@ rows are packed as often as they occur.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -30,22 +32,60 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _CACHES: dict[str, ChunkCache] = {}
 
 
-def _encoder(path: str):
-    from tokenizers import Tokenizer
+class WordEncoder:
+    """Ids of chunks without white space, by the tokenizer of a file.
 
-    tokenizer = Tokenizer.from_file(path)
-
-    def encode(chunks: list[bytes]) -> Iterable[bytes]:
-        found = tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+    Most chunks consist of Latin letters, digits and ASCII signs. For these, and for the tokenizer's usual way of
+    splitting, the parts that its model sees are found here and each distinct part goes to the model once. All other
+    chunks go through the whole tokenizer.
+    """
 
-    return encode
+    # The steps before the model for which the short way holds.
+    STEPS = (
+        {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+        {"type": "Sequence", "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ]},
+    )
+    PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:;=-@\[-`{-~]+")
+    PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        spec = json.loads(self.tokenizer.to_str())
+        # PLAIN leaves out the sign that every added token begins with.
+        begin = all(t["content"].startswith("<") for t in spec["added_tokens"])
+        self.short = begin and (spec["normalizer"], spec["pre_tokenizer"]) == self.STEPS
+        # Bytes as the printable characters of byte-level vocabularies: visible ones stand for themselves.
+        seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in seen]
+        self.shown = {b: chr(b) for b in seen} | {b: chr(256 + n) for n, b in enumerate(others)}
+        self.parts = ChunkCache(self._by_model, held_bytes=32 << 20)
+
+    def _by_model(self, parts: list[str]) -> list[bytes]:
+        shown, tokenize = self.shown, self.model.tokenize
+        spelled = (part.encode().decode("latin-1").translate(shown) for part in parts)
+        return [np.array([t.id for t in tokenize(s)], dtype="<u4").tobytes() for s in spelled]
+
+    def __call__(self, chunks: list[bytes]) -> list[bytes]:
+        texts = [c.decode() for c in chunks]
+        cut = [self.PARTS.findall(t.lower()) if self.short and self.PLAIN.fullmatch(t) else None for t in texts]
+        known = self.parts.results(set().union(*filter(None, cut)))
+        whole = [t for t, parts in zip(texts, cut, strict=True) if parts is None]
+        found = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)) if whole else iter(())
+        return [
+            b"".join(map(known.__getitem__, parts)) if parts else np.array(next(found).ids, dtype="<u4").tobytes() for parts in cut
+        ]
 
 
 def token_ids(texts: Iterable[bytes], path: str) -> Iterator[bytes]:
     """The ids of each text as little-endian 32-bit numbers, without special tokens."""
     if path not in _CACHES:
-        _CACHES[path] = ChunkCache(_encoder(path))
+        _CACHES[path] = ChunkCache(WordEncoder(path))
     return _CACHES[path].joined([t.split() for t in texts])
 
 
