@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larderlens.llm import exact_dedup, html_extract, language_id, packing, quality_rules, sentencepiece_codec, token_counts
+from larderlens.llm import exact_dedup, html_extract, language_id, minhash_dedup, packing, quality_rules, sentencepiece_codec, token_counts
 
 
 def vocabulary_path(name: str) -> str:
@@ -37,6 +37,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.train(docs))
 
 
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.classes(_documents(spark, sf_dir))
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_sentencepiece,
         op4_exact_dedup,
         op5_language_id,
+        op6_minhash_dedup,
         op7_html_extraction,
         op9_best_fit_packing,
         op10_token_counts,
