@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larderlens.llm import exact_dedup, html_extract, language_id, minhash_dedup, packing, quality_rules, sentencepiece_codec, token_counts
+from larderlens.llm import exact_dedup, html_extract, language_id, minhash_dedup, packing, quality_rules, sentencepiece_codec, substring_dedup, token_counts
 
 
 def vocabulary_path(name: str) -> str:
@@ -45,6 +45,10 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(_documents(spark, sf_dir))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), vocabulary_path("word_bpe_49k.json"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_language_id,
         op6_minhash_dedup,
         op7_html_extraction,
+        op8_substring_dedup,
         op9_best_fit_packing,
         op10_token_counts,
     )
