@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larderlens.llm import exact_dedup, html_extract, language_id, minhash_dedup, packing, quality_rules, sentencepiece_codec, substring_dedup, token_counts
+from larderlens.llm import exact_dedup, html_extract, language_id, line_dedup, minhash_dedup, packing, quality_rules, sentencepiece_codec, substring_dedup, token_counts
 
 
 def vocabulary_path(name: str) -> str:
@@ -24,6 +24,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rate(docs, quality_rules.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dropped_lines(_documents(spark, sf_dir)).drop("text_key")
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip(_documents(spark, sf_dir), vocabulary_path("piece_bpe_32k.model"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules,
+        op2_line_dedup,
         op3_sentencepiece,
         op4_exact_dedup,
         op5_language_id,
