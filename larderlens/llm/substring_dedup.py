@@ -209,27 +209,40 @@ def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def remove_spans(words: list[bytes], lows: list[int], highs: list[int]) -> list[bytes]:
-    """The words that no span covers."""
-    gone = np.zeros(len(words) + 1, dtype=np.int64)
-    np.add.at(gone, lows, 1)
-    np.add.at(gone, highs, -1)
-    return [w for w, cover in zip(words, np.cumsum(gone)[:-1].tolist(), strict=True) if not cover]
+def remove_spans(text: bytes, lows: list[int], highs: list[int]) -> tuple[bytes, int]:
+    """A text without the words that a span covers, and how many those are. What stays keeps its white space; where words
+    went, the white space in front of the next word stays."""
+    words = Words(pa.array([text], pa.binary()))
+    starts, ends = words.starts, words.ends
+    cover = np.zeros(len(starts) + 1, dtype=np.int64)
+    np.add.at(cover, lows, 1)
+    np.add.at(cover, highs, -1)
+    gone = np.cumsum(cover)[:-1] > 0
+    step = np.flatnonzero(np.diff(np.r_[True, gone, True])).reshape(-1, 2)
+    parts: list[bytes] = []
+    for low, high in step.tolist():
+        parts.append(text[ends[low - 1] if parts else starts[low] : ends[high - 1]])
+    return b"".join(parts), int(gone.sum())
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, key, n_removed, kept (text): the documents that lose words."""
+    """doc_id, key, n_removed, kept_sha256, kept (text): the documents that lose words."""
     for batch in batches:
         for rows, texts in text_slices(batch):
             kept, removed = [], []
             for text, spans in zip(texts.to_pylist(), rows.column("spans").to_pylist(), strict=True):
-                words = text.split()
-                left = remove_spans(words, [s["low"] for s in spans], [s["high"] for s in spans])
-                kept.append(b" ".join(left).decode())
-                removed.append(len(words) - len(left))
+                left, n = remove_spans(text, [s["low"] for s in spans], [s["high"] for s in spans])
+                kept.append(left)
+                removed.append(n)
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), rows.column("key"), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
-                names=["doc_id", "key", "n_removed", "kept"],
+                [
+                    rows.column("doc_id"),
+                    rows.column("key"),
+                    pa.array(removed, pa.int64()),
+                    pa.array([_digest(k.split()) for k in kept], pa.string()),
+                    pa.array([k.decode() for k in kept], pa.string()),
+                ],
+                names=["doc_id", "key", "n_removed", "kept_sha256", "kept"],
             )
 
 
@@ -247,8 +260,9 @@ def _same_document(left: DataFrame, right: DataFrame) -> Column:
 
 
 def shortened(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """For `docs` (doc_id, text): doc_id, key, n_words and all_sha256 of every row; and doc_id, key, n_removed and kept
-    (the remaining words, joined by spaces) of the documents that lose words. `key` is the hash of the text."""
+    """For `docs` (doc_id, text): doc_id, key, n_words and all_sha256 of every row; and doc_id, key, n_removed,
+    kept_sha256 (of the remaining words joined by one space) and kept (the remaining text) of the documents that lose words.
+    `key` is the hash of the text."""
     keyed = _keyed(docs)
     winnowed = keyed.mapInArrow(
         _winnowed, "doc_id long, key long, n_words long, all_sha256 string, anchors array<long>, spots array<int>"
@@ -289,7 +303,7 @@ def shortened(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     spans = spans.groupBy(_doc_of("place").alias("doc")).agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     losing = texts.withColumn("doc", _doc_of("place")).join(spans.hint("merge"), "doc")
-    cut = losing.select("doc_id", "key", "text", "spans").mapInArrow(_cut, "doc_id long, key long, n_removed long, kept string")
+    cut = losing.select("doc_id", "key", "text", "spans").mapInArrow(_cut, "doc_id long, key long, n_removed long, kept_sha256 string, kept string")
     return facts.select("doc_id", "key", "n_words", "all_sha256"), settle(cut, "substring-cut")
 
 
@@ -297,7 +311,7 @@ def digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of every row of `docs` (doc_id, text)."""
     facts, cut = shortened(docs)
     # One short row per document that loses words; documents that repeat are few, and both sides are small.
-    lost = cut.select("doc_id", "key", "n_removed", F.sha2("kept", 256).alias("kept_sha256")).hint("merge")
+    lost = cut.select("doc_id", "key", "n_removed", "kept_sha256").hint("merge")
     told = facts.join(lost, _same_document(facts, lost), "left")
     return told.select(
         facts["doc_id"], "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("kept_sha256", "all_sha256").alias("kept_sha256")
@@ -305,17 +319,15 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 def shorten(docs: DataFrame) -> DataFrame:
-    """`docs` with the text of each document that loses words replaced by what is left, its words joined by spaces.
+    """`docs` with the text of each document that loses words replaced by what is left; it may be empty.
 
-    All other texts stay as they are. Documents without any words left are dropped. If there is an n_chars column of a
-    whole-number type it is set to the new length.
+    All other texts stay as they are. If there is an n_chars column of a whole-number type it is set to the new length.
     """
     _, cut = shortened(docs)
     key, kept, own = (free_name(docs, wish) for wish in ("key", "kept", "own_id"))
     keyed = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
     lost = cut.select(F.col("doc_id").alias(own), F.col("key").alias(f"{own}_key"), F.col("kept").alias(kept)).hint("merge")
     joined = keyed.join(lost, keyed["doc_id"].cast("long").eqNullSafe(lost[own]) & (keyed[key] == lost[f"{own}_key"]), "left")
-    joined = joined.where(F.col(kept).isNull() | (F.col(kept) != ""))
     kinds = {f.name: f.dataType for f in docs.schema}
     columns = []
     for name in docs.columns:
