@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 # Bytes of chunks and results that a worker keeps; then it starts anew.
-HELD_BYTES = 96 << 20
+HELD_BYTES = 160 << 20
 # A chunk longer than this is worked out each time.
 LONG_CHUNK = 512
 # What an entry takes besides its own bytes.

@@ -26,6 +26,7 @@ from larderlens.llm.common import settle, text_slices
 CAPACITY = 2048
 GROUP_PIECES = 16_384
 END_ID = 0
+MARK = b"\xff" * 4
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -49,7 +50,7 @@ class WordEncoder:
         ]},
     )
     PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:;=-@\[-`{-~]+")
-    PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+    PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|\n|[^a-zß-öø-ÿ0-9\n]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -64,22 +65,33 @@ class WordEncoder:
         seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in seen]
         self.shown = {b: chr(b) for b in seen} | {b: chr(256 + n) for n, b in enumerate(others)}
-        self.parts = ChunkCache(self._by_model, held_bytes=32 << 20)
+        del self.shown[10]  # parts have no line feed; it stands between them
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.parts = ChunkCache(self._by_model, held_bytes=64 << 20)
 
     def _by_model(self, parts: list[str]) -> list[bytes]:
-        shown, tokenize = self.shown, self.model.tokenize
-        spelled = (part.encode().decode("latin-1").translate(shown) for part in parts)
-        return [np.array([t.id for t in tokenize(s)], dtype="<u4").tobytes() for s in spelled]
+        spelled = "\n".join(parts).encode().decode("latin-1").translate(self.shown).split("\n")
+        return [b"".join([self.packed[t.id] for t in self.model.tokenize(s)]) for s in spelled]
+
+    def _by_parts(self, texts: list[str]) -> list[bytes]:
+        """Ids of plain texts. All are cut at once; a line feed between two becomes a mark that is no id."""
+        cut = self.PARTS.findall("\n".join(texts).lower())
+        wanted = set(cut)
+        wanted.discard("\n")
+        known = self.parts.results(wanted)
+        known["\n"] = MARK
+        held = b"".join(map(known.__getitem__, cut))
+        ends = (np.flatnonzero(np.frombuffer(held, dtype="<u4") == 0xFFFFFFFF) * 4).tolist()
+        return [held[lo:hi] for lo, hi in zip([0, *(e + 4 for e in ends)], [*ends, len(held)], strict=True)]
 
     def __call__(self, chunks: list[bytes]) -> list[bytes]:
         texts = [c.decode() for c in chunks]
-        cut = [self.PARTS.findall(t.lower()) if self.short and self.PLAIN.fullmatch(t) else None for t in texts]
-        known = self.parts.results(set().union(*filter(None, cut)))
-        whole = [t for t, parts in zip(texts, cut, strict=True) if parts is None]
-        found = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)) if whole else iter(())
-        return [
-            b"".join(map(known.__getitem__, parts)) if parts else np.array(next(found).ids, dtype="<u4").tobytes() for parts in cut
-        ]
+        plain = [self.short and bool(self.PLAIN.fullmatch(t)) for t in texts]
+        others = [t for t, yes in zip(texts, plain, strict=True) if not yes]
+        whole = self.tokenizer.encode_batch_fast(others, add_special_tokens=False) if others else []
+        by_tokenizer = (np.array(x.ids, dtype="<u4").tobytes() for x in whole)
+        by_parts = iter(self._by_parts([t for t, yes in zip(texts, plain, strict=True) if yes]) if any(plain) else ())
+        return [next(by_parts if yes else by_tokenizer) for yes in plain]
 
 
 def token_ids(texts: Iterable[bytes], path: str) -> Iterator[bytes]:
