@@ -4,7 +4,7 @@ A page is cut into blocks of text, each at the end of a root-to-leaf path of blo
 it is (by tag, role, class or id) is left out first. For each remaining path the text length and the punctuation of
 its blocks are summed and divided by the number of blocks; both ratios are smoothed over the paths in page order,
 fused by multiplication, and paths above the threshold hold content. The article is the article or main element with most
-content text, else the smallest element around all content blocks; all its blocks make the text, headings and short
+content text, else the smallest element around all content blocks and what stands beside them; all its blocks make the text, headings and short
 lines included.
 
 Character references are decoded, white space in a block becomes one space, and blocks are joined by a line feed. Null,
@@ -230,6 +230,8 @@ def main_text(page: str) -> str:
         top = max(weight, key=weight.__getitem__)
     else:
         top = _around([node for node, _ in chosen])
+        if any(node is top for node, _ in chosen) and top.parent and top.parent.tag not in ("", "html", "body"):
+            top = top.parent  # a heading or a line beside the only paragraph
     inside: dict[Node, bool] = {top: True}
 
     def within(node: Node | None) -> bool:
