@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from larderlens import lexicon
 from larderlens.functions.text import blank_to_null, strip, title_case
 
-_LD_TYPE = "application/ld+json"
+_LD_TYPE = "application/ld"
 
 # One pass over a page. Comments and raw-text elements are consumed whole, whichever opens first, so a
 # block inside a comment is not seen and a comment mark inside a script does not hide what follows.
 # Group 1 is the body of a JSON-LD script and empty for everything else. Possessive loops keep the pass
 # linear and the stack flat on long bodies.
 _VALUE = r"""=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
-_LD_ATTRIBUTE = r"""(?i:type)\s*=\s*(?:"application/ld\+json"|'application/ld\+json'|application/ld\+json(?=[\s>]))"""
+# Some frameworks write the plus sign as a character reference.
+_TYPE_VALUE = r"application/ld(?:\+|&#43;|&#[xX]2[bB];|&plus;)json"
+_LD_ATTRIBUTE = rf"""(?i:type)\s*=\s*(?:"{_TYPE_VALUE}"|'{_TYPE_VALUE}'|{_TYPE_VALUE}(?=[\s>]))"""
 _LD_TAG = (
     rf"(?=[\s/])(?:[\s/](?!{_LD_ATTRIBUTE})|{_VALUE}|[^\s/>=]++|=)*+[\s/]{_LD_ATTRIBUTE}"
     rf"(?:[\s/]|{_VALUE}|[^\s/>=]++|=)*+>"
@@ -68,13 +70,27 @@ def _single(wrapped: Column) -> Column:
     return F.when(_get(wrapped, "$[1]").isNull(), _get(wrapped, "$[0]"))
 
 
+# A number that JSON does not know, with all that stands before it since the last one; strings are consumed whole.
+_NO_NUMBER = (
+    r"(?s)\G((?:[^\"NI-]++|\"(?:[^\"\\]++|\\.)*+\"|-(?!Infinity)|N(?!aN)|I(?!nfinity))*+)-?(?:NaN|Infinity)"
+)
+
+
+def _known_numbers(body: Column) -> Column:
+    """NaN and Infinity outside strings read as null."""
+    has_any = F.contains(body, F.lit("NaN")) | F.contains(body, F.lit("Infinity"))
+    return F.when(has_any, F.regexp_replace(body, _NO_NUMBER, "$1null")).otherwise(body)
+
+
 def recipe_nodes(html: Column) -> Column:
     """Zero or one recipe node of a page: the first one over all blocks. Bad blocks are passed over.
 
     The parser ignores what follows the first value of a text. Blocks are therefore read as one-item
     lists, where a remainder breaks the list or adds an item.
     """
-    wrapped = F.transform(jsonld_blocks(html), lambda body: F.try_parse_json(F.concat(F.lit("["), body, F.lit("]"))))
+    wrapped = F.transform(
+        jsonld_blocks(html), lambda body: F.try_parse_json(F.concat(F.lit("["), _known_numbers(body), F.lit("]")))
+    )
     blocks = F.transform(wrapped, _single)
     parsed = F.filter(blocks, lambda block: block.isNotNull())
     recipes = F.filter(F.flatten(F.transform(parsed, _candidates)), _is_recipe)
@@ -101,6 +117,12 @@ def _first(node: Column) -> Column:
     return F.coalesce(_get(node, "$[0]"), node)
 
 
+def _first_leaf(node: Column) -> Column:
+    """Item 0 of a list, of that item 0 again, and so on at any depth. The parser reads the first value of a text only."""
+    inner = F.try_parse_json(F.regexp_replace(F.to_json(node), r"^\[+", ""))
+    return F.when(_get(node, "$[0]").isNull(), node).otherwise(inner)
+
+
 # Readers take the recipe node and fetch what a field is made from; finishers turn that into the value.
 # They run as two projections, so a node is fetched once however often the rule looks at it.
 
@@ -122,8 +144,8 @@ def read_first_any(field: str):
 
 
 def read_first_node(field: str):
-    """The node itself, or what is left of it after taking item 0 twice."""
-    return lambda recipe: _first(_first(_get(recipe, f"$.{field}")))
+    """The node itself, or the first item of a list, however deep it lies."""
+    return lambda recipe: _first_leaf(_get(recipe, f"$.{field}"))
 
 
 def read_list(field: str):

@@ -23,12 +23,6 @@ def attach_by_key(rows: DataFrame, summary: DataFrame, key: str, weight: str) ->
     return direct.unionByName(shuffled).drop(weight)
 
 
-def attach_lookup(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
-    """Inner join of `rows` with a lookup of one row per key, balanced by how often each key is used."""
-    uses = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_uses"))
-    return attach_by_key(rows, uses.join(lookup, key), key, "_uses")
-
-
 def widen(scan: DataFrame, *keys: str) -> DataFrame:
     """Spread a plain table scan over all cores when it has fewer splits than there are cores.
 

@@ -18,23 +18,13 @@ def summarise_urls(arrivals: DataFrame, loaded: DataFrame, order: list[str], goo
 
 
 def new_urls(arrivals: DataFrame, loaded: DataFrame, order: list[str], good: Column) -> DataFrame:
-    """(url, *order): the arrival to load of every URL not loaded before. URLs without a good one are left for later."""
-    firsts = arrivals.where(good).groupBy("url").agg(F.min(F.struct(*order)).alias("first_good"))
+    """(url, *order): the arrival to load of every URL not loaded before. URLs without a good one are left for later, and an
+    arrival without URL is never loaded."""
+    firsts = arrivals.where(good & F.col("url").isNotNull()).groupBy("url").agg(F.min(F.struct(*order)).alias("first_good"))
     fresh = firsts.join(loaded.select("url"), "url", "left_anti")
     return fresh.select("url", "first_good.*")
 
 
-def first_rows(arrivals: DataFrame, order: list[str], good: Column, columns: list[str]) -> DataFrame:
-    """(url, *columns) of the first good arrival of every URL, in one pass without a join.
-
-    The condition sits in the aggregate, not in a filter: a filter would move below the projection that
-    computes `good` and compute it once more there.
-    """
-    picked = F.min_by(F.struct(*columns), F.when(good, F.struct(*order)))
-    first = arrivals.groupBy("url").agg(picked.alias("row"))
-    return first.where(F.col("row").isNotNull()).select("url", "row.*")
-
-
 def arrival_status(
     arrivals: DataFrame,
     loaded: DataFrame,
@@ -46,18 +36,18 @@ def arrival_status(
     """Add `status` and `error_message` to every arrival.
 
     Anything that arrives once the URL is loaded is skipped, unread. The first good arrival is the success;
-    what came before it has `bad_status`, with `message` when that is a failure.
+    what came before it has `bad_status`, with `message` when that is a failure. An arrival without URL is a failure.
     """
-    summary = summarise_urls(arrivals, loaded, order, good)
-    rows = attach_by_key(arrivals, summary, "url", "arrivals")
+    named = arrivals.where(F.col("url").isNotNull())
+    rows = attach_by_key(named, summarise_urls(named, loaded, order, good), "url", "arrivals")
+    unnamed = arrivals.where(F.col("url").isNull()).withColumns(
+        {"status": F.lit("failed"), "error_message": F.lit("url missing")}
+    )
     here, first = F.struct(*order), F.col("first_good")
     done = F.col("known") | F.coalesce(here > first, F.lit(False))
     status = F.when(done, "skipped").when(here == first, "success").otherwise(bad_status)
-    return (
-        rows.withColumn("status", status)
-        .withColumn("error_message", F.when(F.col("status") == "failed", message))
-        .drop("first_good", "known")
-    )
+    told = rows.withColumn("status", status).withColumn("error_message", F.when(F.col("status") == "failed", message))
+    return told.drop("first_good", "known").unionByName(unnamed)
 
 
 def run_summary(log: DataFrame, by: str = "source_id") -> DataFrame:

@@ -12,9 +12,12 @@ from larderlens.functions.text import strip
 
 @dataclass(frozen=True)
 class DiscoveryRule:
-    """Which sitemaps of a source to read and which of their URLs to keep."""
+    """Which sitemaps of a source to read and which of their URLs to keep.
 
-    max_sitemaps: int = 2
+    Only the first `max_sitemaps` of a source are read; None reads all.
+    """
+
+    max_sitemaps: int | None = 2
     sitemap_contains: str | None = None
     url_contains: str | None = None
     url_excludes: str | None = None
@@ -29,11 +32,28 @@ POST_SITEMAPS = DiscoveryRule(url_excludes="wp-content")
 _LOC = r"(?s)<!--.*?(?:-->|\z)|<loc(?:\s[^>]*+)?+>((?:[^<]++|<(?!/?loc\b))*+)</loc\b"
 
 
+# What a text is made of: CDATA sections, character references, and runs of anything else.
+_TEXT_PARTS = r"(?s)<!\[CDATA\[.*?\]\]>|&(?:#[0-9]{1,7}|#x[0-9a-fA-F]{1,6}|lt|gt|quot|apos|amp);|[^&<]++|[&<]"
+_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}
+
+
+def _part_text(part: Column) -> Column:
+    """The text of one part. CDATA stands for itself; a reference to no character is left as it is."""
+    is_hex = F.startswith(part, F.lit("&#x"))
+    digits = F.regexp_extract(part, r"&#x?([0-9a-fA-F]+);", 1)
+    code = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).try_cast("int")
+    is_char = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    text = F.when(F.startswith(part, F.lit("<![CDATA[")), F.regexp_extract(part, r"(?s)^<!\[CDATA\[(.*)\]\]>$", 1))
+    for entity, plain in _ENTITIES.items():
+        text = text.when(part == entity, F.lit(plain))
+    return text.when(F.startswith(part, F.lit("&#")) & is_char, char).otherwise(part)
+
+
 def _unescape(text: Column) -> Column:
-    text = F.regexp_replace(text, r"(?s)<!\[CDATA\[(.*?)\]\]>", "$1")
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """References are decoded once, from left to right."""
+    decoded = F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_TEXT_PARTS), F.lit(0)), _part_text), "")
+    return F.when(F.contains(text, F.lit("&")) | F.contains(text, F.lit("<")), decoded).otherwise(text)
 
 
 def _chosen(sitemaps: DataFrame, rule: DiscoveryRule) -> DataFrame:
@@ -45,6 +65,8 @@ def _chosen(sitemaps: DataFrame, rule: DiscoveryRule) -> DataFrame:
     keys = sitemaps
     if rule.sitemap_contains:
         keys = keys.where(F.contains("sitemap_url", F.lit(rule.sitemap_contains)))
+    if rule.max_sitemaps is None:
+        return keys.select("source", "sitemap_pos")
     order = Window.partitionBy("source").orderBy("sitemap_pos")
     return (
         keys.select("source", "sitemap_pos", F.row_number().over(order).alias("rank"))

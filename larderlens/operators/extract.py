@@ -9,6 +9,7 @@ from larderlens import schemas
 from larderlens.functions import jsonld, text
 
 _INT_MAX = 2**31 - 1
+NO_URL = "url missing"
 
 # Field -> (reader of the recipe node, finisher of what was read).
 FIELDS = {
@@ -60,7 +61,8 @@ def _fault(condition: Column, message: str) -> Column:
 def row_fault(parsed: DataFrame) -> Column:
     """Why a parsed recipe cannot be stored, or null. These are the limits the tables declare."""
     limits = schemas.LENGTHS["recipes"]
-    faults = [_fault(F.length(parsed[name]) > size, f"{name} longer than {size}") for name, size in limits.items()]
+    faults = [_fault(F.coalesce(parsed["url"], F.lit("")) == "", NO_URL)]
+    faults += [_fault(F.length(parsed[name]) > size, f"{name} longer than {size}") for name, size in limits.items()]
     size = schemas.LENGTHS["ingredients"]["raw_name"]
     faults.append(
         _fault(F.exists(parsed["ingredients"], lambda line: F.length(line) > size), f"raw_name longer than {size}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,17 +13,6 @@ from pyspark.sql.functions import pandas_udf
 from larderlens.functions.text import normalise_ingredient
 from larderlens.lexicon import CATEGORIES, Category, bit, minimal
 
-try:
-    import ahocorasick
-except ImportError:  # scan_mask then falls back to the column expression
-    ahocorasick = None
-
-# A line text is looked up rather than matched in place when its share of all lines is at least
-# 1 / LOOKUP_ROWS. There can be no more than LOOKUP_ROWS of those, none longer than LOOKUP_LENGTH.
-LOOKUP_ROWS = 50_000
-LOOKUP_LENGTH = 255
-
-
 def _sql(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -52,8 +42,6 @@ def scan_mask(column: str, categories: tuple[Category, ...] = CATEGORIES) -> Col
     An automaton over all words runs in an Arrow-batched function. It returns the bits of the words seen,
     keywords low and exceptions high; the rule itself stays a column expression.
     """
-    if ahocorasick is None:
-        return category_mask(column, categories)
     width = len(categories)
     bits: dict[str, int] = {}
     for i, category in enumerate(categories):
@@ -97,23 +85,9 @@ def flag_names(names: DataFrame) -> DataFrame:
     return named.withColumn("mask", category_mask("normalised"))
 
 
-def flag_lines(lines: DataFrame, lookup_rows: int = LOOKUP_ROWS) -> DataFrame:
-    """Add `normalised` and `mask` to every line, without shuffling the lines.
-
-    Line texts repeat heavily. Frequent ones are matched once and looked up through a broadcast, whose
-    size the share rule above bounds whatever the data. The rest is matched in place, so the vocabulary
-    may grow freely, and a very frequent line is the cheapest one instead of a hot key.
-    """
-    counts = lines.where(F.length("raw") <= LOOKUP_LENGTH).groupBy("raw").agg(F.count(F.lit(1)).alias("uses"))
-    total = counts.agg(F.sum("uses")).scalar()
-    frequent = counts.where(F.col("uses") * lookup_rows >= total).select("raw")
-    lookup = flag_names(frequent).select("raw", F.struct("normalised", "mask").alias("known"))
-    named = lines.join(F.broadcast(lookup), "raw", "left").withColumn(
-        "normalised", F.coalesce("known.normalised", normalise_ingredient(F.col("raw")))
-    )
-    return named.select(
-        *lines.columns, "normalised", F.coalesce("known.mask", category_mask("normalised")).alias("mask")
-    )
+def flag_lines(lines: DataFrame) -> DataFrame:
+    """Add `normalised` and `mask` to every line, where it stands: no line is moved, and the vocabulary may grow freely."""
+    return flag_names(lines)
 
 
 def ingredient_dimension(lines: DataFrame) -> DataFrame:

@@ -56,8 +56,15 @@ def delete_recipes(tables: dict[str, DataFrame], deleted: DataFrame) -> dict[str
     return {**tables, "recipes": without_keys(tables["recipes"], "id", deleted, "id"), **kept}
 
 
+def used_ingredients(tables: dict[str, DataFrame], deleted: DataFrame) -> DataFrame:
+    """(id) of the ingredients to delete that a recipe still has; these cannot go."""
+    used = tables["recipe_ingredients"].select(F.col("ingredient_id").alias("id")).distinct()
+    return deleted.select("id").distinct().join(used, "id", "left_semi")
+
+
 def delete_ingredients(tables: dict[str, DataFrame], deleted: DataFrame) -> dict[str, DataFrame]:
-    """Remove ingredients and their allergen rows."""
+    """Remove ingredients that no recipe has, and their allergen rows. See `used_ingredients` for those that stay."""
+    deleted = without_keys(deleted.select("id"), "id", used_ingredients(tables, deleted), "id")
     return {
         **tables,
         "ingredients": without_keys(tables["ingredients"], "id", deleted, "id"),

@@ -13,13 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larderlens.functions.labels import page_count, page_from, page_to
-from larderlens.functions.skew import attach_lookup
+from larderlens.functions.staging import settle
 
 PRESET_LIMITS = (15, 30, 60, 90)
 MAX_PAGE_SIZE = 100
-# Up to this position a page is cut from a top-k; beyond it the k rows kept per task would grow with the page number.
-SHALLOW_ROWS = 100_000
-_SPLITS = 1024
 
 SUMMARY_FIELDS = ("id", "title", "url", "cuisine", "prep_time", "cook_time", "total_time", "servings", "image_url")
 
@@ -62,29 +59,19 @@ def without_allergens(recipes: DataFrame, recipe_allergens: DataFrame, allergens
 
 
 def with_tags(recipes: DataFrame, recipe_dietary_tags: DataFrame, dietary_tags: DataFrame, names: str | None) -> DataFrame:
-    """Keep recipes with every listed tag that exists.
+    """Keep recipes with every listed tag that exists; when there is none, nothing is filtered.
 
-    One aggregate over the link table answers all tags, where a semi join per tag would shuffle it once
-    for each. The ids of the known names are read first (at most one per name of the request); when there
-    are none, nothing is filtered.
+    Links are unique pairs, so one count per recipe answers all tags, where a semi join per tag would shuffle the link
+    table once for each.
     """
     wanted = split_names(names)
     if not wanted:
         return recipes
     known = dietary_tags.where(F.col("name").isin(wanted)).select(F.col("id").alias("dietary_tag_id"))
-    needed = [row[0] for row in known.collect()]
-    if not needed:
-        return recipes
-    links = recipe_dietary_tags.where(F.col("dietary_tag_id").isin(needed))
-    if len(needed) == 1:
-        tagged = links
-    else:
-        tagged = (
-            links.groupBy("recipe_id")
-            .agg(F.count_distinct("dietary_tag_id").alias("held"))
-            .where(F.col("held") == len(needed))
-        )
-    return recipes.join(tagged.select(F.col("recipe_id").alias("id")), "id", "left_semi")
+    links = recipe_dietary_tags.join(known, "dietary_tag_id").groupBy(F.col("recipe_id").alias("id"))
+    held = links.agg(F.count(F.lit(1)).alias("held"))
+    enough = F.coalesce("held", F.lit(0)) >= known.agg(F.count(F.lit(1))).scalar()
+    return recipes.join(held, "id", "left").where(enough).drop("held")
 
 
 def filter_recipes(
@@ -105,47 +92,24 @@ def total_count(recipes: DataFrame) -> DataFrame:
     return recipes.agg(F.count(F.lit(1)).alias("total"))
 
 
-def _descend(recipes: DataFrame, skip: int, size: int, shallow: int) -> tuple[DataFrame, int]:
-    """Narrow an id-ordered table to an id range that starts near row `skip`, and return what is left to skip.
+def _check_size(size: int) -> None:
+    if not 1 <= size <= MAX_PAGE_SIZE:
+        raise ValueError("size is between 1 and 100")
 
-    Counts rows in equal id ranges (at most _SPLITS result rows), keeps the ranges the page touches and
-    repeats inside them. Nothing is sorted or moved but the counts.
-    """
-    while skip + size > shallow:
-        low, high = recipes.agg(F.min("id"), F.max("id")).first()
-        if low is None or low == high:
-            break
-        step = max(1, -(-(high - low + 1) // _SPLITS))
-        # Whole-number division of decimals: hashed ids span more than a BIGINT can hold.
-        slot = F.expr(f"CAST((CAST(id AS DECIMAL(38, 0)) - ({low}BD)) DIV {step}BD AS INT)")
-        counts = dict(recipes.groupBy(slot.alias("slot")).count().collect())
-        passed, first, last, covered = 0, None, None, 0
-        for number in sorted(counts):
-            if first is None and passed + counts[number] <= skip:
-                passed += counts[number]
-                continue
-            first = number if first is None else first
-            last, covered = number, covered + counts[number]
-            if passed + covered >= skip + size:
-                break
-        if first is None:
-            return recipes.limit(0), 0
-        start, end = low + first * step, min(high, low + (last + 1) * step - 1)
-        if (start, end) == (low, high):
-            break
-        recipes = recipes.where(F.col("id").between(start, end))
-        skip -= passed
-    return recipes, skip
-
-
-def page(recipes: DataFrame, number: int = 1, size: int = 20, shallow: int = SHALLOW_ROWS) -> DataFrame:
-    """One page in id order. Past the end it is empty."""
-    if number < 1 or not 1 <= size <= MAX_PAGE_SIZE:
-        raise ValueError("page starts at 1 and size is between 1 and 100")
-    skip = (number - 1) * size
-    if skip + size > shallow:
-        recipes, skip = _descend(recipes, skip, size, shallow)
-    return recipes.orderBy("id").offset(skip).limit(size)
+
+def page(recipes: DataFrame, number: int = 1, size: int = 20) -> DataFrame:
+    """One page in id order. Past the end it is empty. Its cost grows with the page number; see `page_after`."""
+    if number < 1:
+        raise ValueError("pages start at 1")
+    _check_size(size)
+    return recipes.orderBy("id").offset((number - 1) * size).limit(size)
+
+
+def page_after(recipes: DataFrame, last_id: int | None, size: int = 20) -> DataFrame:
+    """The page after the one that ended with `last_id` (None: the first). It costs the same however deep it lies."""
+    _check_size(size)
+    left = recipes if last_id is None else recipes.where(F.col("id") > last_id)
+    return left.orderBy("id").limit(size)
 
 
 def _dimension_rows(links: DataFrame, dimension: DataFrame, link_id: str) -> DataFrame:
@@ -155,21 +119,33 @@ def _dimension_rows(links: DataFrame, dimension: DataFrame, link_id: str) -> Dat
     return links.select("recipe_id", link_id).join(rows, link_id).select("recipe_id", "item")
 
 
-def _nest(rows: DataFrame, name: str) -> DataFrame:
-    """One sorted array per recipe. The items of a recipe came from one page, which bounds their number."""
-    return rows.groupBy(F.col("recipe_id").alias("id")).agg(F.sort_array(F.collect_list("item")).alias(name))
-
-
-def _empty_for_null(frame: DataFrame, name: str) -> DataFrame:
-    return frame.withColumn(name, F.coalesce(name, F.array().cast(frame.schema[name].dataType)))
+def _nested(rows: dict[str, DataFrame], keys: DataFrame | None) -> DataFrame:
+    """(id, one sorted array per name) from rows (recipe_id, item), all arrays in one aggregation. With `keys`
+    (recipe_id), only their rows. The items of a recipe came from one page, which bounds their number."""
+    kinds = {name: frame.schema["item"].dataType for name, frame in rows.items()}
+    tagged = None
+    for name, frame in rows.items():
+        own = [(F.col("item") if other == name else F.lit(None).cast(kind)).alias(other) for other, kind in kinds.items()]
+        part = frame.select("recipe_id", *own)
+        tagged = part if tagged is None else tagged.unionByName(part)
+    if keys is not None:
+        tagged = tagged.join(keys, "recipe_id", "left_semi")
+    arrays = [F.sort_array(F.collect_list(name)).alias(name) for name in rows]
+    return tagged.groupBy(F.col("recipe_id").alias("id")).agg(*arrays)
+
+
+def _with_arrays(recipes: DataFrame, rows: dict[str, DataFrame], keys: DataFrame | None) -> DataFrame:
+    joined = recipes.join(_nested(rows, keys), "id", "left")
+    empty = {name: F.coalesce(name, F.array().cast(joined.schema[name].dataType)) for name in rows}
+    fields = [f for f in (*SUMMARY_FIELDS, "description") if f in recipes.columns]
+    return joined.withColumns(empty).select(*fields, *rows)
 
 
-def _links_of(recipes: DataFrame, links: DataFrame, on_page: bool) -> DataFrame:
-    """Only the link rows of the given recipes. A page is at most 100 rows, so it is the side to broadcast."""
-    if not on_page:
-        return links
-    ids = recipes.select(F.col("id").alias("recipe_id"))
-    return links.join(F.broadcast(ids), "recipe_id", "left_semi")
+def _names_of(recipe_allergens: DataFrame, recipe_dietary_tags: DataFrame, allergens: DataFrame, dietary_tags: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "allergens": _dimension_rows(recipe_allergens, allergens, "allergen_id"),
+        "dietary_tags": _dimension_rows(recipe_dietary_tags, dietary_tags, "dietary_tag_id"),
+    }
 
 
 def summaries(
@@ -180,20 +156,35 @@ def summaries(
     dietary_tags: DataFrame,
     on_page: bool = False,
 ) -> DataFrame:
-    """Recipes with their allergens and tags as arrays of structs, each aggregated on its own side.
+    """Recipes with their allergens and tags as arrays of structs.
 
-    Set `on_page` when `recipes` is the result of `page`: the link tables are then filtered in place
-    instead of shuffled.
+    Set `on_page` when `recipes` is a stored page: links are then joined with its ids before they are aggregated.
     """
-    result = recipes
-    for name, links, dimension, link_id in (
-        ("allergens", recipe_allergens, allergens, "allergen_id"),
-        ("dietary_tags", recipe_dietary_tags, dietary_tags, "dietary_tag_id"),
-    ):
-        rows = _dimension_rows(_links_of(recipes, links, on_page), dimension, link_id)
-        result = _empty_for_null(result.join(_nest(rows, name), "id", "left"), name)
-    fields = [f for f in (*SUMMARY_FIELDS, "description") if f in recipes.columns]
-    return result.select(*fields, "allergens", "dietary_tags")
+    keys = recipes.select(F.col("id").alias("recipe_id")) if on_page else None
+    return _with_arrays(recipes, _names_of(recipe_allergens, recipe_dietary_tags, allergens, dietary_tags), keys)
+
+
+def list_recipes(
+    recipes: DataFrame,
+    recipe_allergens: DataFrame,
+    recipe_dietary_tags: DataFrame,
+    allergens: DataFrame,
+    dietary_tags: DataFrame,
+    filters: Filters,
+    number: int = 1,
+    size: int = 20,
+) -> DataFrame:
+    """One row (total, page, size, results): how many recipes pass the filters, and the summaries of one page of them.
+
+    The filters are evaluated once, into a stored table of what passes; count and page are read from that, and the page
+    is stored for its links. No join side is broadcast but by its known size.
+    """
+    links = (recipe_allergens, recipe_dietary_tags, allergens, dietary_tags)
+    kept = settle(filter_recipes(recipes, *links, filters).select(*SUMMARY_FIELDS), "kept-recipes")
+    shown = settle(page(kept, number, size), "recipe-page")
+    results = summaries(shown, *links, on_page=True).agg(F.sort_array(F.collect_list(F.struct("*"))).alias("results"))
+    total = total_count(kept).scalar()
+    return results.select(total.alias("total"), F.lit(number).alias("page"), F.lit(size).alias("size"), "results")
 
 
 def details(
@@ -208,26 +199,19 @@ def details(
 ) -> DataFrame:
     """Full recipes of the given ids, with ingredients. A missing id gives no row.
 
-    The ids prune every link table before it is aggregated. A common ingredient is part of very many
-    recipes, so names are attached by a join that allows for frequent keys.
+    The ids prune the link tables once, before they are aggregated together. A common ingredient is part of very many
+    recipes; its rows meet its name in a plain join, which skew-join splitting keeps even.
     """
     wanted = ids.select("id").distinct()
     keys = wanted.withColumnRenamed("id", "recipe_id")
-    found = recipes.join(wanted, "id", "left_semi")
-    nested = summaries(
-        found,
-        recipe_allergens.join(keys, "recipe_id", "left_semi"),
-        recipe_dietary_tags.join(keys, "recipe_id", "left_semi"),
-        allergens,
-        dietary_tags,
-    )
     names = ingredients.select(
         F.col("id").alias("ingredient_id"), F.struct("id", "raw_name", "normalised_name").alias("ingredient")
     )
-    links = recipe_ingredients.join(keys, "recipe_id", "left_semi")
+    pruned = recipe_ingredients.join(keys, "recipe_id", "left_semi").join(names, "ingredient_id")
     item = F.struct("ingredient", "quantity", "unit", "preparation").alias("item")
-    lines = attach_lookup(links, names, "ingredient_id").select("recipe_id", item)
-    return _empty_for_null(nested.join(_nest(lines, "ingredients"), "id", "left"), "ingredients")
+    rows = _names_of(recipe_allergens, recipe_dietary_tags, allergens, dietary_tags)
+    found = recipes.join(wanted, "id", "left_semi")
+    return _with_arrays(found, rows | {"ingredients": pruned.select("recipe_id", item)}, keys)
 
 
 def dimension_of(ids: DataFrame, links: DataFrame, dimension: DataFrame, link_id: str) -> DataFrame:

@@ -36,7 +36,7 @@ DESCRIPTIONS = ("null", '"<p>About <b>{k}</b></p>"', '""', '"<br>"', '"Plain {k}
 IMAGES = (
     '"https://img.example.org/{k}.jpg"', '{{"url":"https://img.example.org/{k}.jpg"}}',
     '["https://img.example.org/{k}.jpg","https://img.example.org/other.jpg"]', "null", "[]",
-    '[{{"url":"https://img.example.org/{k}.jpg"}}]',
+    '[{{"url":"https://img.example.org/{k}.jpg"}}]', '[[["https://img.example.org/{k}.jpg"],1]]',
 )
 RECIPE_CUISINES = ('"italian"', '["tex-mex","x"]', "null", '""', "[]", '"  o\'neil style "', '"British"')
 RECIPE_CATEGORIES = (
@@ -114,7 +114,7 @@ def pages(spark: SparkSession, sf_dir: str, with_lines: bool = True, with_copies
     """Recipe pages (url, source, arrival, html) rendered from orders.
 
     One page in 13 has no block and one in 17 a blank title. With copies, one in 10 arrives twice under another
-    name; of those, every second has no block the first time.
+    name; of those, every second has no block the first time; and one in 29 has lost its URL.
     """
     k = F.col("o_orderkey")
     base = widen(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
@@ -152,6 +152,8 @@ def pages(spark: SparkSession, sf_dir: str, with_lines: bool = True, with_copies
         ("<script type='application/ld+json' id=\"x\">[{\"@type\":\"Organization\",\"name\":\"Site\"},", "]</script>"),
         ('<SCRIPT async type="application/ld+json" >{"@graph":[{"@type":"WebPage","name":"W"},', "]}</SCRIPT>"),
         ('<script type="application/ld+json">{broken</script>\n<script type=application/ld+json>', "</script>"),
+        ('<script type="application/ld&#x2B;json">', "</script>"),
+        ('<script type="application/ld+json">[{"@type":"Offer","name":"NaN","price":[NaN,-Infinity]},', "]</script>"),
     )
     block = F.concat(_pick(tuple(f[0] for f in forms), k), F.col("node"), _pick(tuple(f[1] for f in forms), k))
     no_block = (k % 13 == 0) | ((k % 20 == 0) & (F.col("arrival") == 1) & F.lit(with_copies))
@@ -161,8 +163,9 @@ def pages(spark: SparkSession, sf_dir: str, with_lines: bool = True, with_copies
         F.when(no_block, F.lit("<script>var x = '<!--';</script>")).otherwise(block),
         F.lit("</head><body><p>Text</p></body></html>"),
     )
+    url = F.when(~((k % 29 == 0) & F.lit(with_copies)), recipe_url(k))
     return base.withColumn("node", node).select(
-        recipe_url(k).alias("url"), (F.col("o_custkey") % 2 + 1).cast("string").alias("source"), "arrival", html.alias("html")
+        url.alias("url"), (F.col("o_custkey") % 2 + 1).cast("string").alias("source"), "arrival", html.alias("html")
     )
 
 
@@ -187,6 +190,8 @@ def sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = k.cast("string")
     url = (
         F.when(k % 7 == 0, F.concat(F.lit("https://example.org/premium/recipes/"), text))
+        .when(k % 45 == 0, F.concat(F.lit("<![CDATA[https://example.org/recipes/"), text, F.lit("?a=1&b=2]]>")))
+        .when(k % 18 == 0, F.concat(F.lit("https://example.org/recipes/"), text, F.lit("?a=1&#038;b&#x3d;2")))
         .when(k % 9 == 0, F.concat(F.lit("https://example.org/recipes/"), text, F.lit("?a=1&amp;b=2")))
         .when(k % 6 == 0, F.concat(F.lit("https://example.org/wp-content/"), text, F.lit(".html")))
         .when(k % 50 == 1, F.concat(F.lit("https://example.org/recipes/shared-"), source.cast("string")))
@@ -214,10 +219,11 @@ def sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page arrivals (url, source_id, ts, event_id, event_type), from events."""
-    user = F.col("user_id")
+    """Page arrivals (url, source_id, ts, event_id, event_type), from events. A third is of one URL, and a few have none."""
+    user, event = F.col("user_id"), F.col("event_id")
+    url = F.when(event % 3 == 0, F.lit("front")).when(event % 97 != 0, user.cast("string"))
     return table(spark, sf_dir, "events").select(
-        user.cast("string").alias("url"), (user % 2 + 1).alias("source_id"), "ts", "event_id", "event_type"
+        url.alias("url"), (user % 2 + 1).alias("source_id"), "ts", "event_id", "event_type"
     )
 
 

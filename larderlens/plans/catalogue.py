@@ -8,11 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larderlens import session
+from larderlens import schemas, session
 from larderlens.operators import arrivals, discover, extract, matching, rollup
 from larderlens.operators.discover import POST_SITEMAPS, RECIPE_SITEMAPS, DiscoveryRule
 from larderlens.sources.seeds import add_sources
-from larderlens.sources.tables import Catalogue
+from larderlens.sources.tables import DEFAULT_RUN, Catalogue
 
 _LOG = logging.getLogger(__name__)
 _ORDER = ["arrival", "row_id"]
@@ -49,69 +49,100 @@ def discover_all(sitemaps: DataFrame, sources: tuple[Source, ...] = SOURCES) ->
     return result
 
 
-def register_sources(tables: Catalogue, sources: list[Source], batch: int) -> None:
+def register_sources(tables: Catalogue, sources: list[Source], batch: int, run: str = DEFAULT_RUN) -> None:
     """Append the sources that are not in the table yet."""
     spark = tables.spark
     wanted = spark.createDataFrame([(s.name, s.base_url) for s in sources], "name string, base_url string")
-    new = add_sources(tables.read("sources", before_batch=batch), wanted).select(
+    new = add_sources(tables.read("sources", batch, run), wanted).select(
         F.xxhash64("base_url").alias("id"),
         "name",
         "base_url",
         F.lit(True).alias("enabled"),
         F.current_timestamp().alias("created_at"),
     )
-    tables.write("sources", new, batch)
+    tables.write("sources", new, batch, run)
 
 
-def load_batch(tables: Catalogue, pages: DataFrame, batch: int, sources: tuple[Source, ...] = SOURCES) -> None:
+def choose_pages(pages: DataFrame, urls: DataFrame | None) -> DataFrame:
+    """The pages (url, source) that discovery found; all where there is no table of found URLs (source, url)."""
+    if urls is None:
+        return pages
+    return pages.join(urls.select("source", "url").distinct(), ["source", "url"], "left_semi").select(*pages.columns)
+
+
+def winning_rows(parsed: DataFrame, loaded: DataFrame, order: list[str]) -> DataFrame:
+    """The parsed pages to load: of every URL not loaded before the first good arrival. `order` ends with a unique column,
+    so the join is spread evenly however often one URL arrives."""
+    good = F.col("outcome") == "success"
+    winners = arrivals.new_urls(parsed.select("url", *order, "outcome"), loaded, order, good)
+    return parsed.where(good).join(winners.select(order[-1]), order[-1], "left_semi")
+
+
+def log_rows(parsed: DataFrame, loaded: DataFrame, order: list[str]) -> DataFrame:
+    """Every arrival with its status, as the log holds it: no URL is null or longer than the log allows."""
+    seen = parsed.select(*[c for c in ("url", "source") if c in parsed.columns], *order, "outcome", "error_message")
+    good = F.col("outcome") == "success"
+    log = arrivals.arrival_status(seen, loaded, order, good, F.col("outcome"), F.col("error_message"))
+    limit = schemas.LENGTHS["run_log"]["url"]
+    return log.drop("outcome").withColumn("url", F.left(F.coalesce("url", F.lit("")), F.lit(limit)))
+
+
+def load_batch(
+    tables: Catalogue,
+    pages: DataFrame,
+    batch: int,
+    sources: tuple[Source, ...] = SOURCES,
+    run: str = DEFAULT_RUN,
+    urls: DataFrame | None = None,
+) -> None:
     """Load one batch of pages (url, source = base_url, html, arrival) and log every arrival.
 
+    With `urls` (source, url), as discovery returns them, other pages are passed over. Batches are numbered within
+    a run; writers that number their own batches give themselves different runs.
+
     Pages are parsed once, into a staged table that also fixes the row order; accepted recipes, names and
     masks are staged likewise, and every table is a narrow read of one of these. A batch depends on earlier
     batches only, so running it again gives the same tables. With no source enabled nothing is done.
     """
     session.configure(tables.spark)
+    session.configure(pages.sparkSession)
     active = enabled(sources)
     if not active:
         _LOG.warning("no source is enabled")
         return
-    register_sources(tables, active, batch)
+    register_sources(tables, active, batch, run)
 
-    chosen = pages.where(F.col("source").isin([s.base_url for s in active]))
+    chosen = choose_pages(pages.where(F.col("source").isin([s.base_url for s in active])), urls)
     category_sources = [s.base_url for s in active if s.cuisine_in_category]
     numbered = extract.parse_pages(chosen, category_sources).withColumn("row_id", F.monotonically_increasing_id())
-    parsed = tables.stage("parsed", numbered)
+    stage = lambda name, rows: tables.stage(name, rows, batch, run)
+    write = lambda name, rows: tables.write(name, rows, batch, run)
+    parsed = stage("parsed", numbered)
 
-    seen = parsed.select("url", "source", *_ORDER, "outcome", "error_message")
-    loaded = tables.read("recipes", before_batch=batch)
-    good = F.col("outcome") == "success"
-    winners = arrivals.new_urls(seen, loaded, _ORDER, good)
-    # row_id is unique, so the join key is spread evenly however often one url arrives.
-    fresh = parsed.where(good).join(winners.select("row_id"), "row_id", "left_semi")
-    accepted = tables.stage("accepted", fresh.withColumn("id", F.xxhash64("url")).drop("row_id", "outcome", "error_message"))
+    loaded = tables.read("recipes", batch, run)
+    fresh = winning_rows(parsed, loaded, _ORDER)
+    accepted = stage("accepted", fresh.withColumn("id", F.xxhash64("url")).drop("row_id", "outcome", "error_message"))
 
     now = F.current_timestamp()
-    tables.write(
-        "recipes", accepted.withColumns({"source_id": F.xxhash64("source"), "scraped_at": now}), batch
-    )
+    write("recipes", accepted.withColumns({"source_id": F.xxhash64("source"), "scraped_at": now}))
 
     lines = accepted.select(F.col("id").alias("recipe_id"), F.explode("ingredients").alias("raw"))
     pairs = rollup.bridge(lines.select("recipe_id", F.xxhash64("raw").alias("ingredient_id")), "recipe_id", "ingredient_id")
     unknown = F.lit(None).cast("string")
-    tables.write("recipe_ingredients", pairs.withColumns({c: unknown for c in ("quantity", "unit", "preparation")}), batch)
+    write("recipe_ingredients", pairs.withColumns({c: unknown for c in ("quantity", "unit", "preparation")}))
 
-    known = tables.read("ingredients", before_batch=batch).select(F.col("raw_name").alias("raw"))
+    known = tables.read("ingredients", batch, run).select(F.col("raw_name").alias("raw"))
     new_lines = lines.select("raw").distinct().join(known, "raw", "left_anti")
-    names = tables.stage("names", matching.flag_names(new_lines).withColumn("id", F.xxhash64("raw")))
+    names = stage("names", matching.flag_names(new_lines).withColumn("id", F.xxhash64("raw")))
     renamed = {"raw": "raw_name", "normalised": "normalised_name"}
-    tables.write("ingredients", names.withColumnsRenamed(renamed).withColumn("created_at", now), batch)
+    write("ingredients", names.withColumnsRenamed(renamed).withColumn("created_at", now))
     ingredient_links = rollup.allergen_links(names.withColumnRenamed("id", "ingredient_id"), tables.allergens(), "ingredient_id")
-    tables.write("ingredient_allergens", ingredient_links.withColumn("confidence", F.lit("high")), batch)
+    write("ingredient_allergens", ingredient_links.withColumn("confidence", F.lit("high")))
 
     recipe_ids = accepted.select(F.col("id").alias("recipe_id"))
-    masks = tables.stage("masks", rollup.mask_recipes(recipe_ids, rollup.recipe_masks(matching.flag_lines(lines))))
-    tables.write("recipe_allergens", rollup.allergen_links(masks, tables.allergens()), batch)
-    tables.write("recipe_dietary_tags", rollup.dietary_tag_links(masks, tables.dietary_tags()), batch)
+    masks = stage("masks", rollup.mask_recipes(recipe_ids, rollup.recipe_masks(matching.flag_lines(lines))))
+    write("recipe_allergens", rollup.allergen_links(masks, tables.allergens()))
+    write("recipe_dietary_tags", rollup.dietary_tag_links(masks, tables.dietary_tags()))
 
-    log = arrivals.arrival_status(seen, loaded, _ORDER, good, F.col("outcome"), F.col("error_message"))
-    tables.write("run_log", log.withColumns({"source_id": F.xxhash64("source"), "scraped_at": now}), batch)
+    log = log_rows(parsed, loaded, _ORDER)
+    write("run_log", log.withColumns({"source_id": F.xxhash64("source"), "scraped_at": now}))

@@ -92,7 +92,7 @@ SAFE = """SELECT * FROM recipes WHERE total_time <= 60
 # What the rendered pages hold, per modulus of the order key.
 URL = "'https://example.org/recipes/' || k"
 HAS_BLOCK, HAS_TITLE = "k % 13 <> 0", "k % 13 <> 0 AND k % 17 <> 0"
-IMAGE = "CASE WHEN k % 6 NOT IN (3, 4) THEN 'https://img.example.org/' || k || '.jpg' END"
+IMAGE = "CASE WHEN k % 7 NOT IN (3, 4) THEN 'https://img.example.org/' || k || '.jpg' END"
 DESCRIPTION = "CASE k % 5 WHEN 1 THEN 'About ' || k WHEN 4 THEN 'Plain ' || k END"
 _PLAIN = _pick(("Italian", "Tex-Mex", None, None, None, "O'Neil Style", "British"), "k")
 _CATEGORY = _pick(("Dinner", None, "Asian", "Prep", None, None, "Slow   Stew", "Dinner"), "k")
@@ -111,10 +111,10 @@ def _if_block(value: str) -> str:
 N_LINES = """CAST(CASE WHEN k % 10 = 9 THEN 0 ELSE coalesce(n, 0) + CASE WHEN k % 10 = 3 THEN 1 ELSE 0 END END AS INT)"""
 
 LOADED = "loaded AS (SELECT CAST(c_custkey AS VARCHAR) AS url FROM customer WHERE c_mktsegment = 'HOUSEHOLD')"
-ARRIVALS_CTE = f"""arrivals AS (SELECT CAST(user_id AS VARCHAR) AS url, user_id % 2 + 1 AS source_id, ts, event_id, event_type FROM events),
+ARRIVALS_CTE = f"""arrivals AS (SELECT CASE WHEN event_id % 3 = 0 THEN 'front' WHEN event_id % 97 <> 0 THEN CAST(user_id AS VARCHAR) END AS url, user_id % 2 + 1 AS source_id, ts, event_id, event_type FROM events),
 {LOADED},
 good AS (SELECT url, ts, event_id FROM (
-  SELECT *, row_number() OVER (PARTITION BY url ORDER BY ts, event_id) AS n FROM arrivals WHERE event_type <> 'error') WHERE n = 1),
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY ts, event_id) AS n FROM arrivals WHERE event_type <> 'error' AND url IS NOT NULL) WHERE n = 1),
 log AS (SELECT a.event_id, a.source_id, a.url,
   CASE WHEN l.url IS NOT NULL OR (g.url IS NOT NULL AND (a.ts, a.event_id) > (g.ts, g.event_id)) THEN 'skipped'
     WHEN a.event_id = g.event_id THEN 'success' ELSE 'failed' END AS status
@@ -145,6 +145,19 @@ def _names_of(links: str, alias: str) -> str:
     return f"(SELECT coalesce(string_agg(name, ',' ORDER BY name), '') FROM {links} x WHERE x.recipe_id = r.id) AS {alias}"
 
 
+DISCOVERED = _discovery("pos NOT IN (1, 5)", "contains(url, '/recipes/') AND NOT contains(url, '/premium/')")
+
+
+def _answer(number: int, rule: str, page: int, size: int) -> str:
+    shown = """id || '|' || title || '|' || coalesce((SELECT string_agg(name, ',' ORDER BY name) FROM recipe_allergens x WHERE x.recipe_id = r.id), '')
+      || '|' || coalesce((SELECT string_agg(name, ',' ORDER BY name) FROM recipe_tags x WHERE x.recipe_id = r.id), '')"""
+    kept = f"SELECT * FROM recipes WHERE {rule}"
+    return f"""SELECT CAST({number} AS INT) AS request, (SELECT count(*) FROM ({kept})) AS total, CAST({page} AS INT) AS page, CAST({size} AS INT) AS size,
+      coalesce((SELECT string_agg({shown}, ';' ORDER BY id) FROM ({kept} ORDER BY id LIMIT {size} OFFSET {(page - 1) * size}) r), '') AS results"""
+
+
+_TAGGED = "id IN (SELECT recipe_id FROM recipe_tags WHERE name = '{}')"
+
 ORACLE = {
     "page_status": f"""SELECT {URL} AS url, CASE WHEN {HAS_TITLE} THEN 'success' ELSE 'skipped' END AS status FROM {O}
       UNION ALL SELECT url, 'skipped' FROM pages""",
@@ -169,7 +182,8 @@ ORACLE = {
     "recipe_table": f"""SELECT {URL} AS url, CAST(c % 2 + 1 AS VARCHAR) AS source,
       'Recipe ' || k || CASE WHEN k % 20 = 0 THEN ' again' ELSE '' END AS title, {DESCRIPTION} AS description,
       {CUISINE} AS cuisine, {PREP} AS prep_time, {COOK} AS cook_time, {TOTAL} AS total_time, {SERVINGS} AS servings,
-      {IMAGE} AS image_url FROM {O} WHERE {HAS_TITLE}""",
+      {IMAGE} AS image_url FROM {O} WHERE {HAS_TITLE} AND k % 29 <> 0 AND k % 31 <> 0""",
+    "load_discovered": f"""SELECT {URL} AS url, 'Recipe ' || k AS title FROM {O} WHERE {URL} IN (SELECT url FROM ({DISCOVERED}))""",
     "discover_recipe_urls": _discovery("pos NOT IN (1, 5)", "contains(url, '/recipes/') AND NOT contains(url, '/premium/')"),
     "discover_post_urls": _discovery("true", "NOT contains(url, 'wp-content')"),
     "source_upsert": """SELECT DISTINCT 'Site ' || l_suppkey AS name, 'https://site-' || l_suppkey || '.example.org' AS base_url
@@ -192,12 +206,18 @@ ORACLE = {
       FROM recipe_flags WHERE category IN ('raw_egg', 'raw_egg_any') GROUP BY recipe_id""",
     "incremental_new_urls": f"""WITH {ARRIVALS_CTE} SELECT url, event_id FROM good
       WHERE url NOT IN (SELECT url FROM loaded)""",
-    "run_log": f"""WITH {ARRIVALS_CTE} SELECT event_id, source_id, url, status,
-      CASE WHEN status = 'failed' THEN 'error on ' || url END AS error_message FROM log""",
+    "run_log": f"""WITH {ARRIVALS_CTE} SELECT event_id, source_id, coalesce(url, '') AS url, status,
+      CASE WHEN url IS NULL THEN 'url missing' WHEN status = 'failed' THEN 'error on ' || url END AS error_message FROM log""",
     "run_summary": f"""WITH {ARRIVALS_CTE} SELECT source_id, count(*) FILTER (status <> 'failed') AS ok,
       count(*) FILTER (status = 'failed') AS failed FROM log GROUP BY source_id""",
     "recipes_page": f"""WITH {RECIPES_CTE} SELECT id, title, url, cuisine, prep_time, cook_time, total_time, servings, image_url
       FROM recipes ORDER BY id LIMIT 20 OFFSET 40""",
+    "recipes_page_deep": f"WITH {RECIPES_CTE} SELECT id, title FROM recipes ORDER BY id LIMIT 20 OFFSET 1180",
+    "recipes_page_after": f"WITH {RECIPES_CTE} SELECT id, title FROM recipes WHERE id > 1000 ORDER BY id LIMIT 20",
+    "recipe_list": f"""WITH {LINKS_CTE}
+      {_answer(0, f"id IN (SELECT id FROM ({SAFE}))", 2, 20)}
+      UNION ALL {_answer(1, "cuisine ILIKE '%ian%'", 1, 50)}
+      UNION ALL {_answer(2, f"{_TAGGED.format('vegan')} AND {_TAGGED.format('contains_raw_egg')}", 1, 20)}""",
     "filter_cuisine": f"WITH {RECIPES_CTE} SELECT id, cuisine FROM recipes WHERE cuisine ILIKE '%ian%'",
     "filter_max_time": f"WITH {RECIPES_CTE} SELECT id, total_time FROM recipes WHERE total_time <= 30",
     "exclude_allergens": f"""WITH {LINKS_CTE} SELECT id, title FROM recipes
@@ -257,7 +277,13 @@ ORACLE = {
       SELECT 'title missing' AS rule, id, CAST(NULL AS INT) AS length FROM broken WHERE title IS NULL
       UNION ALL SELECT 'url missing', id, NULL FROM broken WHERE url IS NULL
       UNION ALL SELECT 'title longer than 255', id, CAST(length(title) AS INT) FROM broken WHERE length(title) > 255
-      UNION ALL SELECT 'url longer than 500', id, CAST(length(url) AS INT) FROM broken WHERE length(url) > 500""",
+      UNION ALL SELECT 'url longer than 500', id, CAST(length(url) AS INT) FROM broken WHERE length(url) > 500
+      UNION ALL SELECT 'quantity longer than 50', l_orderkey, 60 FROM lineitem WHERE l_orderkey % 101 = 0
+      UNION ALL SELECT 'preparation longer than 100', l_orderkey, 120 FROM lineitem WHERE l_orderkey % 103 = 0""",
+    "delete_ingredients": f"""WITH {LINKS_CTE}, names AS (SELECT DISTINCT pid, raw FROM lines)
+      SELECT 'ingredient' AS kind, raw AS raw_name FROM names WHERE raw NOT LIKE '1%'
+      UNION ALL SELECT 'refused', raw FROM names WHERE raw LIKE '2%'
+      UNION ALL SELECT 'allergen row', raw FROM names JOIN flags USING (pid) JOIN allergens ON name = category WHERE raw NOT LIKE '1%'""",
     "dq_domains": """SELECT 'status' AS column_name, event_id, event_type AS value FROM events
       WHERE event_type NOT IN ('click', 'view', 'error')""",
     "cascade_delete": f"""WITH {LINKS_CTE}, gone AS (SELECT o_orderkey FROM orders WHERE o_orderpriority = '5-LOW'),

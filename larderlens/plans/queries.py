@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from larderlens import schemas, session
 from larderlens.functions import labels
+from larderlens.functions.staging import settle
+from larderlens.functions.text import normalise_ingredient
 from larderlens.lexicon import CATEGORIES
 from larderlens.operators import arrivals, discover, extract, matching, quality, rollup, search
 from larderlens.plans import bindings as b
+from larderlens.plans import catalogue
 from larderlens.sources import seeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,10 +102,19 @@ def ingredient_lines(spark, sf_dir):
 
 @_query
 def recipe_table(spark, sf_dir):
-    """The recipes written by a run over pages of which some arrive twice."""
+    """The recipes a load writes from pages of which some arrive twice, some have no URL and some are known."""
     parsed = extract.parse_pages(b.pages(spark, sf_dir, with_copies=True), b.CATEGORY_SOURCES)
-    good = F.col("outcome") == "success"
-    return _small_ints(arrivals.first_rows(parsed, ["arrival"], good, ["source", *_PAGE_FIELDS]))
+    parsed = settle(parsed.withColumn("row_id", F.monotonically_increasing_id()), "parsed-pages")
+    loaded = b.recipes(spark, sf_dir).where("id % 31 = 0").select("url")
+    return _small_ints(catalogue.winning_rows(parsed, loaded, ["arrival", "row_id"]).select("url", "source", *_PAGE_FIELDS))
+
+
+@_query
+def load_discovered(spark, sf_dir):
+    """The pages that discovery leads to."""
+    here = F.lit("1").alias("source")
+    found = discover.discover_urls(b.sitemaps(spark, sf_dir), discover.RECIPE_SITEMAPS).select(here, "url")
+    return catalogue.choose_pages(b.recipes(spark, sf_dir).select("url", here, "title"), found).select("url", "title")
 
 
 # Discovery
@@ -167,8 +179,7 @@ def _both_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 @_query
 def normalise_ingredients(spark, sf_dir):
-    flagged = matching.flag_lines(b.lines(spark, sf_dir))
-    return flagged.select("recipe_id", "pos", "raw", "normalised")
+    return b.lines(spark, sf_dir).select("recipe_id", "pos", "raw", normalise_ingredient(F.col("raw")).alias("normalised"))
 
 
 @_query
@@ -233,14 +244,13 @@ def incremental_new_urls(spark, sf_dir):
 
 
 def _run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return arrivals.arrival_status(
-        b.arrivals(spark, sf_dir),
-        b.loaded_urls(spark, sf_dir),
-        _ARRIVAL_ORDER,
-        F.col("event_type") != "error",
-        F.lit("failed"),
-        F.concat(F.lit("error on "), F.col("url")),
+    seen = b.arrivals(spark, sf_dir).withColumnRenamed("source_id", "source").withColumns(
+        {
+            "outcome": F.when(F.col("event_type") == "error", "failed").otherwise("success"),
+            "error_message": F.concat(F.lit("error on "), F.col("url")),
+        }
     )
+    return catalogue.log_rows(seen, b.loaded_urls(spark, sf_dir), _ARRIVAL_ORDER).withColumnRenamed("source", "source_id")
 
 
 @_query
@@ -262,6 +272,18 @@ def recipes_page(spark, sf_dir):
     return search.page(b.recipes(spark, sf_dir), 3, 20).select(*search.SUMMARY_FIELDS)
 
 
+@_query
+def recipes_page_deep(spark, sf_dir):
+    """Page 60 of all recipes, 20 a page."""
+    return search.page(b.recipes(spark, sf_dir), 60, 20).select("id", "title")
+
+
+@_query
+def recipes_page_after(spark, sf_dir):
+    """The 20 recipes after a known id."""
+    return search.page_after(b.recipes(spark, sf_dir), 1000, 20).select("id", "title")
+
+
 @_query
 def filter_cuisine(spark, sf_dir):
     return search.by_cuisine(b.recipes(spark, sf_dir), "iAn").select("id", "cuisine")
@@ -325,6 +347,28 @@ def recipe_summary(spark, sf_dir):
     )
 
 
+REQUESTS = (
+    (search.Filters(exclude_allergens="dairy,egg", dietary_tags="vegetarian", max_total_time=60), 2, 20),
+    (search.Filters(cuisine="ian"), 1, 50),
+    (search.Filters(dietary_tags="vegan,contains_raw_egg"), 1, 20),
+)
+
+
+@_query
+def recipe_list(spark, sf_dir):
+    """The answers to three saved requests."""
+    recipes = b.recipes(spark, sf_dir)
+    links = [settle(frame, "links") for frame in _both_links(spark, sf_dir)]
+    shown = lambda r: F.concat_ws(
+        "|", r.id, r.title, F.array_join(F.array_sort(r.allergens["name"]), ","), F.array_join(F.array_sort(r.dietary_tags["name"]), ",")
+    )
+    answers = []
+    for n, (filters, number, size) in enumerate(REQUESTS):
+        answer = search.list_recipes(recipes, *links, seeds.allergens(spark), seeds.dietary_tags(spark), filters, number, size)
+        answers.append(answer.select(F.lit(n).alias("request"), "total", "page", "size", F.array_join(F.transform("results", shown), ";").alias("results")))
+    return quality.union_all(answers)
+
+
 @_query
 def recipe_detail(spark, sf_dir):
     """The full recipes of the wanted ids."""
@@ -453,7 +497,18 @@ def dq_lengths(spark, sf_dir):
     long_title = F.when(k % 40 == 0, F.repeat(F.lit("x"), 300)).otherwise(F.when(k % 43 != 0, F.col("title")))
     url = F.when(k % 41 != 0, F.when(k % 47 == 0, F.concat("url", F.repeat(F.lit("y"), 500))).otherwise(F.col("url")))
     broken = b.recipes(spark, sf_dir).select("id", long_title.alias("title"), url.alias("url"), "cuisine", "image_url")
-    return quality.text_faults(broken, "id", ["title", "url"], schemas.LENGTHS["recipes"])
+    amounts = b.lines(spark, sf_dir).select(
+        F.col("recipe_id").alias("id"),
+        F.when(F.col("recipe_id") % 101 == 0, F.repeat(F.lit("q"), 60)).alias("quantity"),
+        F.lit("g").alias("unit"),
+        F.when(F.col("recipe_id") % 103 == 0, F.repeat(F.lit("p"), 120)).alias("preparation"),
+    )
+    return quality.union_all(
+        [
+            quality.text_faults(broken, "id", ["title", "url"], schemas.LENGTHS["recipes"]),
+            quality.text_faults(amounts, "id", [], schemas.LENGTHS["recipe_ingredients"]),
+        ]
+    )
 
 
 @_query
@@ -486,3 +541,25 @@ def cascade_delete(spark, sf_dir):
         per_recipe = rows.groupBy(F.col(key).alias("recipe_id")).agg(F.count(F.lit(1)).alias("rows_left"))
         counts.append(per_recipe.select(F.lit(name).alias("table_name"), "recipe_id", "rows_left"))
     return quality.union_all(counts)
+
+
+@_query
+def delete_ingredients(spark, sf_dir):
+    """Which ingredients stay after some were deleted, which of these could not go, and whose allergen rows are left."""
+    rows = matching.ingredient_dimension(b.lines(spark, sf_dir)).withColumn("id", F.xxhash64("raw"))
+    links = rollup.allergen_links(rows.withColumnRenamed("id", "ingredient_id"), seeds.allergens(spark), "ingredient_id")
+    used = b.lines(spark, sf_dir).where(~F.col("raw").startswith("1"))
+    tables = {
+        "ingredients": rows.select("id", "raw"),
+        "ingredient_allergens": links.select("ingredient_id", "allergen_id"),
+        "recipe_ingredients": rollup.bridge(used.select("recipe_id", F.xxhash64("raw").alias("ingredient_id")), "recipe_id", "ingredient_id"),
+    }
+    deleted = rows.where(F.col("raw").startswith("1") | F.col("raw").startswith("2")).select("id")
+    left = quality.delete_ingredients(tables, deleted)
+    named = rows.select("id", F.col("raw").alias("raw_name"))
+    kinds = {
+        "ingredient": left["ingredients"].select("id"),
+        "refused": quality.used_ingredients(tables, deleted),
+        "allergen row": left["ingredient_allergens"].select(F.col("ingredient_id").alias("id")),
+    }
+    return quality.union_all([f.join(named, "id").select(F.lit(kind).alias("kind"), "raw_name") for kind, f in kinds.items()])

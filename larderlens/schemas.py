@@ -72,6 +72,9 @@ LENGTHS = {
     "sources": {"name": 100, "base_url": 255},
     "recipes": {"title": 255, "url": 500, "cuisine": 100, "image_url": 500},
     "ingredients": {"raw_name": 255, "normalised_name": 255},
+    "recipe_ingredients": {"quantity": 50, "unit": 50, "preparation": 100},
+    "allergens": {"name": 100, "display_name": 100},
+    "dietary_tags": {"name": 100, "display_name": 100},
     "run_log": {"url": 500},
 }
 
@@ -93,6 +96,8 @@ KEYS = (
     ("ingredient_allergens", ("ingredient_id", "allergen_id")),
     ("recipe_allergens", ("recipe_id", "allergen_id")),
     ("recipe_dietary_tags", ("recipe_id", "dietary_tag_id")),
+    ("allergens", ("name",)),
+    ("dietary_tags", ("name",)),
 )
 
 # Child column -> parent table; every parent key is `id`.

@@ -41,8 +41,8 @@ def dietary_tags(spark: SparkSession) -> DataFrame:
 
 def add_sources(existing: DataFrame, wanted: DataFrame) -> DataFrame:
     """The wanted (name, base_url) that do not exist yet, one row per base_url."""
-    missing = wanted.join(existing.select("base_url"), "base_url", "left_anti")
-    return missing.groupBy("base_url").agg(F.min("name").alias("name")).select("name", "base_url")
+    named = wanted.groupBy("base_url").agg(F.min("name").alias("name"))
+    return named.join(existing.select("base_url"), "base_url", "left_anti").select("name", "base_url")
 
 
 def enabled_sources(sources: DataFrame) -> DataFrame:

@@ -1,22 +1,29 @@
 """The catalogue as Parquet tables under one folder.
 
-Each table is a folder of batches, `<table>/batch=<n>`. A batch is written by overwriting its own folder,
-so a task, job or batch that is run again after a failure replaces its rows and never adds them twice.
+Each table is a folder of batches, `<table>/run=<run>/batch=<n>`. A run is one writer that numbers its batches: the
+batch loads of a user, or one stream. A batch is written by overwriting its own folder, so a task, job or batch that is run
+again after a failure replaces its rows and never adds them twice, and no writer touches another's rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StringType, StructType
 from pyspark.sql.utils import AnalysisException
 
 from larderlens import schemas
+from larderlens.operators import quality
 from larderlens.sources import seeds
 
 
+#: The run of batch loads that name none.
+DEFAULT_RUN = "loads"
+
+
 class Catalogue:
     """Reads and writes the tables of one catalogue folder."""
 
@@ -26,38 +33,47 @@ class Catalogue:
         self.spark = spark
         self.root = root.rstrip("/")
         shared = spark.conf.get("spark.checkpoint.dir", None)
-        own = re.sub(r"\W+", "_", self.root)
+        own = hashlib.sha256(self.root.encode()).hexdigest()[:24]
         self.staging = staging or (f"{shared.rstrip('/')}/larderlens/{own}" if shared else f"{self.root}/_staging")
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def read(self, table: str, before_batch: int | None = None) -> DataFrame:
-        """A table, or what batches below `before_batch` wrote of it. A table not written yet is empty."""
-        schema = schemas.TABLES[table]
-        with_batch = StructType([*schema.fields]).add("batch", LongType())
+    def read(self, table: str, before_batch: int | None = None, run: str = DEFAULT_RUN) -> DataFrame:
+        """A table without its folder columns. A table not written yet is empty.
+
+        With `before_batch`, the rows that this batch of `run` builds on: all but those of the batch itself and of later
+        ones of its run.
+        """
+        rows = self._rows(table)
+        if before_batch is not None:
+            rows = rows.where(~((F.col("run") == run) & (F.col("batch") >= before_batch)))
+        return rows.drop("run", "batch")
+
+    def _rows(self, table: str) -> DataFrame:
+        with_batch = StructType([*schemas.TABLES[table].fields]).add("run", StringType()).add("batch", LongType())
         try:
             frame = self.spark.read.schema(with_batch).parquet(self.path(table))
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
             frame = self.spark.createDataFrame([], with_batch)
-        if before_batch is not None:
-            frame = frame.where(F.col("batch") < before_batch)
-        return frame.drop("batch")
+        return frame
 
-    def write(self, table: str, rows: DataFrame, batch: int) -> None:
+    def write(self, table: str, rows: DataFrame, batch: int, run: str = DEFAULT_RUN) -> None:
         """Write one batch in schema order."""
+        if not re.fullmatch(r"[\w-]+", run):
+            raise ValueError("a run is named by letters, digits, _ and -")
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.TABLES[table].fields]
-        rows.select(*columns).write.mode("overwrite").parquet(f"{self.path(table)}/batch={batch}")
+        rows.select(*columns).write.mode("overwrite").parquet(f"{self.path(table)}/run={run}/batch={batch}")
 
-    def stage(self, name: str, rows: DataFrame) -> DataFrame:
-        """Write an intermediate result of the running batch and read it back.
+    def stage(self, name: str, rows: DataFrame, batch: int = 0, run: str = DEFAULT_RUN) -> DataFrame:
+        """Write an intermediate result of a batch and read it back.
 
         Several tables are made from it, so it is computed once; what follows does not depend on lost executors
-        of what came before. The next batch overwrites it.
+        of what came before. Only the same batch of the same run and catalogue overwrites it.
         """
-        path = f"{self.staging}/{name}"
+        path = f"{self.staging}/run={run}/batch={batch}/{name}"
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
@@ -67,8 +83,23 @@ class Catalogue:
     def dietary_tags(self) -> DataFrame:
         return seeds.dietary_tags(self.spark)
 
+    def delete_recipes(self, deleted: DataFrame) -> None:
+        """Remove recipes (`deleted` has `id`) and every row that links to them from storage.
+
+        What stays of all tables is staged first; each table is then overwritten, so a deletion that breaks off is
+        completed by asking for it again.
+        """
+        tables = {name: self._rows(name) for name in ("recipes", "recipe_ingredients", "recipe_allergens", "recipe_dietary_tags")}
+        ids = self.stage("deleted", deleted.select("id").distinct(), run="delete")
+        kept = {name: self.stage(name, rows, run="delete") for name, rows in quality.delete_recipes(tables, ids).items()}
+        for name, rows in kept.items():
+            rows.write.mode("overwrite").partitionBy("run", "batch").parquet(self.path(name))
+
     def save_bucketed(self, table: str, key: str, buckets: int, name: str) -> None:
-        """Copy a table into a bucketed catalog table, so joins and roll-ups on `key` need no shuffle."""
+        """Copy a table into a bucketed catalog table, so joins and roll-ups on `key` need no shuffle.
+
+        Its files lie in the catalogue folder.
+        """
         rows = self.read(table)
         (
             rows.repartition(buckets, key)
@@ -76,5 +107,6 @@ class Catalogue:
             .bucketBy(buckets, key)
             .sortBy(key)
             .format("parquet")
+            .option("path", f"{self.root}/_bucketed/{name}")
             .saveAsTable(name)
         )

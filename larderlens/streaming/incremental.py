@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from threading import Event
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from larderlens import session
 from larderlens.plans.catalogue import SOURCES, Source, load_batch
 from larderlens.sources.pages import stream_pages
 from larderlens.sources.tables import Catalogue
@@ -21,13 +24,16 @@ def start_loading(
     """Load page files that have not been loaded yet into the catalogue at `root`.
 
     With `every` (such as "24 hours") the query keeps running at that interval; without it, it takes what is
-    there and ends. Progress is kept in the catalogue folder, and a batch that is repeated after a failure
-    rewrites its own folders, so restarting is always safe.
+    there and ends. Progress is kept in the catalogue folder. The stream writes as a run of its own, named by the
+    id that is kept with its progress, so a batch that is repeated after a failure rewrites its own folders and no others.
+    If the progress folder is lost, the stream is a new run: it reads all page files again and finds their URLs known.
     """
-    tables = Catalogue(spark, root)
+    tables = Catalogue(session.configure(spark), root)
+    named, run = Event(), []
 
     def load(batch_rows: DataFrame, batch: int) -> None:
-        load_batch(tables, batch_rows, batch, sources)
+        named.wait()
+        load_batch(tables, batch_rows, batch, sources, run[0])
 
     writer = (
         stream_pages(spark, pages_path, files_per_batch=files_per_batch)
@@ -35,4 +41,7 @@ def start_loading(
         .option("checkpointLocation", f"{tables.root}/_progress")
     )
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    query = writer.trigger(**trigger).start()
+    run.append(f"stream-{query.id}")
+    named.set()
+    return query

@@ -199,3 +199,30 @@ def test_discovery(spark):
     assert [(r.sitemap_pos, r.url) for r in posts] == [(0, f"{site}/p1?x=1&y=2"), (1, f"{site}/p2")]
     one = discover.discover_urls(maps.where("source = 'b'"), discover.DiscoveryRule(1, url_excludes="wp-content"))
     assert [r.url for r in one.collect()] == [f"{site}/p1?x=1&y=2"]
+
+
+def test_accepted_forms(spark):
+    forms = {
+        "coded": ('<script type="application/ld&#x2B;json">{"@type":"Recipe","name":"A","image":[[["http://i"]]]}</script>', "A", "http://i"),
+        "named": ("<script type='application/ld&plus;json'>{\"@type\":\"Recipe\",\"name\":\"B\"}</script>", "B", None),
+        "numbers": (
+            '<script type="application/ld+json">{"@type":"Recipe","name":"C NaN, -Infinity","x":[NaN,-Infinity,"y\\"NaN"],"image":[[{"url":"u"},2],3]}</script>',
+            "C NaN, -Infinity", "u",
+        ),
+        "empty": ('<script type="application/ld+json">{"@type":"Recipe","name":"D","image":[[],"x"]}</script>', "D", None),
+    }
+    pages = spark.createDataFrame([(k, "1", v[0], 1) for k, v in forms.items()], "url string, source string, html string, arrival long")
+    for r in extract.parse_pages(pages, []).collect():
+        assert (r.title, r.image_url) == forms[r.url][1:]
+
+
+def test_sitemap_references_are_decoded_once(spark):
+    locs = {
+        "a&#038;b&#x26;c": "a&b&c", "&amp;#38;": "&#38;", "&#38;lt;": "&lt;", "<![CDATA[x?a=1&amp;b]]>": "x?a=1&amp;b",
+        "p&#128512;&#0;&bogus;": "p😀&#0;&bogus;",
+    }
+    xml = "<urlset>" + "".join(f"<loc>{loc}</loc>" for loc in locs) + "</urlset>"
+    rows = [("s", n, "u", xml if n == 3 else "") for n in range(4)]
+    maps = spark.createDataFrame(rows, "source string, sitemap_pos int, sitemap_url string, xml string")
+    found = discover.discover_urls(maps, discover.DiscoveryRule(max_sitemaps=None)).collect()
+    assert {r.url for r in found} == set(locs.values())

@@ -120,7 +120,7 @@ def test_catalogue_is_sound(loaded):
 def test_check_finds_what_is_broken(spark, tmp_path):
     tables = Catalogue(spark, str(tmp_path / "c"), staging=str(tmp_path / "staging"))
     load_batch(tables, frame(spark, FIRST), 0)
-    assert (tmp_path / "staging" / "parsed").is_dir() and not (tmp_path / "c" / "_staging").exists()
+    assert (tmp_path / "staging" / "run=loads" / "batch=0" / "parsed").is_dir() and not (tmp_path / "c" / "_staging").exists()
     recipes = tables.read("recipes")
     double = recipes.where("url = 'u/1'").withColumn("title", F.repeat(F.lit("x"), 300))
     stray = recipes.where("url = 'u/2'").select(F.lit(5).alias("id"), F.lit(6).alias("source_id"), F.lit(None).alias("title"), F.lit("u/x").alias("url"), *recipes.columns[4:])
@@ -182,6 +182,63 @@ def test_stream_runs_equal_one_batch_run(spark, loaded, tmp_path):
     assert content(Catalogue(spark, root)) == content(loaded)
 
 
+def test_stream_and_batch_loads_share_a_catalogue(spark, tmp_path):
+    """Both number their batches from 0; neither overwrites the other, also when the stream loses its progress."""
+    import shutil
+
+    pages, root = str(tmp_path / "pages"), str(tmp_path / "catalogue")
+    tables = Catalogue(spark, root)
+    load_batch(tables, frame(spark, [("u/old", SITE_A, page("Old", "1 onion"), 1)]), 0)
+    frame(spark, FIRST).coalesce(1).write.parquet(pages)
+    for _ in range(2):
+        query = start_loading(spark, pages, root)
+        query.awaitTermination(120)
+        assert query.exception() is None
+        assert titles(tables) == {"u/old": "Old", "u/1": "One", "u/2": "Two", "u/5": "Empty", "u/7": "Seven"}
+        assert check_catalogue(tables).collect() == []
+        shutil.move(f"{root}/_progress", str(tmp_path / "lost"))
+
+
+def test_stream_configures_the_session(spark, tmp_path):
+    """A page that repeats a JSON key is read as on a configured session."""
+    pages, own = str(tmp_path / "pages"), spark.newSession()
+    own.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    body = page("Twice", "1 onion").replace('"@type"', '"name": "First", "@type"')
+    frame(spark, [("u/d", SITE_A, body, 1)]).write.parquet(pages)
+    query = start_loading(own, pages, str(tmp_path / "c"))
+    query.awaitTermination(120)
+    assert query.exception() is None
+    assert titles(Catalogue(spark, str(tmp_path / "c"))) == {"u/d": "Twice"}
+
+
+def test_catalogues_stage_apart(spark, tmp_path):
+    one, two = Catalogue(spark, str(tmp_path / "cat-a")), Catalogue(spark, str(tmp_path / "cat_a"))
+    assert one.staging != two.staging
+    left, right = (t.stage("x", spark.range(n)) for t, n in ((one, 3), (two, 5)))
+    assert (left.count(), right.count()) == (3, 5)
+
+
+def test_pages_without_url_are_logged_and_never_loaded(spark, tmp_path):
+    tables = Catalogue(spark, str(tmp_path))
+    rows = [(None, SITE_A, page("Lost", "1 onion"), 1), ("", SITE_A, page("Blank"), 2), ("u/" + "x" * 600, SITE_A, page("Long"), 3), ("u/1", SITE_A, page("One"), 4)]
+    schema = "url string, source string, html string, arrival long"
+    for batch in range(2):
+        load_batch(tables, spark.createDataFrame(rows, schema), batch)
+    assert titles(tables) == {"u/1": "One"}
+    log = [(r.url[:9], r.status, r.error_message) for r in tables.read("run_log").collect()]
+    assert log.count(("", "failed", "url missing")) == 4
+    assert log.count(("u/xxxxxxx", "failed", "url longer than 500")) == 2 and len(log) == 8
+    assert check_catalogue(tables).collect() == []
+
+
+def test_only_found_urls_are_loaded(spark, tmp_path):
+    tables = Catalogue(spark, str(tmp_path))
+    urls = spark.createDataFrame([(SITE_A, "u/1"), (SITE_A, "u/1"), (SITE_A, "u/2"), (SITE_B, "u/9")], "source string, url string")
+    load_batch(tables, frame(spark, FIRST), 0, urls=urls)
+    assert titles(tables) == {"u/1": "One"}
+    assert sorted(r.status for r in tables.read("run_log").collect()) == ["skipped", "success"]
+
+
 def test_discovery_over_sources(spark):
     xml = "<urlset><url><loc>{}</loc></url></urlset>"
     rows = [
@@ -229,11 +286,29 @@ def test_cascading_deletes(spark, loaded):
     assert left["recipe_dietary_tags"].join(gone, F.col("recipe_id") == F.col("id")).isEmpty()
     assert left["ingredients"].count() == 5
     eggs = tables["ingredients"].where("raw_name = '2 eggs'").select("id")
-    left = quality.delete_ingredients(tables, eggs)
+    assert quality.used_ingredients(tables, eggs).count() == 1
+    assert quality.delete_ingredients(tables, eggs)["ingredients"].count() == 5
+    left = quality.delete_ingredients(left, eggs)
     assert left["ingredients"].count() == 4
     assert left["ingredient_allergens"].join(eggs, F.col("ingredient_id") == F.col("id")).isEmpty()
 
 
+def test_deletion_reaches_storage(spark, tmp_path):
+    tables = Catalogue(spark, str(tmp_path))
+    load_batch(tables, frame(spark, FIRST), 0)
+    load_batch(tables, frame(spark, SECOND), 1)
+    ids = tables.read("recipes").where("url IN ('u/1', 'u/8')").select("id").collect()
+    gone = spark.createDataFrame(ids, "id long")
+    kept = tables.read("recipe_ingredients").join(gone, F.col("recipe_id") == F.col("id"), "left_anti").count()
+    for _ in range(2):
+        tables.delete_recipes(gone)
+        assert sorted(titles(tables)) == ["u/2", "u/3", "u/5", "u/7"]
+        assert tables.read("recipe_ingredients").count() == kept
+        assert check_catalogue(tables).collect() == []
+    load_batch(tables, frame(spark, FIRST), 2)
+    assert titles(tables)["u/1"] == "One"
+
+
 def test_attach_with_a_hot_key_equals_a_join(spark):
     """One key holds a third of the rows, most others one row each."""
     rows = spark.range(30_000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id)) AS url", "id AS n")

@@ -86,17 +86,38 @@ def test_page_arguments(db, number, size):
         search.page(db["recipes"], number, size)
 
 
-@pytest.mark.parametrize("ids", ["id", "xxhash64(id)", "id * id * 7", "if(id < 4000, id, id + 9000000000000000000)"])
-def test_deep_pages_equal_shallow_ones(spark, ids):
-    """With a low bound every page takes the deep way."""
+@pytest.mark.parametrize("ids", ["id", "xxhash64(id)", "if(id < 4000, id, id + 9000000000000000000)"])
+def test_pages_by_number_and_by_last_id(spark, ids):
     rows = spark.range(5000).selectExpr(f"{ids} AS id", "id AS n").cache()
     ordered = [r.id for r in rows.orderBy("id").collect()]
     for number, size in ((1, 20), (40, 100), (50, 100), (51, 100), (501, 10)):
-        got = [r.id for r in search.page(rows, number, size, shallow=50).collect()]
-        assert got == ordered[(number - 1) * size : number * size]
+        want = ordered[(number - 1) * size : number * size]
+        assert [r.id for r in search.page(rows, number, size).collect()] == want
+        last = ordered[(number - 1) * size - 1] if number > 1 and (number - 1) * size <= 5000 else None if number == 1 else ordered[-1]
+        assert [r.id for r in search.page_after(rows, last, size).collect()] == want
     rows.unpersist()
 
 
+@pytest.mark.parametrize(
+    ("filters", "number", "size", "total", "ids"),
+    [
+        ({}, 1, 4, 6, [1, 2, 3, 4]),
+        ({}, 2, 4, 6, [5, 6]),
+        ({"exclude_allergens": "egg", "dietary_tags": "vegetarian"}, 1, 20, 3, [1, 3, 6]),
+        ({"cuisine": "thai"}, 1, 20, 0, []),
+        ({}, 9, 100, 6, []),
+    ],
+)
+def test_list_recipes(db, filters, number, size, total, ids):
+    links = db["recipe_allergens"], db["recipe_dietary_tags"], db["allergens"], db["dietary_tags"]
+    answer = search.list_recipes(db["recipes"], *links, Filters(**filters), number, size).collect()
+    assert [(r.total, r.page, r.size) for r in answer] == [(total, number, size)]
+    assert [r.id for r in answer[0].results] == ids
+    for r in answer[0].results:
+        if r.id == 3:
+            assert r.allergens == [] and [t.name for t in r.dietary_tags] == ["vegetarian", "vegan", "gluten_free"]
+
+
 def test_page_plan_keeps_top_rows_only(db):
     plan = search.page(db["recipes"], 2, 20)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
