@@ -6,14 +6,16 @@ bytes in UTF-8, so texts are cut as bytes and never decoded for it.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+
+from larderlens.functions.staging import new_path, settle, shared_folder
+
+__all__ = ["new_path", "settle", "shared_folder"]
 
 # The characters that separate words.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
@@ -25,30 +27,6 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as named in `spark.checkpoint.dir`.
-
-    Where the session names none, as in tests on one machine, a temporary folder is set for it.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="larderlens-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def settle(rows: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: computed once, with no lineage, safe from lost executors."""
-    spark = rows.sparkSession
-    path = new_path(spark, name)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
-
-
 def free_name(taken: DataFrame, wish: str) -> str:
     """A column name that `taken` does not have."""
     names = {c.lower() for c in taken.columns}
