@@ -4,13 +4,17 @@ Two things are compared only if they share a bucket. A bucket is worked through
 pivots, each is compared with all members that are not yet known to be in its group, and is done with afterwards. A
 bucket ends when all its members are in one group. So every two members of a bucket are either compared or connected by
 links that were found, and a bucket of n copies of one thing takes one round of n comparisons, not n * n.
+
+What PIVOT_ROUNDS rounds leave open are large buckets of things that are alike but not near. Their members are dealt to
+blocks of bounded size, and each two blocks of a bucket are compared in one task, which returns only the links that connect
+groups. No pair becomes a row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import count
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +22,33 @@ from larderlens.functions.skew import attach_by_key
 from larderlens.llm.common import settle
 
 
+PIVOT_ROUNDS = 3
+# Members of a block, and what their contents may weigh in all.
+BLOCK_MEMBERS = 512
+BLOCK_WEIGHT = 4 << 20
+
+# Gets nodes, the groups they are in so far, and their contents; returns links between nodes of different groups.
+Compare = Callable[[list[int], list[int], list], list[tuple[int, int]]]
+
+
+class Joined:
+    """Groups while a task joins them."""
+
+    def __init__(self, groups: list[int]):
+        self.up = {g: g for g in groups}
+
+    def find(self, group: int) -> int:
+        while self.up[group] != group:
+            self.up[group] = group = self.up[self.up[group]]
+        return group
+
+    def join(self, a: int, b: int) -> bool:
+        """Whether the two were apart."""
+        a, b = self.find(a), self.find(b)
+        self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
 def components(edges: DataFrame) -> DataFrame:
     """The connected components of `edges` (a, b: long): node, group = smallest node. Nodes without an edge are left out.
 
@@ -47,10 +78,13 @@ def components(edges: DataFrame) -> DataFrame:
     return settle(edges.select(F.col("u").alias("node"), F.col("v").alias("group")).unionByName(tops), "components")
 
 
-def linked_groups(members: DataFrame, near: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked_groups(
+    members: DataFrame, near: Callable[[DataFrame], DataFrame], contents: DataFrame, compare: Compare
+) -> DataFrame:
     """Groups of the nodes in `members` (bucket, node: long): node, group, for nodes with a link.
 
-    `near` gets distinct pairs (a, b: long) and returns those that are near.
+    `near` gets distinct pairs (a, b: long) and returns those that are near. `contents` has node, content and weight;
+    `compare` finds the links among some of them.
     """
     spark = members.sparkSession
     members = settle(members.distinct(), "members")
@@ -60,7 +94,7 @@ def linked_groups(members: DataFrame, near: Callable[[DataFrame], DataFrame]) ->
     scores = shared.groupBy("node").agg(F.sum("size").alias("score"))
     open_ = settle(shared.drop("size").join(scores, "node"), "open")
     groups = spark.createDataFrame([], "node long, group long")
-    for turn in count():
+    for turn in range(PIVOT_ROUNDS + 1):
         sized = groups.join(groups.groupBy("group").agg(F.count(F.lit(1)).alias("of")), "group")
         state = open_.join(sized, "node", "left").withColumn("group", F.coalesce("group", "node"))
         state = settle(state.withColumn("of", F.coalesce("of", F.lit(1))), "state")
@@ -69,6 +103,9 @@ def linked_groups(members: DataFrame, near: Callable[[DataFrame], DataFrame]) ->
         if unlike.isEmpty():
             return groups
         state = settle(attach_by_key(state, unlike, "bucket", "weight"), "unlike-members")
+        if turn == PIVOT_ROUNDS:
+            links = settle(_block_links(state, contents, compare), "block-links")
+            return groups if links.isEmpty() else _joined(groups, links)
         part = F.pmod(F.xxhash64("node"), F.lit(1 << min(turn, 20)))
         best = F.struct((-F.col("of")).alias("few"), "score", (-F.col("node")).alias("low"), "node", "group")
         pivots = state.groupBy("bucket", part.alias("part")).agg(F.max(best).alias("p"), F.count(F.lit(1)).alias("weight"))
@@ -82,6 +119,26 @@ def linked_groups(members: DataFrame, near: Callable[[DataFrame], DataFrame]) ->
             groups = _joined(groups, links)
 
 
+def _block_links(state: DataFrame, contents: DataFrame, compare: Compare) -> DataFrame:
+    """Links (a, b) among the members of each bucket in `state` (bucket, node, group)."""
+    held = settle(state.select("bucket", "node", "group").join(contents.hint("merge"), "node"), "block-contents")
+    sizes = held.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("sum"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK_MEMBERS), F.ceil(F.col("sum") / BLOCK_WEIGHT)).cast("int")
+    sizes = settle(sizes.select("bucket", blocks.alias("blocks"), F.col("n").alias("size")), "block-sizes")
+    dealt = attach_by_key(held.drop("weight"), sizes, "bucket", "size")
+    own = F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int")
+    dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+
+    def linked(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("node")
+        found = compare(group["node"].tolist(), group["group"].tolist(), group["content"].tolist())
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    found = dealt.select("bucket", "low", "high", "node", "group", "content")
+    return found.groupBy("bucket", "low", "high").applyInPandas(linked, "a long, b long").distinct()
+
+
 def _joined(groups: DataFrame, links: DataFrame) -> DataFrame:
     """Groups after adding links between their nodes."""
 

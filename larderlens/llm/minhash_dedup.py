@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from larderlens.functions.skew import attach_by_key
 from larderlens.llm.common import Words, free_name, mixed, ranges, settle, spread, text_slices, window_hashes
-from larderlens.llm.groups import linked_groups
+from larderlens.llm.groups import Joined, linked_groups
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -130,6 +130,38 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(both / (a[1].sum() + b[1].sum() - both))
 
 
+def linked_texts(nodes: list[int], groups: list[int], texts: list[str]) -> list[tuple[int, int]]:
+    """Links that connect the groups of some texts, from all their similarities at once.
+
+    The k-th occurrence of an element is an element of its own, so weighted similarity is that of sets. Shared elements are
+    counted by products of 0/1 matrices, a bounded number of elements at a time.
+    """
+    elements, counts, owner = weighted(*shingles(pa.array([t.encode() for t in texts], pa.binary())))
+    whole = counts.astype(np.int64)
+    owner = np.repeat(owner, whole)
+    elements = mixed(np.repeat(elements, whole) + ranges(np.zeros(len(whole), dtype=np.int64), whole).astype(np.uint64))
+    sizes = np.bincount(owner, minlength=len(nodes)).astype(np.float64)
+    _, column, uses = np.unique(elements, return_inverse=True, return_counts=True)
+    shared = uses[column] > 1
+    _, column = np.unique(column[shared], return_inverse=True)
+    owner = owner[shared]
+    both = np.zeros((len(nodes), len(nodes)))
+    width = 8192
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        at = slice(*np.searchsorted(column, [low, low + width]))
+        part = np.zeros((len(nodes), width), dtype=np.float32)
+        part[owner[at], column[at] - low] = 1
+        both += part @ part.T
+    joined, links = Joined(groups), []
+    a, b = np.nonzero(np.triu(both >= SIMILARITY * (sizes[:, None] + sizes[None, :] - both), 1) & (np.triu(both, 1) > 0))
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        if joined.join(groups[x], groups[y]):
+            links.append((nodes[x], nodes[y]))
+    return links
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b, text_a, text_b) whose texts are near."""
     for batch in batches:
@@ -169,7 +201,8 @@ def classes(docs: DataFrame) -> DataFrame:
             pairs = pairs.join(side.hint("merge"), end)
         return pairs.select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long")
 
-    groups = linked_groups(members, near)
+    contents = texts.select("node", F.col("text").alias("content"), F.length("text").alias("weight"))
+    groups = linked_groups(members, near, contents, linked_texts)
     grouped = nodes.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
     grouped = settle(grouped.select("key", "group", "first", "copies"), "near-grouped")
     sizes = grouped.groupBy("group").agg(F.min("first").alias("best"), F.sum("copies").alias("class_size"), F.count(F.lit(1)).alias("weight"))

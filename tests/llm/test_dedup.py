@@ -8,6 +8,8 @@ import numpy as np
 import pytest
 from brute import WHITE, Union, brute_classes, brute_lines, brute_substrings, digest
 
+from pyspark.sql import functions as F
+
 from larderlens.llm import exact_dedup, groups, line_dedup, minhash_dedup, queries, substring_dedup
 from larderlens.llm.common import mixed, new_path
 
@@ -66,12 +68,57 @@ def test_components_of_random_graphs(spark):
         assert told == {x: union.find(x) for x in touched}
 
 
+def run_groups(spark, members, near):
+    def compare(nodes, own, contents):
+        assert contents == [str(n) for n in nodes]
+        at = dict(zip(nodes, own, strict=True))
+        return [(a, a + 1) for a in nodes if a + 1 in at and at[a] != at[a + 1]]
+
+    contents = members.select("node", F.col("node").cast("string").alias("content"), F.lit(1 << 17).alias("weight")).distinct()
+    return {r.node: r.group for r in groups.linked_groups(members, near, contents, compare).collect()}
+
+
+def test_tasks_find_the_links_of_many_texts():
+    draw = random.Random(12)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(120)]
+    texts = []
+    for _ in range(120):
+        words = list(base)
+        for at in draw.sample(range(120), draw.randint(0, 6)):
+            words[at] = f"x{draw.randrange(10**6)}"
+        texts.append(" ".join(words * draw.choice([1, 1, 2])))
+    texts += ["", "one two", "one two"]
+    union = groups.Joined(list(range(len(texts))))
+    for a, b in minhash_dedup.linked_texts(list(range(len(texts))), list(range(len(texts))), texts):
+        union.join(a, b)
+    want = {k: v for k, v in brute_classes(dict(enumerate(texts))).items() if texts[k]}
+    assert {k: union.find(k) for k in want} == want
+
+
+def test_tasks_find_the_links_of_many_lines():
+    draw = random.Random(13)
+    lines = ["".join(draw.choice("abc") for _ in range(draw.randint(4, 9))) for _ in range(150)]
+    own = groups.Joined(list(range(150)))
+    for a, b in line_dedup.linked_lines(list(range(150)), list(range(150)), lines):
+        own.join(a, b)
+    union = Union()
+    for a in range(150):
+        for b in range(a):
+            if line_dedup.is_near(lines[a], lines[b]):
+                union.join(a, b)
+    assert [own.find(k) for k in range(150)] == [union.find(k) for k in range(150)]
+
+
 def test_bucket_members_are_compared_or_connected(spark):
-    # On a line, near means a distance of 1; the bucket's groups are its runs.
-    places = [1, 2, 3, 7, 8, 20, 30, 31, 32, 33]
+    # On a line, near means a distance of 1; the bucket's groups are its runs. One bucket needs blocks, one none.
+    places = [p for start in range(0, 400, 10) for p in range(start, start + 1 + start % 4 + start // 100)]
     members = spark.createDataFrame([(0, p) for p in places] + [(1, 3), (1, 7)], "bucket long, node long")
-    told = {r.node: r.group for r in groups.linked_groups(members, lambda pairs: pairs.where("b - a = 1")).collect()}
-    assert told == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7, 30: 30, 31: 30, 32: 30, 33: 30}
+    told = run_groups(spark, members, lambda pairs: pairs.where("b - a = 1"))
+    union = Union()
+    for a, b in zip(places[:-1], places[1:], strict=True):
+        if b - a == 1:
+            union.join(a, b)
+    assert told == {p: union.find(p) for p in places if p in union.up}
 
 
 def test_a_group_of_copies_takes_a_comparison_each(spark):
@@ -82,8 +129,8 @@ def test_a_group_of_copies_takes_a_comparison_each(spark):
         return pairs
 
     members = spark.range(200).selectExpr("0L AS bucket", "id AS node")
-    told = groups.linked_groups(members, near).collect()
-    assert {r.group for r in told} == {0} and len(told) == 200
+    told = run_groups(spark, members, near)
+    assert set(told.values()) == {0} and len(told) == 200
     assert seen == [199]
 
 
