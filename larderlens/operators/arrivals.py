@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larderlens.functions.skew import attach_by_key
+from larderlens.functions.staging import settle
 
 
 def summarise_urls(arrivals: DataFrame, loaded: DataFrame, order: list[str], good: Column) -> DataFrame:
@@ -39,7 +39,9 @@ def arrival_status(
     what came before it has `bad_status`, with `message` when that is a failure. An arrival without URL is a failure.
     """
     named = arrivals.where(F.col("url").isNotNull())
-    rows = attach_by_key(named, summarise_urls(named, loaded, order, good), "url", "arrivals")
+    # One short row per URL, computed once. The rows of a hot URL meet it in a join of which skewed parts are split.
+    summary = settle(summarise_urls(named, loaded, order, good), "url-summary").drop("arrivals")
+    rows = named.join(summary.hint("merge"), "url")
     unnamed = arrivals.where(F.col("url").isNull()).withColumns(
         {"status": F.lit("failed"), "error_message": F.lit("url missing")}
     )

@@ -57,28 +57,23 @@ def _unescape(text: Column) -> Column:
 
 
 def _chosen(sitemaps: DataFrame, rule: DiscoveryRule) -> DataFrame:
-    """(source, sitemap_pos) of the first sitemaps of each source.
+    """The first sitemaps of each source.
 
-    Only the two key columns are ranked, and the rank limit is applied before the shuffle, so a source
-    with very many sitemaps costs no more than the others.
+    The rank limit is applied in each task before the shuffle, so a source with very many sitemaps costs no more than
+    the others, and only bodies that may be chosen are moved.
     """
-    keys = sitemaps
     if rule.sitemap_contains:
-        keys = keys.where(F.contains("sitemap_url", F.lit(rule.sitemap_contains)))
+        sitemaps = sitemaps.where(F.contains("sitemap_url", F.lit(rule.sitemap_contains)))
     if rule.max_sitemaps is None:
-        return keys.select("source", "sitemap_pos")
+        return sitemaps
     order = Window.partitionBy("source").orderBy("sitemap_pos")
-    return (
-        keys.select("source", "sitemap_pos", F.row_number().over(order).alias("rank"))
-        .where(F.col("rank") <= rule.max_sitemaps)
-        .select("source", "sitemap_pos")
-    )
+    ranked = sitemaps.select("source", "sitemap_pos", "xml", F.row_number().over(order).alias("rank"))
+    return ranked.where(F.col("rank") <= rule.max_sitemaps)
 
 
 def discover_urls(sitemaps: DataFrame, rule: DiscoveryRule) -> DataFrame:
     """(source, url, sitemap_pos, pos): every kept URL once, at the place it was first seen."""
-    chosen = sitemaps.join(_chosen(sitemaps, rule), ["source", "sitemap_pos"], "left_semi")
-    found = chosen.select(
+    found = _chosen(sitemaps, rule).select(
         "source", "sitemap_pos", F.posexplode(F.regexp_extract_all("xml", F.lit(_LOC), F.lit(1))).alias("pos", "loc")
     )
     urls = found.select("source", "sitemap_pos", "pos", strip(_unescape(F.col("loc"))).alias("url"))
