@@ -113,7 +113,11 @@ def linked_groups(
         best = F.struct((-F.col("of")).alias("few"), "score", (-F.col("node")).alias("low"), "node", "group")
         pivots = state.groupBy("bucket", part.alias("part")).agg(F.max(best).alias("p"), F.count(F.lit(1)).alias("weight"))
         pivots = settle(pivots.select("bucket", "weight", F.col("p.node").alias("pivot"), F.col("p.group").alias("of_pivot")), "pivots")
-        met = attach_by_key(state, pivots, "bucket", "weight").where("group <> of_pivot")
+        # One row a bucket, whose weight is that of all its parts: a bucket is joined in one way, and meets all its pivots.
+        held = pivots.groupBy("bucket").agg(F.sum("weight").alias("weight"), F.collect_list(F.struct("pivot", "of_pivot")).alias("pivots"))
+        met = attach_by_key(state, settle(held, "bucket-pivots"), "bucket", "weight")
+        others = F.filter("pivots", lambda p: p["of_pivot"] != F.col("group"))
+        met = met.select("node", F.explode(others).alias("p")).select("node", "p.pivot")
         pairs = met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         links = settle(near(settle(pairs, "pairs")).select("a", "b"), "links")
         left = pivots.select("bucket", F.col("pivot").alias("node"))

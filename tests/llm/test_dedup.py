@@ -121,6 +121,19 @@ def test_bucket_members_are_compared_or_connected(spark):
     assert told == {p: union.find(p) for p in places if p in union.up}
 
 
+def test_pivots_of_uneven_parts_meet_the_whole_bucket(spark):
+    # Over 1,000 open members in the second round, whose two parts of a bucket are on both sides of the share of a frequent key.
+    draw = random.Random(21)
+    places = [(n, 20 * n + p) for n in range(500) for p in draw.sample(range(8), 4)]
+    members = spark.createDataFrame(places, "bucket long, node long")
+    told = run_groups(spark, members, lambda pairs: pairs.where("b - a = 1"))
+    union = Union()
+    held = {p for _, p in places}
+    for p in held & {p - 1 for p in held}:
+        union.join(p, p + 1)
+    assert told == {p: union.find(p) for p in union.up}
+
+
 def test_a_group_of_copies_takes_a_comparison_each(spark):
     seen = []
 
