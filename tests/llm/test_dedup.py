@@ -241,6 +241,12 @@ def test_variants_of_a_line_are_one(spark):
     assert {r.doc_id: r.text for r in line_dedup.drop_lines(docs).collect()} == {1: f"{line}\nother", 2: "\nmore text", 3: ""}
 
 
+def test_a_typo_that_leaves_two_blocks_is_found(spark):
+    line = "The quick brown fox jumps over the lazy dog near the old mill, and nobody saw it."
+    docs = spark.createDataFrame([(1, line), (2, line.replace("The", "qhe", 1))], "doc_id long, text string")
+    assert {r.doc_id: r.dropped for r in line_dedup.dropped_lines(docs).collect()} == {1: [], 2: [0]}
+
+
 def test_lines_of_odd_documents(odd, none):
     told = line_dedup.dropped_lines(odd).collect()
     assert len(told) == odd.count()
