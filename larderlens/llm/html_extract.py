@@ -1,14 +1,15 @@
 """Main text of web pages by tag-path ratios.
 
 A page is cut into blocks of text, each at the end of a root-to-leaf path of block-level tags. Furniture that says what
-it is (by tag, role, class or id) is left out first. For each remaining path the text length and the punctuation of
+it is (by tag, role, class or id) is left out first; a class or id is not believed of an element around most of the text
+(`_believed`). For each remaining path the text length and the punctuation of
 its blocks are summed and divided by the number of blocks; both ratios are smoothed over the paths in page order,
 fused by multiplication, and paths above the threshold hold content. The article is the article or main element with most
 content text, else the smallest element around all content blocks and what stands beside them; all its blocks make the text, headings and short
 lines included.
 
 Character references are decoded, white space in a block becomes one space, and blocks are joined by a line feed. Null,
-empty and furniture-only pages give an empty text. Work is linear in the length of a page, whatever its nesting.
+empty and furniture-only pages give an empty text, unless the furniture has sentences and says so by class or id alone. Work is linear in the length of a page, whatever its nesting.
 """
 
 from __future__ import annotations
@@ -73,10 +74,11 @@ _ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'
 class Node:
     """An open block-level element."""
 
-    __slots__ = ("tag", "parent", "path", "furniture", "reader", "holds_root", "depth", "out")
+    __slots__ = ("tag", "parent", "path", "furniture", "reader", "sure", "whole", "holds_root", "depth", "out")
 
-    def __init__(self, tag: str, parent: Node | None, path: int, furniture: bool, reader: bool):
-        self.tag, self.parent, self.path, self.furniture, self.reader = tag, parent, path, furniture, reader
+    def __init__(self, tag: str, parent: Node | None, path: int, told: tuple[bool, bool, bool, bool] = (False,) * 4):
+        self.tag, self.parent, self.path = tag, parent, path
+        self.furniture, self.reader, self.sure, self.whole = told
         self.holds_root = False
         self.depth = parent.depth + 1 if parent else 0
         self.out = False
@@ -86,18 +88,59 @@ def _attributes(held: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(held)}
 
 
-def _is_furniture(tag: str, attributes: dict[str, str]) -> tuple[bool, bool]:
-    """Whether an element is page furniture, and whether it holds reader comments."""
-    said = set(re.split(r"[^a-z0-9]+", f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
+def _told(tag: str, attributes: dict[str, str]) -> tuple[bool, bool, bool, bool]:
+    """Whether an element is page furniture, whether it holds reader comments, whether tag, role or style make it furniture,
+    and whether a class or id is one of the words as a whole, not a compound such as has-sidebar."""
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
+    said = set(re.split(r"[^a-z0-9]+", names))
     reader = bool(said & READER_WORDS) and tag not in ("html", "body", "main")
     hidden = "hidden" in attributes or re.search(r"display\s*:\s*none", attributes.get("style", "").lower()) is not None
-    told = hidden or attributes.get("role", "").lower() in FURNITURE_ROLES or bool(said & FURNITURE_WORDS)
-    return tag in FURNITURE_TAGS or (told and tag not in ROOTS), reader
+    shown_by = hidden or attributes.get("role", "").lower() in FURNITURE_ROLES
+    sure = tag in FURNITURE_TAGS or (shown_by and tag not in ROOTS)
+    whole = not (FURNITURE_WORDS | READER_WORDS).isdisjoint(names.split())
+    return sure or (bool(said & FURNITURE_WORDS) and tag not in ROOTS), reader, sure, whole
+
+
+def _believed(nodes: list[Node], blocks: list[tuple[Node, list[str]]]) -> None:
+    """Take back what class or id say of elements that hold the greater part of the page's sentences.
+
+    Compounds are taken back if no article or main element has sentences elsewhere; whole words only if there are
+    no sentences elsewhere, as comments can be longer than what they are about.
+    """
+    if not any((n.furniture or n.reader) and not n.sure for n in nodes):
+        return
+    rooted = {n: n.tag in CONTENT_ROOTS for n in nodes}
+    for node in reversed(nodes[1:]):
+        rooted[node.parent] |= rooted[node]
+    away: dict[Node, bool] = {nodes[0]: False}
+    root_near: dict[Node, bool] = {nodes[0]: False}
+    for node in nodes[1:]:
+        away[node] = away[node.parent] or (node.sure and not rooted[node])
+        root_near[node] = root_near[node.parent] or (node.tag in CONTENT_ROOTS and not node.reader)
+    held, in_roots = dict.fromkeys(nodes, 0), dict.fromkeys(nodes, 0)
+    for node, parts in blocks:
+        text = " ".join(html.unescape("".join(parts)).split())
+        if not away[node] and any(unicodedata.category(c) == "Po" for c in text):
+            held[node] += len(text)
+            in_roots[node] += len(text) * root_near[node]
+    for node in reversed(nodes[1:]):
+        held[node.parent] += held[node]
+        in_roots[node.parent] += in_roots[node]
+    total, total_roots = held[nodes[0]], in_roots[nodes[0]]
+    for node in nodes[1:]:
+        if node.sure or not (node.furniture or node.reader) or 2 * held[node] <= total:
+            continue
+        if held[node] == total or (not node.whole and in_roots[node] == total_roots):
+            node.furniture = node.reader = False
+            above = node.parent if node.tag in CONTENT_ROOTS else None
+            while above is not None and not above.holds_root:
+                above.holds_root = True
+                above = above.parent
 
 
 def blocks_of(page: str) -> list[tuple[Node, str]]:
     """The blocks of a page in order: the element around each, and its text."""
-    root = Node("", None, 0, False, False)
+    root = Node("", None, 0)
     nodes, stack, open_tags = [root], [root], {"": 1}
     paths: dict[tuple[int, str], int] = {}
     blocks: list[tuple[Node, list[str]]] = []
@@ -155,11 +198,11 @@ def blocks_of(page: str) -> list[tuple[Node, str]]:
         if tag in VOID:
             continue
         attributes = _attributes(m[3]) if m[3] else {}
-        furniture, reader = _is_furniture(tag, attributes) if attributes or tag in FURNITURE_TAGS else (False, False)
+        told = _told(tag, attributes) if attributes or tag in FURNITURE_TAGS else (False,) * 4
         parent = stack[-1]
         key = (parent.path, f"{tag}.{attributes.get('class', '')}")
-        node = Node(tag, parent, paths.setdefault(key, len(paths) + 1), furniture, reader)
-        if tag in CONTENT_ROOTS and not reader:
+        node = Node(tag, parent, paths.setdefault(key, len(paths) + 1), told)
+        if tag in CONTENT_ROOTS and not node.reader:
             above = parent
             while above is not None and not above.holds_root:
                 above.holds_root = True
@@ -168,11 +211,12 @@ def blocks_of(page: str) -> list[tuple[Node, str]]:
         nodes.append(node)
         open_tags[tag] = open_tags.get(tag, 0) + 1
     flush()
+    _believed(nodes, blocks)
     for node in nodes[1:]:
         # An element that says it is furniture but is wrapped around the article is only a wrapper.
         node.out = node.parent.out or node.reader or (node.furniture and not node.holds_root)
-    told = ((node, " ".join(html.unescape("".join(held)).split())) for node, held in blocks if not node.out)
-    return [(node, held) for node, held in told if held]
+    shown = ((node, " ".join(html.unescape("".join(held)).split())) for node, held in blocks if not node.out)
+    return [(node, held) for node, held in shown if held]
 
 
 def _content_paths(blocks: list[tuple[Node, str]]) -> set[int]:

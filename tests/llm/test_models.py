@@ -133,6 +133,27 @@ def test_page_forms(page, text):
     assert (html_extract.main_text(page) if page is not None else "") == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<article class='post comments-open'><h1>Title</h1><p>{PROSE}</article>", f"Title\n{PROSE}"),
+        (f"<form><article class='post comments-open'><p>{PROSE}</article></form>", PROSE),
+        (f"<div class='post comments-open'><p>{PROSE}<p>{PROSE}</div><div>a note</div>", f"{PROSE}\n{PROSE}"),
+        (f"<nav>{PROSE * 9}</nav><div class='content has-sidebar'><p>{PROSE}</p></div>", PROSE),
+        (f"<div class='content no-sidebar'><p>{PROSE}</p><div class=sidebar><p>{PROSE}</p></div></div>", PROSE),
+        (f"<div class='share-enabled'><p>{PROSE}</p></div><div class='site-footer'>Text.</div>", PROSE),
+        (f"<section class='legal-analysis'><p>{PROSE}</p></section>", PROSE),
+        # Comments that are longer than the article stay out.
+        (f"<div><p>{PROSE}</div><div id=comments><p>{PROSE * 9}</div>", PROSE),
+        (f"<main><p>{PROSE}</main><div class=comment-list><p>{PROSE * 9}</div>", PROSE),
+        (f"<div class=has-sidebar><p>{PROSE}<div class=comments><p>{PROSE * 9}</div></div>", PROSE),
+        ("<div class='menu-bar'>Home</div><div class=sidebar>News</div>", ""),
+    ],
+)
+def test_words_in_class_or_id_do_not_remove_the_article(page, text):
+    assert html_extract.main_text(page) == text
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "u", f"<p>{PROSE}"), (3, "u", "<div>" * 20000 + "x"), (3, "u", "<div>" * 20000 + "x")]
     rows += [(4, "u", "<a href=\"" * 5000), (5, "u", "<p " * 5000), (6, "u", "<!--" * 5000), (7, "u", "<script>" * 5000 + "x")]
