@@ -292,6 +292,14 @@ def shortened(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     firsts = windows.groupBy("window").agg(F.min("place").alias("first"), F.max("place").alias("last"), F.count(F.lit(1)).alias("weight"))
     firsts = settle(firsts.where(_doc_of("first") < _doc_of("last")).select("window", "first", "weight"), "substring-firsts")
     led = attach_by_key(windows, firsts, "window", "weight").where(_doc_of("first") < _doc_of("place")).select("place", "first").distinct()
+    # Rows that repeat a doc_id have numbers of their own, one after the other: what counts is the first of them.
+    numbered = marked.select(order.alias("ord"), _doc_of("place").alias("doc"))
+    repeated = numbered.groupBy("ord").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count(F.lit(1)).alias("weight"))
+    repeated = settle(repeated.where("least < most").select("ord", "least", "weight"), "substring-repeated")
+    if not repeated.isEmpty():
+        least = settle(attach_by_key(numbered, repeated, "ord", "weight").select("doc", "least"), "substring-least")
+        led = led.withColumn("doc", _doc_of("place")).join(least.hint("merge"), "doc", "left")
+        led = led.where(F.col("least").isNull() | (_doc_of("first") < F.col("least"))).select("place", "first")
     led = settle(led, "substring-led")
 
     # The matching itself.

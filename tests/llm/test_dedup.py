@@ -283,6 +283,17 @@ def test_shared_passages_of_all_lengths(spark):
     assert told == {k: (n, gone, digest(left)) for k, (n, gone, left) in brute_substrings(rows).items()}
 
 
+def test_rows_of_one_id_do_not_remove_from_each_other(spark):
+    draw = random.Random(10)
+    fresh = lambda n: " ".join(f"w{draw.randrange(10**7)}" for _ in range(n))
+    passage, other = fresh(80), fresh(80)
+    rows = [(1, f"{fresh(9)} {passage}"), (1, f"{passage} {fresh(7)}"), (2, f"{fresh(5)} {passage} {other}")]
+    rows += [(None, f"{fresh(6)} {other}"), (None, f"{other} {fresh(8)}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    told = [(r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.digests(docs).collect()]
+    assert Counter(told) == Counter([(1, 89, 0), (1, 87, 0), (2, 165, 80), (None, 86, 80), (None, 88, 80)])
+
+
 def test_suffix_automaton_statistics():
     draw = random.Random(8)
     for _ in range(300):
