@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larderlens.llm import exact_dedup, html_extract, language_id, line_dedup, minhash_dedup, packing, quality_rules, sentencepiece_codec, substring_dedup, token_counts
+from larderlens.llm import exact_dedup, html_extract, language_id, line_dedup, minhash_dedup, packing, quality_rules, sentencepiece_codec, slot_shards, substring_dedup, token_counts
 
 
 def vocabulary_path(name: str) -> str:
@@ -61,6 +61,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_documents(spark, sf_dir), vocabulary_path("piece_bpe_32k.model"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return slot_shards.shard_documents(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -74,5 +78,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_substring_dedup,
         op9_best_fit_packing,
         op10_token_counts,
+        op11_sharding,
     )
 }
