@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larderlens.llm import exact_dedup, html_extract, language_id, line_dedup, minhash_dedup, packing, quality_rules, sentencepiece_codec, slot_shards, substring_dedup, token_counts
+from larderlens.llm import (
+    conversation_trie,
+    exact_dedup,
+    html_extract,
+    language_id,
+    line_dedup,
+    minhash_dedup,
+    packing,
+    phrases,
+    quality_rules,
+    sentencepiece_codec,
+    slot_shards,
+    substring_dedup,
+    token_counts,
+)
 
 
 def vocabulary_path(name: str) -> str:
@@ -65,6 +79,14 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slot_shards.shard_documents(_documents(spark, sf_dir))
 
 
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(_documents(spark, sf_dir))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -79,5 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_best_fit_packing,
         op10_token_counts,
         op11_sharding,
+        op12_phrase_mining,
+        op13_conversation_trie,
     )
 }
