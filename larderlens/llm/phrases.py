@@ -1,6 +1,6 @@
 """Phrase collocation mining with FM-indexes of shards.
 
-Each task turns slices of its texts into shards, one per language, over word ids of their own, and builds two FM-indexes of a shard:
+Each task gathers its texts into shards of bounded size, each of one language and over word ids of its own, and builds two FM-indexes of a shard:
 of its text and of the reversed text. A pattern is an interval in both, and is extended by one word to either side with the
 Burrows-Wheeler transform of one index while its interval in the other is kept in step; all patterns are extended at once.
 Counts of shards are summed over all of them by hashes of the words.
@@ -32,8 +32,10 @@ MIN_COUNT = 10
 COVERED_PERCENT = 50
 TOP = 2000
 UNKNOWN = "und"
-# Text of a slice, from which a shard for each language is made.
-SHARD_BYTES = 8 << 20
+# Text of a shard, and what a task gathers of all languages before it makes shards of them.
+SHARD_BYTES, GATHERED_BYTES = 4 << 20, 8 << 20
+# Text that is cut into words at once.
+CUT_BYTES = 1 << 20
 # Bits of a filter: 2^27 for pairs and 2^25 for words, 20 MB in all whatever the corpus.
 PAIR_BITS, WORD_BITS = 27, 25
 BITMAP_BITS = 32_768  # of one bitmap of Spark's
@@ -176,20 +178,62 @@ def bit_filter(items: DataFrame, bits: int) -> BitFilter:
     return BitFilter(bits, bytes(held))
 
 
-def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, PieceWords]]:
-    """The words of each language in each slice of a task's texts."""
+def bounded(texts: pa.Array, limit: int = CUT_BYTES) -> pa.Array:
+    """The texts, with long ones cut at ends of pieces, which no phrase crosses."""
+    if len(texts) > 1 or not len(texts) or len(texts[0].as_py()) <= 2 * limit:
+        return texts
+    data, _ = flat_bytes(texts)
+    ends = np.flatnonzero(np.isin(data, np.frombuffer(b".,;:!?\n\x0b\x0c\r", dtype=np.uint8)))
+    at = ends[np.unique(np.searchsorted(ends, np.arange(limit, len(data), limit)).clip(max=max(len(ends) - 1, 0)))] if len(ends) else []
+    edges = [0, *(int(e) + 1 for e in at), len(data)]
+    return pa.array([data[lo:hi].tobytes() for lo, hi in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
+
+
+class Shard:
+    """Words of texts of one language: their hashes and pieces, and where they are spelled."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        self.data = bytearray()
+        self.pieces_before = 0
+
+    def add(self, texts: pa.Array) -> None:
+        words = PieceWords(texts)
+        if not len(words.starts):
+            return
+        self.parts.append((words.hashes(), words.pieces + self.pieces_before, words.starts + len(self.data), words.ends + len(self.data)))
+        self.pieces_before += int(words.pieces[-1]) + 1
+        self.data += words.data.tobytes()
+
+    def joined(self) -> Shard:
+        self.hashes, self.pieces, self.starts, self.ends = (np.concatenate(column) for column in zip(*self.parts, strict=True))
+        self.parts = []
+        return self
+
+
+def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Shard]]:
+    """Shards of a task's texts, for each language some of bounded size."""
+    held: dict[str, Shard] = {}
     for batch in batches:
-        for rows, texts in text_slices(batch, limit=SHARD_BYTES):
+        for rows, texts in text_slices(batch, limit=CUT_BYTES):
             langs = rows.column("lang").dictionary_encode()
             for code, lang in enumerate(langs.dictionary.to_pylist()):
-                words = PieceWords(texts.filter(pc.equal(langs.indices, code)))
-                if len(words.starts):
-                    yield lang, words
-
-
-def numbered(words: PieceWords, lang: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                parts = bounded(texts.filter(pc.equal(langs.indices, code)))
+                step = len(parts) if len(parts) == len(rows) or len(rows) > 1 else 1
+                for at in range(0, len(parts), max(1, step)):
+                    held.setdefault(lang, Shard()).add(parts.slice(at, step))
+                    full = len(held[lang].data) >= SHARD_BYTES
+                    if full or sum(len(s.data) for s in held.values()) >= GATHERED_BYTES:
+                        most = lang if full else max(held, key=lambda name: len(held[name].data))
+                        yield most, held.pop(most).joined()
+    for lang, shard in held.items():
+        if shard.parts:
+            yield lang, shard.joined()
+
+
+def numbered(words: Shard, lang: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The shard as symbols with 0 before, between and after pieces; the hash of each symbol; and where it first occurs."""
-    hashes, first, ids = np.unique(words.hashes(), return_index=True, return_inverse=True)
+    hashes, first, ids = np.unique(words.hashes, return_index=True, return_inverse=True)
     # Words of different languages are different things.
     salt = np.frombuffer(hashlib.blake2b(lang.encode(), digest_size=8).digest(), dtype=np.uint64)
     hashes = mixed(hashes ^ salt).view(np.int64)
@@ -223,7 +267,7 @@ def word_and_triple_batches(batches: Iterator[pa.RecordBatch], pair_filter: BitF
         yield _counts([lang], n=[len(words.starts)])
         singles = singles.where(word_filter.passes(hashes[singles.words[0] - 1]))
         at = first[singles.words[0] - 1]
-        held = words.data.tobytes()
+        held = bytes(words.data)
         spelled = [held[a:b].decode(errors="replace") for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)]
         yield _counts([lang] * len(spelled), spelled, hashes[singles.words[0] - 1], n=singles.size)
         pairs = index.extended(singles, left=False)
