@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larderlens.functions.skew import attach_by_key, widen
+from larderlens.functions.skew import widen
 from larderlens.llm.common import Words, flat_bytes, mixed, ranges, settle, text_slices
 
 MIN_COUNT = 10
@@ -299,27 +299,25 @@ def best_phrases(pairs: DataFrame, words: DataFrame, triples: DataFrame, totals:
     """Scores of all cuts, phrases that longer ones cover left out, the first `top` of each language."""
 
     def word(at: str, name: str) -> DataFrame:
-        return words.select(F.col("h").alias(at), F.col("n").alias(name), F.col("n").alias("weight"))
+        return words.select(F.col("h").alias(at), F.col("n").alias(name))
 
     def pair(first: str, second: str, name: str) -> DataFrame:
-        return pairs.select(F.col("h1").alias(first), F.col("h2").alias(second), F.col("n").alias(name), F.col("n").alias("weight"))
+        return pairs.select(F.col("h1").alias(first), F.col("h2").alias(second), F.col("n").alias(name))
 
-    # A frequent word is part of many pairs; its one row goes to them.
-    two = attach_by_key(attach_by_key(pairs.withColumnRenamed("n", "a"), word("h1", "l"), "h1", "weight"), word("h2", "r"), "h2", "weight")
+    # Counts are looked up in plain joins, of which Spark splits what a frequent word makes uneven.
+    two = pairs.withColumnRenamed("n", "a").join(word("h1", "l"), "h1").join(word("h2", "r"), "h2")
     covers = triples.select("h1", "h2", "a").unionByName(triples.select(F.col("h2").alias("h1"), F.col("h3").alias("h2"), "a"))
     covers = covers.groupBy("h1", "h2").agg(F.max("a").alias("longer"))
     two = two.join(covers, ["h1", "h2"], "left").where(F.coalesce(F.col("longer") * 100 < F.col("a") * covered_percent, F.lit(True)))
     two = two.select("h1", "h2", F.lit(None).cast("long").alias("h3"), "a", F.array(_cut("l", "r", 1)).alias("cuts"))
 
-    three = attach_by_key(attach_by_key(triples, word("h1", "l1"), "h1", "weight"), word("h3", "r2"), "h3", "weight")
-    three = attach_by_key(three, pair("h2", "h3", "r1"), ["h2", "h3"], "weight")
-    three = attach_by_key(three, pair("h1", "h2", "l2"), ["h1", "h2"], "weight")
+    three = triples.join(word("h1", "l1"), "h1").join(word("h3", "r2"), "h3")
+    three = three.join(pair("h2", "h3", "r1"), ["h2", "h3"]).join(pair("h1", "h2", "l2"), ["h1", "h2"])
     three = three.select("h1", "h2", "h3", "a", F.array(_cut("l1", "r1", 1), _cut("l2", "r2", 2)).alias("cuts"))
 
     scored = two.unionByName(three).select("h1", "h2", "h3", "a", F.array_min("cuts").alias("cut"))
     scored = scored.select("h1", "h2", "h3", "a", "cut.score", "cut.l", "cut.r")
-    of_first = words.select("lang", F.col("h").alias("h1"), F.col("word").alias("w1"), F.col("n").alias("weight"))
-    named = attach_by_key(scored, of_first, "h1", "weight")
+    named = scored.join(words.select("lang", F.col("h").alias("h1"), F.col("word").alias("w1")), "h1")
     # All that tie with the last place go on, as their order is that of the phrases.
     ahead = F.rank().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a")))
     chosen = settle(named.withColumn("ahead", ahead).where(F.col("ahead") <= top).drop("ahead"), "chosen-phrases")
