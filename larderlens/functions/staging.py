@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,10 +16,13 @@ _OWN: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, as named in `spark.checkpoint.dir`.
 
-    Where the session names none, as in tests on one machine, it gets a temporary folder.
+    Where a session on one machine names none, as in tests, it gets a temporary folder. On a cluster that would be a folder
+    of each machine, so there it has to be named.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("name a folder that driver and executors share in spark.checkpoint.dir")
         application = spark.sparkContext.applicationId
         if application not in _OWN:
             _OWN[application] = tempfile.mkdtemp(prefix="larderlens-")

@@ -1,8 +1,8 @@
-"""Recipe URLs from fetched sitemaps."""
+"""Recipe URLs from fetched sitemap indexes and sitemaps."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,10 +71,43 @@ def _chosen(sitemaps: DataFrame, rule: DiscoveryRule) -> DataFrame:
     return ranked.where(F.col("rank") <= rule.max_sitemaps)
 
 
+def _locs(xml: str) -> Column:
+    return F.posexplode(F.regexp_extract_all(xml, F.lit(_LOC), F.lit(1))).alias("pos", "loc")
+
+
+def index_children(indexes: DataFrame, rule: DiscoveryRule) -> DataFrame:
+    """(source, sitemap_pos, sitemap_url): the sitemaps to read of each source, as its index (source, xml) lists them.
+
+    Their order is that of the index. A sitemap that is listed twice is two of `max_sitemaps`, as it is fetched twice. An index
+    that was not fetched has none.
+    """
+    listed = indexes.select("source", _locs("xml"))
+    listed = listed.select("source", F.col("pos").alias("sitemap_pos"), strip(_unescape(F.col("loc"))).alias("sitemap_url"))
+    listed = listed.where(F.col("sitemap_url") != "")
+    if rule.sitemap_contains:
+        listed = listed.where(F.contains("sitemap_url", F.lit(rule.sitemap_contains)))
+    if rule.max_sitemaps is None:
+        return listed
+    order = Window.partitionBy("source").orderBy("sitemap_pos")
+    return listed.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rule.max_sitemaps).drop("rank")
+
+
+def discover_from_index(indexes: DataFrame, bodies: DataFrame, rule: DiscoveryRule) -> DataFrame:
+    """(source, url, sitemap_pos, pos) from sitemap indexes (source, xml) and fetched sitemaps (sitemap_url, xml).
+
+    The index decides which sitemaps are read and in what order; bodies that it does not list are passed over before they
+    are parsed, and a listed sitemap without a body yields nothing. Of bodies that repeat, one is read.
+    """
+    children = index_children(indexes, rule)
+    wanted = bodies.join(children.select("sitemap_url").distinct(), "sitemap_url", "left_semi")
+    one = wanted.groupBy("sitemap_url").agg(F.max("xml").alias("xml"))
+    return discover_urls(children.join(one, "sitemap_url"), replace(rule, max_sitemaps=None, sitemap_contains=None))
+
+
 def discover_urls(sitemaps: DataFrame, rule: DiscoveryRule) -> DataFrame:
     """(source, url, sitemap_pos, pos): every kept URL once, at the place it was first seen."""
     found = _chosen(sitemaps, rule).select(
-        "source", "sitemap_pos", F.posexplode(F.regexp_extract_all("xml", F.lit(_LOC), F.lit(1))).alias("pos", "loc")
+        "source", "sitemap_pos", _locs("xml")
     )
     urls = found.select("source", "sitemap_pos", "pos", strip(_unescape(F.col("loc"))).alias("url"))
     urls = urls.where(F.col("url") != "")

@@ -9,11 +9,10 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from larderlens.functions.labels import page_count, page_from, page_to
-from larderlens.functions.staging import settle
 
 PRESET_LIMITS = (15, 30, 60, 90)
 MAX_PAGE_SIZE = 100
@@ -176,15 +175,24 @@ def list_recipes(
 ) -> DataFrame:
     """One row (total, page, size, results): how many recipes pass the filters, and the summaries of one page of them.
 
-    The filters are evaluated once, into a stored table of what passes; count and page are read from that, and the page
-    is stored for its links. No join side is broadcast but by its known size.
+    The filters are evaluated once, by one job that keeps the top rows of each task and counts all rows on their way; nothing is
+    written. The page, at most MAX_PAGE_SIZE rows, comes to the driver, and its ids are pushed down to the scans of the links.
     """
+    _check_size(size)
     links = (recipe_allergens, recipe_dietary_tags, allergens, dietary_tags)
-    kept = settle(filter_recipes(recipes, *links, filters).select(*SUMMARY_FIELDS), "kept-recipes")
-    shown = settle(page(kept, number, size), "recipe-page")
-    results = summaries(shown, *links, on_page=True).agg(F.sort_array(F.collect_list(F.struct("*"))).alias("results"))
-    total = total_count(kept).scalar()
-    return results.select(total.alias("total"), F.lit(number).alias("page"), F.lit(size).alias("size"), "results")
+    kept = filter_recipes(recipes, *links, filters).select(*SUMMARY_FIELDS)
+    rows, total = page_and_total(kept, number, size)
+    shown, ids = recipes.sparkSession.createDataFrame(rows, kept.schema), [r.id for r in rows]
+    of_page = [rows.where(F.col("recipe_id").isin(ids)) for rows in (recipe_allergens, recipe_dietary_tags)]
+    results = summaries(shown, *of_page, allergens, dietary_tags).agg(F.sort_array(F.collect_list(F.struct("*"))).alias("results"))
+    return results.select(F.lit(total).cast("long").alias("total"), F.lit(number).alias("page"), F.lit(size).alias("size"), "results")
+
+
+def page_and_total(recipes: DataFrame, number: int = 1, size: int = 20) -> tuple[list[Row], int]:
+    """The rows of one page and the number of all `recipes`, from one pass over them."""
+    counted = Observation()
+    rows = page(recipes.observe(counted, F.count(F.lit(1)).alias("total")), number, size).collect()
+    return rows, counted.get.get("total", 0)
 
 
 def details(
@@ -247,3 +255,49 @@ def time_buckets(recipes: DataFrame, limits: tuple[int, ...] = PRESET_LIMITS) ->
     counts = recipes.agg(*[F.count_if(F.col("total_time") <= n).alias(str(n)) for n in limits])
     pairs = F.array(*[F.struct(F.lit(n).alias("max_total_time"), F.col(str(n)).alias("total")) for n in limits])
     return counts.select(F.inline(pairs))
+
+
+def filter_cube(recipes: DataFrame, recipe_allergens: DataFrame, recipe_dietary_tags: DataFrame) -> DataFrame:
+    """(allergen_bits, tag_bits, cuisine, total_time, recipes): how many recipes there are of each combination.
+
+    The cube answers the total of every combination of filters without recipes or links. It has no more rows than there are
+    combinations in use: bits of a few allergens and tags, cuisines, and minutes. Ids of both dimensions are below 63.
+    """
+    bit = lambda column: F.expr(f"shiftleft(1L, {column})")
+    marks = recipe_allergens.select(F.col("recipe_id").alias("id"), bit("allergen_id").alias("allergen_bits"), F.lit(0).cast("long").alias("tag_bits"))
+    tags = recipe_dietary_tags.select(F.col("recipe_id").alias("id"), F.lit(0).cast("long").alias("allergen_bits"), bit("dietary_tag_id").alias("tag_bits"))
+    held = marks.unionByName(tags).groupBy("id").agg(F.bit_or("allergen_bits").alias("allergen_bits"), F.bit_or("tag_bits").alias("tag_bits"))
+    joined = recipes.select("id", "cuisine", "total_time").join(held, "id", "left")
+    bits = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("allergen_bits", "tag_bits")]
+    return joined.groupBy(*bits, "cuisine", "total_time").agg(F.count(F.lit(1)).alias("recipes"))
+
+
+def cube_total(cube: DataFrame, allergens: DataFrame, dietary_tags: DataFrame, filters: Filters) -> DataFrame:
+    """(total): how many recipes pass the filters, as `filter_recipes` and `total_count` tell, from the cube alone."""
+    kept = by_max_time(by_cuisine(cube, filters.cuisine), filters.max_total_time)
+    barred, wanted = _bits(allergens, filters.exclude_allergens), _bits(dietary_tags, filters.dietary_tags)
+    kept = kept.where((F.col("allergen_bits").bitwiseAND(F.lit(barred)) == 0) & (F.col("tag_bits").bitwiseAND(F.lit(wanted)) == wanted))
+    return kept.agg(F.coalesce(F.sum("recipes"), F.lit(0)).alias("total"))
+
+
+def allergen_set_totals(cube: DataFrame, allergens: DataFrame) -> DataFrame:
+    """(excluded, total): the recipes left by every set of allergens to exclude, names sorted and comma separated.
+
+    All sets are answered by one pass over the cube; there are two to the power of the number of allergens, which is small.
+    """
+    named = sorted((r.name, r.id) for r in allergens.select("name", "id").collect())
+    if len(named) > 10:
+        raise ValueError("sets of at most ten allergens")
+    sets = [[x for k, x in enumerate(named) if n >> k & 1] for n in range(1 << len(named))]
+    told = [(",".join(name for name, _ in s), sum(1 << i for _, i in s)) for s in sets]
+    free = lambda mask: F.col("allergen_bits").bitwiseAND(F.lit(mask)) == 0
+    sums = [F.coalesce(F.sum(F.when(free(mask), F.col("recipes"))), F.lit(0)).alias(str(n)) for n, (_, mask) in enumerate(told)]
+    pairs = F.array(*[F.struct(F.lit(name).alias("excluded"), F.col(str(n)).alias("total")) for n, (name, _) in enumerate(told)])
+    return cube.agg(*sums).select(F.inline(pairs))
+
+
+def _bits(dimension: DataFrame, names: str | None) -> int:
+    """The bits of the listed names that exist."""
+    wanted = split_names(names)
+    rows = dimension.where(F.col("name").isin(wanted)).select("id").collect() if wanted else []
+    return sum(1 << r.id for r in rows)

@@ -218,6 +218,22 @@ def sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sitemap_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sitemap indexes (source, xml), one to a source, that list its sitemaps newest first; one in 5 could not be fetched.
+
+    A comment hides one, and one that was never fetched stands at the top of every third index.
+    """
+    maps = sitemaps(spark, sf_dir).select("source", "sitemap_pos", F.concat(F.lit("<sitemap><loc>\n "), "sitemap_url", F.lit(" </loc></sitemap>")).alias("entry"))
+    listed = maps.groupBy("source").agg(F.sort_array(F.collect_list(F.struct((-F.col("sitemap_pos")).alias("by"), "entry"))).alias("l"))
+    number = F.col("source").cast("int")
+    lost = F.when(number % 3 == 1, F.lit("<sitemap><loc>https://example.org/lost-recipe.xml</loc></sitemap>")).otherwise(F.lit(""))
+    xml = F.concat(
+        F.lit('<?xml version="1.0"?><sitemapindex><!-- <loc>https://example.org/hidden-recipe.xml</loc> -->'),
+        lost, F.array_join("l.entry", ""), F.lit("</sitemapindex>"),
+    )
+    return listed.select("source", F.when(number % 5 != 4, xml).alias("xml"))
+
+
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page arrivals (url, source_id, ts, event_id, event_type), from events. A third is of one URL, and a few have none."""
     user, event = F.col("user_id"), F.col("event_id")

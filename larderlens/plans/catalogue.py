@@ -102,7 +102,8 @@ def load_batch(
 
     Pages are parsed once, into a staged table that also fixes the row order; accepted recipes, names and
     masks are staged likewise, and every table is a narrow read of one of these. A batch depends on earlier
-    batches only, so running it again gives the same tables. With no source enabled nothing is done.
+    batches only, so running it again gives the same tables. With no source enabled nothing is done, and neither with
+    a batch that is part of a segment in every table.
     """
     session.configure(tables.spark)
     session.configure(pages.sparkSession)
@@ -110,6 +111,9 @@ def load_batch(
     if not active:
         _LOG.warning("no source is enabled")
         return
+    if len(tables.folded(batch, run)) == len(schemas.TABLES):
+        _LOG.info("batch %s of %s was put into segments", batch, run)
+        return
     register_sources(tables, active, batch, run)
 
     chosen = choose_pages(pages.where(F.col("source").isin([s.base_url for s in active])), urls)

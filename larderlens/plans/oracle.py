@@ -186,6 +186,12 @@ ORACLE = {
     "load_discovered": f"""SELECT {URL} AS url, 'Recipe ' || k AS title FROM {O} WHERE {URL} IN (SELECT url FROM ({DISCOVERED}))""",
     "discover_recipe_urls": _discovery("pos NOT IN (1, 5)", "contains(url, '/recipes/') AND NOT contains(url, '/premium/')"),
     "discover_post_urls": _discovery("true", "NOT contains(url, 'wp-content')"),
+    # The index lists sitemaps from the last to the first, after a comment and, in every third, one that was lost.
+    "discover_index": f"""WITH {SITEMAP_CTE},
+      listed AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY pos DESC) + CAST(s % 3 = 1 AS INT) AS place FROM maps WHERE s % 5 <> 4),
+      ranked AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY pos DESC) + CAST(s % 3 = 1 AS INT) AS rank FROM listed WHERE pos NOT IN (1, 5))
+      SELECT CAST(e.s AS VARCHAR) AS source, url, CAST(min(place) AS INT) AS sitemap_pos FROM entries e JOIN ranked r USING (n)
+      WHERE rank <= 2 AND n % 23 <> 7 AND contains(url, '/recipes/') AND NOT contains(url, '/premium/') GROUP BY e.s, url""",
     "source_upsert": """SELECT DISTINCT 'Site ' || l_suppkey AS name, 'https://site-' || l_suppkey || '.example.org' AS base_url
       FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 3000)""",
     "enabled_sources": """SELECT s_suppkey AS id, s_name AS name, 'https://site-' || s_suppkey || '.example.org' AS base_url
@@ -214,6 +220,17 @@ ORACLE = {
       FROM recipes ORDER BY id LIMIT 20 OFFSET 40""",
     "recipes_page_deep": f"WITH {RECIPES_CTE} SELECT id, title FROM recipes ORDER BY id LIMIT 20 OFFSET 1180",
     "recipes_page_after": f"WITH {RECIPES_CTE} SELECT id, title FROM recipes WHERE id > 1000 ORDER BY id LIMIT 20",
+    "recipes_pages_indexed": f"""WITH {RECIPES_CTE}, placed AS (SELECT id, title, (row_number() OVER (ORDER BY id) - 1) // 20 + 1 AS page FROM recipes)
+      SELECT page, id, title FROM placed WHERE page IN (1, 60, 500, 5000) OR page = (SELECT max(page) FROM placed)""",
+    "allergen_set_totals": f"""WITH {LINKS_CTE}, sets AS (SELECT range AS n FROM range(16)),
+      members AS (SELECT n, name, id FROM sets JOIN (SELECT *, row_number() OVER (ORDER BY name) - 1 AS k FROM allergens) ON (n >> k) % 2 = 1)
+      SELECT coalesce((SELECT string_agg(name, ',' ORDER BY name) FROM members m WHERE m.n = s.n), '') AS excluded,
+        (SELECT count(*) FROM recipes r WHERE NOT EXISTS (SELECT 1 FROM recipe_allergens x JOIN members m ON m.id = x.allergen_id AND m.n = s.n WHERE x.recipe_id = r.id)) AS total
+      FROM sets s""",
+    "cube_totals": f"""WITH {LINKS_CTE}
+      SELECT CAST(0 AS INT) AS request, count(*) AS total FROM ({SAFE})
+      UNION ALL SELECT 1, count(*) FROM recipes WHERE cuisine ILIKE '%ian%'
+      UNION ALL SELECT 2, count(*) FROM recipes WHERE {_TAGGED.format('vegan')} AND {_TAGGED.format('contains_raw_egg')}""",
     "recipe_list": f"""WITH {LINKS_CTE}
       {_answer(0, f"id IN (SELECT id FROM ({SAFE}))", 2, 20)}
       UNION ALL {_answer(1, "cuisine ILIKE '%ian%'", 1, 50)}
@@ -293,3 +310,7 @@ ORACLE = {
       UNION ALL SELECT 'recipe_allergens', recipe_id, count(*) FROM recipe_allergens WHERE recipe_id NOT IN (SELECT o_orderkey FROM gone) GROUP BY recipe_id
       UNION ALL SELECT 'recipe_dietary_tags', recipe_id, count(*) FROM recipe_tags WHERE recipe_id NOT IN (SELECT o_orderkey FROM gone) GROUP BY recipe_id""",
 }
+
+# The same deletions, on stored tables.
+ORACLE["stored_cascade_delete"] = ORACLE["cascade_delete"]
+ORACLE["stored_ingredient_delete"] = ORACLE["delete_ingredients"]

@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from larderlens import schemas, session
 from larderlens.functions import labels
-from larderlens.functions.staging import settle
+from larderlens.functions.staging import new_path, settle
 from larderlens.functions.text import normalise_ingredient
 from larderlens.lexicon import CATEGORIES
 from larderlens.operators import arrivals, discover, extract, matching, quality, rollup, search
+from larderlens.operators.paging import PageIndex
 from larderlens.plans import bindings as b
 from larderlens.plans import catalogue
 from larderlens.sources import seeds
+from larderlens.sources.tables import Catalogue
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -132,6 +134,14 @@ def discover_post_urls(spark, sf_dir):
     return found.select("source", "url", "sitemap_pos")
 
 
+@_query
+def discover_index(spark, sf_dir):
+    """URLs of the newest sitemaps that each index lists."""
+    bodies = b.sitemaps(spark, sf_dir).select("sitemap_url", "xml")
+    found = discover.discover_from_index(b.sitemap_indexes(spark, sf_dir), bodies, discover.RECIPE_SITEMAPS)
+    return found.select("source", "url", "sitemap_pos")
+
+
 # Sources
 
 
@@ -265,6 +275,12 @@ def run_summary(spark, sf_dir):
 
 # Search
 
+REQUESTS = (
+    (search.Filters(exclude_allergens="dairy,egg", dietary_tags="vegetarian", max_total_time=60), 2, 20),
+    (search.Filters(cuisine="ian"), 1, 50),
+    (search.Filters(dietary_tags="vegan,contains_raw_egg"), 1, 20),
+)
+
 
 @_query
 def recipes_page(spark, sf_dir):
@@ -284,6 +300,14 @@ def recipes_page_after(spark, sf_dir):
     return search.page_after(b.recipes(spark, sf_dir), 1000, 20).select("id", "title")
 
 
+@_query
+def recipes_pages_indexed(spark, sf_dir):
+    """Near, deep and last pages, each from the id range it lies in."""
+    index = PageIndex(spark, new_path(spark, "page-index")).build(b.recipes(spark, sf_dir).select("id", "title"), 2_000)
+    numbers = sorted({1, 60, 500, 5000, max(1, -(-index.total() // 20))})
+    return quality.union_all([index.page(n, 20).select(F.lit(n).cast("long").alias("page"), "id", "title") for n in numbers])
+
+
 @_query
 def filter_cuisine(spark, sf_dir):
     return search.by_cuisine(b.recipes(spark, sf_dir), "iAn").select("id", "cuisine")
@@ -333,6 +357,21 @@ def filtered_count(spark, sf_dir):
     return search.total_count(_safe(spark, sf_dir))
 
 
+@_query
+def allergen_set_totals(spark, sf_dir):
+    """How many recipes every set of excluded allergens leaves."""
+    cube = search.filter_cube(b.recipes(spark, sf_dir), *_both_links(spark, sf_dir))
+    return search.allergen_set_totals(cube, seeds.allergens(spark))
+
+
+@_query
+def cube_totals(spark, sf_dir):
+    """The totals of the saved requests, from the cube."""
+    cube = settle(search.filter_cube(b.recipes(spark, sf_dir), *_both_links(spark, sf_dir)), "cube")
+    totals = [search.cube_total(cube, seeds.allergens(spark), seeds.dietary_tags(spark), filters) for filters, *_ in REQUESTS]
+    return quality.union_all([total.select(F.lit(n).alias("request"), "total") for n, total in enumerate(totals)])
+
+
 @_query
 def recipe_summary(spark, sf_dir):
     """All recipes with their allergens and tags."""
@@ -347,13 +386,6 @@ def recipe_summary(spark, sf_dir):
     )
 
 
-REQUESTS = (
-    (search.Filters(exclude_allergens="dairy,egg", dietary_tags="vegetarian", max_total_time=60), 2, 20),
-    (search.Filters(cuisine="ian"), 1, 50),
-    (search.Filters(dietary_tags="vegan,contains_raw_egg"), 1, 20),
-)
-
-
 @_query
 def recipe_list(spark, sf_dir):
     """The answers to three saved requests."""
@@ -523,24 +555,52 @@ def dq_domains(spark, sf_dir):
     return quality.outside_domain(log, "event_id", "status", schemas.DOMAINS["run_log", "status"])
 
 
-@_query
-def cascade_delete(spark, sf_dir):
-    """Rows per recipe left in each table after the recipes of one priority were deleted."""
+def _rows_left(tables: dict[str, DataFrame]) -> DataFrame:
+    counts = []
+    for name, rows in tables.items():
+        key = "id" if name == "recipes" else "recipe_id"
+        per_recipe = rows.groupBy(F.col(key).alias("recipe_id")).agg(F.count(F.lit(1)).alias("rows_left"))
+        counts.append(per_recipe.select(F.lit(name).alias("table_name"), "recipe_id", "rows_left"))
+    return quality.union_all(counts)
+
+
+def _recipe_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     allergen_links, tag_links = _both_links(spark, sf_dir)
-    tables = {
+    return {
         "recipes": b.recipes(spark, sf_dir),
         "recipe_ingredients": rollup.bridge(b.lines(spark, sf_dir)),
         "recipe_allergens": allergen_links,
         "recipe_dietary_tags": tag_links,
     }
-    deleted = b.recipe_ids(spark, sf_dir, "5-LOW")
-    left = quality.delete_recipes(tables, deleted)
-    counts = []
-    for name, rows in left.items():
-        key = "id" if name == "recipes" else "recipe_id"
-        per_recipe = rows.groupBy(F.col(key).alias("recipe_id")).agg(F.count(F.lit(1)).alias("rows_left"))
-        counts.append(per_recipe.select(F.lit(name).alias("table_name"), "recipe_id", "rows_left"))
-    return quality.union_all(counts)
+
+
+@_query
+def cascade_delete(spark, sf_dir):
+    """Rows per recipe left in each table after the recipes of one priority were deleted."""
+    return _rows_left(quality.delete_recipes(_recipe_tables(spark, sf_dir), b.recipe_ids(spark, sf_dir, "5-LOW")))
+
+
+def _stored(spark: SparkSession, frames: dict[str, DataFrame], key: dict[str, str], batches: int) -> Catalogue:
+    """A catalogue on storage with the rows of `frames`, dealt to batches by their key."""
+    tables = Catalogue(spark, new_path(spark, "catalogue"))
+    for name, rows in frames.items():
+        missing = {f.name: F.lit(None).cast(f.dataType) for f in schemas.TABLES[name] if f.name not in rows.columns}
+        dealt = rows.withColumns(missing | {"run": F.lit("loads"), "batch": F.pmod(F.col(key[name]), F.lit(batches))})
+        tables.import_rows(name, dealt)
+    return tables
+
+
+@_query
+def stored_cascade_delete(spark, sf_dir):
+    """The same on stored tables that were loaded in batches, compacted before and after the deletion."""
+    frames = _recipe_tables(spark, sf_dir)
+    frames["recipe_ingredients"] = frames["recipe_ingredients"].withColumn("ingredient_id", F.xxhash64("raw")).drop("raw")
+    frames["recipe_allergens"], frames["recipe_dietary_tags"] = (f.drop("name") for f in (frames["recipe_allergens"], frames["recipe_dietary_tags"]))
+    tables = _stored(spark, frames, dict.fromkeys(frames, "recipe_id") | {"recipes": "id"}, 4)
+    tables.compact(segment_bytes=1)
+    tables.delete_recipes(b.recipe_ids(spark, sf_dir, "5-LOW"))
+    tables.compact()
+    return _rows_left({name: tables.read(name) for name in frames})
 
 
 @_query
@@ -563,3 +623,25 @@ def delete_ingredients(spark, sf_dir):
         "allergen row": left["ingredient_allergens"].select(F.col("ingredient_id").alias("id")),
     }
     return quality.union_all([f.join(named, "id").select(F.lit(kind).alias("kind"), "raw_name") for kind, f in kinds.items()])
+
+
+@_query
+def stored_ingredient_delete(spark, sf_dir):
+    """The same on stored tables; `refused` is what the deletion returns."""
+    rows = matching.ingredient_dimension(b.lines(spark, sf_dir)).withColumn("id", F.xxhash64("raw"))
+    links = rollup.allergen_links(rows.withColumnRenamed("id", "ingredient_id"), seeds.allergens(spark), "ingredient_id")
+    used = b.lines(spark, sf_dir).where(~F.col("raw").startswith("1"))
+    frames = {
+        "ingredients": rows.select("id", F.col("raw").alias("raw_name"), F.col("normalised").alias("normalised_name")),
+        "ingredient_allergens": links.select("ingredient_id", "allergen_id"),
+        "recipe_ingredients": rollup.bridge(used.select("recipe_id", F.xxhash64("raw").alias("ingredient_id")), "recipe_id", "ingredient_id"),
+    }
+    tables = _stored(spark, frames, {"ingredients": "id", "ingredient_allergens": "ingredient_id", "recipe_ingredients": "recipe_id"}, 3)
+    refused = tables.delete_ingredients(rows.where(F.col("raw").startswith("1") | F.col("raw").startswith("2")).select("id"))
+    named = rows.select("id", F.col("raw").alias("raw_name"))
+    kinds = {
+        "ingredient": tables.read("ingredients").select("id"),
+        "refused": refused,
+        "allergen row": tables.read("ingredient_allergens").select(F.col("ingredient_id").alias("id")),
+    }
+    return quality.union_all([f.join(named, "id").select(F.lit(kind).alias("kind"), "raw_name") for kind, f in kinds.items()])

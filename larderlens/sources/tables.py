@@ -9,20 +9,27 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
-from pyspark.sql.utils import AnalysisException
 
 from larderlens import schemas
 from larderlens.operators import quality
 from larderlens.sources import seeds
+from larderlens.sources.folders import below, exists, remove
+from larderlens.sources.segments import Batch, Segment, Versions, batches_in, bins, outside, replaced, spans
 
 
 #: The run of batch loads that name none.
 DEFAULT_RUN = "loads"
 
+#: Segments smaller than this are put together with their neighbours.
+SEGMENT_BYTES = 1 << 30
+#: About the size of a file of a compacted segment.
+FILE_BYTES = 256 << 20
+
 
 class Catalogue:
     """Reads and writes the tables of one catalogue folder."""
@@ -34,6 +41,7 @@ class Catalogue:
         self.root = root.rstrip("/")
         shared = spark.conf.get("spark.checkpoint.dir", None)
         own = hashlib.sha256(self.root.encode()).hexdigest()[:24]
+        self.versions = Versions(spark, self.root)
         self.staging = staging or (f"{shared.rstrip('/')}/larderlens/{own}" if shared else f"{self.root}/_staging")
 
     def path(self, table: str) -> str:
@@ -50,23 +58,42 @@ class Catalogue:
             rows = rows.where(~((F.col("run") == run) & (F.col("batch") >= before_batch)))
         return rows.drop("run", "batch")
 
-    def _rows(self, table: str) -> DataFrame:
-        with_batch = StructType([*schemas.TABLES[table].fields]).add("run", StringType()).add("batch", LongType())
-        try:
-            frame = self.spark.read.schema(with_batch).parquet(self.path(table))
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            frame = self.spark.createDataFrame([], with_batch)
-        return frame
+    def _with_batch(self, table: str) -> StructType:
+        return StructType([*schemas.TABLES[table].fields]).add("run", StringType()).add("batch", LongType())
+
+    def _loaded(self, table: str) -> DataFrame:
+        """All batches as they were loaded, also those that segments have taken the place of."""
+        if not exists(self.spark, self.path(table)):
+            return self.spark.createDataFrame([], self._with_batch(table))
+        return self.spark.read.schema(self._with_batch(table)).parquet(self.path(table))
+
+    def _rows(self, table: str, segments: list[Segment] | None = None) -> DataFrame:
+        own = [s for s in (self.versions.current()[1] if segments is None else segments) if s.table == table]
+        rows = self._loaded(table)
+        if not own:
+            return rows
+        rows = rows.where(outside(spans(own)))
+        folders = sorted(s.folder for s in own if s.folder)
+        return rows.unionByName(self.spark.read.schema(self._with_batch(table)).parquet(*folders)) if folders else rows
+
+    def folded(self, batch: int, run: str = DEFAULT_RUN) -> set[str]:
+        """The tables in which a batch is part of a segment."""
+        return {s.table for s in self.versions.current()[1] if s.covers(run, batch)}
 
     def write(self, table: str, rows: DataFrame, batch: int, run: str = DEFAULT_RUN) -> None:
-        """Write one batch in schema order."""
+        """Write one batch in schema order. A batch that is part of a segment stays as it is there."""
         if not re.fullmatch(r"[\w-]+", run):
             raise ValueError("a run is named by letters, digits, _ and -")
+        if table in self.folded(batch, run):
+            return
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.TABLES[table].fields]
         rows.select(*columns).write.mode("overwrite").parquet(f"{self.path(table)}/run={run}/batch={batch}")
 
+    def import_rows(self, table: str, rows: DataFrame) -> None:
+        """Write rows that carry their `run` and `batch`, each batch as if it had been loaded by itself."""
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self._with_batch(table).fields]
+        rows.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "batch").parquet(self.path(table))
+
     def stage(self, name: str, rows: DataFrame, batch: int = 0, run: str = DEFAULT_RUN) -> DataFrame:
         """Write an intermediate result of a batch and read it back.
 
@@ -83,17 +110,118 @@ class Catalogue:
     def dietary_tags(self) -> DataFrame:
         return seeds.dietary_tags(self.spark)
 
-    def delete_recipes(self, deleted: DataFrame) -> None:
-        """Remove recipes (`deleted` has `id`) and every row that links to them from storage.
+    def _batches(self, table: str) -> set[Batch]:
+        return batches_in(self._loaded(table).inputFiles()) if exists(self.spark, self.path(table)) else set()
+
+    def open_batches(self) -> set[Batch]:
+        """Batches that a load has begun and not ended: their sources are written, their log is not."""
+        return self._batches("sources") - self._batches("run_log")
 
-        What stays of all tables is staged first; each table is then overwritten, so a deletion that breaks off is
-        completed by asking for it again.
+    def delete_recipes(self, deleted: DataFrame) -> DataFrame:
+        """Remove recipes (`deleted` has `id`) and every row that links to them from storage, from all tables at once.
+
+        Returns the ids that stay because the batch that brings them is not fully loaded yet. Only batches and segments
+        with a row to delete are rewritten.
+        """
+        keys = {"recipes": "id"} | dict.fromkeys(("recipe_ingredients", "recipe_allergens", "recipe_dietary_tags"), "recipe_id")
+        ids = self._noted(deleted.select("id").distinct())
+        self._delete(keys, ids)
+        return self.read("recipes").select("id").join(ids, "id", "left_semi")
+
+    def delete_ingredients(self, deleted: DataFrame) -> DataFrame:
+        """Remove ingredients (`deleted` has `id`) that no recipe has, and their allergen rows, from storage.
+
+        Returns the ids that stay: those that a recipe has, and those of batches that are not fully loaded yet.
+        """
+        ids = self._noted(deleted.select("id").distinct())
+        used = quality.used_ingredients({"recipe_ingredients": self.read("recipe_ingredients")}, ids)
+        free = self._noted(quality.without_keys(ids, "id", used, "id"))
+        self._delete({"ingredients": "id", "ingredient_allergens": "ingredient_id"}, free)
+        return self.read("ingredients").select("id").join(ids, "id", "left_semi")
+
+    def _noted(self, ids: DataFrame) -> DataFrame:
+        return self.stage("ids", ids, run=f"delete-{uuid.uuid4().hex}")
+
+    def _delete(self, keys: dict[str, str], ids: DataFrame) -> None:
+        """Rewrite what holds one of `ids` in the key column of each table, then switch."""
+        version, segments = self.versions.current()
+        unfinished = self.open_batches()
+        new: list[Segment] = []
+        for table, key in keys.items():
+            rows = self._rows(table, segments)
+            hit = rows.join(ids.withColumnRenamed("id", key), key, "left_semi").select("run", "batch").distinct().collect()
+            batches = {(r.run, r.batch) for r in hit} - unfinished
+            old = [s for s in segments if s.table == table and any(s.covers(*b) for b in batches)]
+            units = [(s.run, s.first, s.last) for s in old] + [(r, b, b) for r, b in sorted(batches) if not any(s.covers(r, b) for s in old)]
+            if units:
+                kept = quality.without_keys(self._unit_rows(table, segments, units), key, ids, "id")
+                new += self.versions.write(table, kept, units)
+        if new:
+            self.versions.switch(version, replaced(segments, new))
+
+    def _unit_rows(self, table: str, segments: list[Segment], units: list[tuple[str, int, int]]) -> DataFrame:
+        """The rows of some units, read from their own folders only."""
+        wanted = [s for s in segments if s.table == table and any(s.covers(r, b) for r, b, _ in units)]
+        loaded = [f"{r}/{n}" for r, first, last in units for n in range(first, last + 1) if not any(s.covers(r, n) for s in wanted)]
+        rows = self._loaded(table).where(F.concat_ws("/", "run", F.col("batch").cast("string")).isin(loaded))
+        folders = sorted(s.folder for s in wanted if s.folder)
+        return rows.unionByName(self.spark.read.schema(self._with_batch(table)).parquet(*folders)) if folders else rows
+
+    def compact(self, segment_bytes: int = SEGMENT_BYTES, file_bytes: int = FILE_BYTES) -> int:
+        """Put small neighbouring batches and segments together; returns how many segments were made.
+
+        Batches that are still being loaded are left out. Rows keep the number of their batch, so what a batch builds on
+        stays the same.
         """
-        tables = {name: self._rows(name) for name in ("recipes", "recipe_ingredients", "recipe_allergens", "recipe_dietary_tags")}
-        ids = self.stage("deleted", deleted.select("id").distinct(), run="delete")
-        kept = {name: self.stage(name, rows, run="delete") for name, rows in quality.delete_recipes(tables, ids).items()}
-        for name, rows in kept.items():
-            rows.write.mode("overwrite").partitionBy("run", "batch").parquet(self.path(name))
+        version, segments = self.versions.current()
+        unfinished = self.open_batches()
+        new: list[Segment] = []
+        for table in schemas.TABLES:
+            own = [s for s in segments if s.table == table]
+            single = {b for b in self._batches(table) - unfinished if not any(s.covers(*b) for s in own)}
+            size = self._bytes(table, own)
+            units = [(s.run, s.first, s.last, size.get(s.folder, 0)) for s in own]
+            units += [(r, b, b, size.get(f"{r}/{b}", 0)) for r, b in single]
+            chosen = bins(units, segment_bytes)
+            if not chosen:
+                continue
+            wide = [(b[0][0], b[0][1], b[-1][2]) for b in chosen]
+            files = {n: max(1, -(-sum(u[3] for u in b) // file_bytes)) for n, b in enumerate(chosen)}
+            parts = [(r, first, last) for b in chosen for r, first, last, _ in b]
+            new += self.versions.write(table, self._unit_rows(table, own, parts), wide, files)
+        if new:
+            self.versions.switch(version, replaced(segments, new))
+        return len(new)
+
+    def _bytes(self, table: str, segments: list[Segment]) -> dict[str | None, int]:
+        """Bytes of files by batch (run/batch) and by folder of a segment; files without rows count nothing."""
+        scans = [self._loaded(table)] if self._batches(table) else []
+        if any(s.folder for s in segments):
+            scans.append(self.spark.read.schema(self._with_batch(table)).parquet(*sorted(s.folder for s in segments if s.folder)))
+        files = [r for scan in scans for r in scan.select("_metadata.file_path", "_metadata.file_size").distinct().collect()]
+        found: dict[str | None, int] = {}
+        folders = {s.folder.rsplit("/_versions/", 1)[1]: s.folder for s in segments if s.folder}
+        for path, size in files:
+            m = re.search(r"/run=([^/]+)/batch=(\d+)/", path)
+            name = f"{m[1]}/{m[2]}" if m else folders.get(path.rsplit("/_versions/", 1)[-1].rsplit("/", 1)[0])
+            found[name] = found.get(name, 0) + size
+        return found
+
+    def tidy(self) -> int:
+        """Remove what the current version does not read; returns how many folders. Readers of older versions, and rewrites
+        that are under way, must have ended."""
+        version, segments = self.versions.current()
+        if version < 0:
+            return 0
+        inside = lambda p: below(self.spark, p)
+        held = {s.folder.rsplit("/_versions/", 1)[1] for s in segments if s.folder}
+        gone = [f"{self.path(t)}/run={r}/batch={b}" for t in schemas.TABLES for r, b in sorted(self._batches(t)) if any(s.table == t and s.covers(r, b) for s in segments)]
+        units = [u for made in inside(f"{self.versions.root}/data") for table in inside(made) for u in inside(table) if "/segment=" in u]
+        gone += [u for u in units if u.rsplit("/_versions/", 1)[1] not in held]
+        gone += [f"{self.versions.root}/list/version={n}" for n in self.versions.numbers() if n < version]
+        for folder in gone:
+            remove(self.spark, folder)
+        return len(gone)
 
     def save_bucketed(self, table: str, key: str, buckets: int, name: str) -> None:
         """Copy a table into a bucketed catalog table, so joins and roll-ups on `key` need no shuffle.
