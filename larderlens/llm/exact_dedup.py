@@ -7,11 +7,14 @@ Only digests are shuffled, never texts.
 Texts are equal when they are identical after white space is deleted; null counts as the empty text. Of the equal
 texts of one batch the one with the most code points stays, then the smallest doc_id (null last), then the first
 row. A text that an earlier batch has brought is dropped whatever its length. Adding a batch again changes nothing
-and gives the same answer.
+and gives the same answer. An index takes one writer at a time; two that add at once may both keep a text.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,16 +30,25 @@ def digest(text: str):
 
 
 class DigestIndex:
-    """The digest table under `path`. The bucket count is fixed when it is made; choose it for the final size."""
+    """The digest table under `path`, known to the session's catalog by a hash of the whole path.
+
+    The bucket count is fixed when it is made; choose it for the final size. Opening it with another one is an error.
+    """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
         self.spark = spark
         self.buckets = buckets
-        self.table = "digests_" + "".join(c if c.isalnum() else "_" for c in path.rstrip("/").rsplit("/", 1)[-1])
+        self.path = path.rstrip("/")
+        self.table = f"digests_{hashlib.sha256(self.path.encode()).hexdigest()[:32]}"
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table} (text_sha256 STRING, keep_id BIGINT, batch STRING) USING parquet "
-            f"CLUSTERED BY (text_sha256) SORTED BY (text_sha256) INTO {buckets} BUCKETS LOCATION '{path}'"
+            f"CLUSTERED BY (text_sha256) SORTED BY (text_sha256) INTO {buckets} BUCKETS LOCATION '{self.path}'"
         )
+        told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {self.table}").collect()}
+        if told["Num Buckets"] != str(buckets):
+            raise ValueError(f"the index at {self.path} has {told['Num Buckets']} buckets")
+        if not told["Location"].rstrip("/").endswith(re.sub(r"^[a-z0-9+.-]+:/*", "", self.path)):
+            raise ValueError(f"{self.table} is the index at {told['Location']}")
 
     def read(self) -> DataFrame:
         self.spark.catalog.refreshTable(self.table)
@@ -54,7 +66,7 @@ class DigestIndex:
             ),
             "digest-facts",
         )
-        best = F.struct("n", F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("low"), (-F.col("row")).alias("first"))
+        best = F.struct("n", F.col("doc_id").isNotNull().alias("known"), F.bitwise_not("doc_id").alias("low"), F.bitwise_not("row").alias("first"))
         groups = settle(
             facts.groupBy("text_sha256").agg(
                 F.max(F.struct(best.alias("by"), "doc_id", "row")).alias("best"), F.count(F.lit(1)).alias("group_size")

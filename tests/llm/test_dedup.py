@@ -322,3 +322,20 @@ def test_substrings_of_odd_documents(odd, none):
     assert left.columns == odd.columns and left.count() == odd.count()
     assert {r.doc_id: (r.text, r.n_chars) for r in left.collect()}[13] == ("", 0)
     assert substring_dedup.digests(none).collect() == [] and substring_dedup.shorten(none).collect() == []
+
+
+def test_indexes_in_folders_of_one_name_are_apart(spark, documents):
+    ones = [exact_dedup.DigestIndex(spark, f"{new_path(spark, team)}/index", buckets=2) for team in ("a-b", "a_b")]
+    told = [[r.kept for r in index.add(documents, "0").orderBy("doc_id").collect()] for index in ones]
+    assert told[0] == told[1] and any(told[0])
+    with pytest.raises(ValueError, match="2 buckets"):
+        exact_dedup.DigestIndex(spark, ones[0].path, buckets=4)
+    again = exact_dedup.DigestIndex(spark, ones[0].path, buckets=2).add(documents, "1")
+    assert not again.where("kept").count()
+
+
+def test_smallest_and_largest_ids(spark):
+    rows = [(-(2**63), "a b"), (2**63 - 1, "ab"), (-(2**63), "a b"), (0, "x"), (-5, "x"), (None, "x")]
+    told = exact_dedup.decide(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.keep_id) for r in told} == {(-(2**63), -(2**63)), (2**63 - 1, -(2**63)), (0, -5), (-5, -5), (None, -5)}
+    assert sum(r.kept for r in told) == 2
