@@ -1,8 +1,8 @@
 """Language identification in two steps: the family by softmax regression, then one-versus-one linear support vector
 machines between the languages of that family.
 
-Learned from labelled rows only: a documented, bounded sample of ROWS_PER_LANGUAGE whole texts of each language, of the
-MOST_LANGUAGES languages with most rows, the same rows on every run. The text is the only input of a prediction.
+Learned from labelled rows only: a documented, bounded sample of ROWS_PER_LANGUAGE whole texts of every language, or of
+SAMPLE_ROWS in all where there are very many languages, the same rows on every run. The text is the only input of a prediction.
 A text that is null or has no letter is `und` with score 0; so is every text if there is nothing to learn from.
 Among the machines of a family the language with most wins is predicted, of equals the one with the larger sum of margins,
 then the first by name. The score is the family's probability times the mean chance of the language's own duels.
@@ -24,7 +24,8 @@ from larderlens.llm import features
 from larderlens.llm.common import text_slices
 
 ROWS_PER_LANGUAGE = 500
-MOST_LANGUAGES = 200
+# Rows of all languages together; each gets an equal part of it, one row at least.
+SAMPLE_ROWS = 100_000
 BUCKETS = 4096
 CHARS = (1, 2, 3, 4)
 UNKNOWN = "und"
@@ -58,13 +59,17 @@ def is_held_out(doc_id: str):
 
 
 def _sample(docs: DataFrame) -> DataFrame:
-    """At most ROWS_PER_LANGUAGE labelled rows a language, chosen by a hash of doc_id."""
+    """At most ROWS_PER_LANGUAGE labelled rows of every language, chosen by a hash of doc_id; fewer where there are so many
+    languages that all would have more than SAMPLE_ROWS."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~is_held_out("doc_id")).select("doc_id", "lang", "text")
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    languages = counts.count()
+    most = max(1, min(ROWS_PER_LANGUAGE, SAMPLE_ROWS // max(1, languages)))
+    counts = F.broadcast(counts) if languages <= SAMPLE_ROWS else counts
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    thinned = labelled.join(F.broadcast(counts), "lang").where(draw * F.col("n") < 2 * ROWS_PER_LANGUAGE + 50)
+    thinned = labelled.join(counts, "lang").where(draw * F.col("n") < 2 * most + 50)
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    return thinned.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= ROWS_PER_LANGUAGE).select("lang", "text")
+    return thinned.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= most).select("lang", "text")
 
 
 def fit(texts: list[str], languages: list[str]) -> dict:

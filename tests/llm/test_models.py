@@ -162,3 +162,13 @@ def test_odd_pages(spark):
     assert (1, "u", "", 0) in told and (2, None, "", 0) in told and (None, "u", PROSE, len(PROSE)) in told
     assert told.count((3, "u", "x", 1)) == 2 and len(told) == len(rows)
     assert html_extract.extract(pages.limit(0)).collect() == []
+
+
+def test_every_language_is_learned_from_a_bounded_sample(spark, monkeypatch):
+    rows = [(n, f"l{n % 300:03}", f"text {n} of words") for n in range(2000) if crc32(str(n).encode()) % 3 != 1]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    languages = {r[1] for r in rows}
+    assert {r.lang for r in language_id._sample(docs).collect()} == languages
+    monkeypatch.setattr(language_id, "SAMPLE_ROWS", 600)
+    few = language_id._sample(docs).groupBy("lang").count().collect()
+    assert {r.lang for r in few} == languages and max(r["count"] for r in few) <= 2
