@@ -12,8 +12,8 @@ import pyarrow as pa
 from larderlens.llm.common import Words, flat_bytes, mixed, spread, window_hashes
 
 # Rows turned into features at once.
-SLICE_ROWS = 256
-SLICE_TEXT = 2 << 20
+SLICE_ROWS = 128
+SLICE_TEXT = 1 << 20
 
 _CASE = np.arange(0x110000, dtype=np.uint32)
 _CASE[65:91] += 32

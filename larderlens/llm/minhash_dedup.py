@@ -116,7 +116,7 @@ def band_keys(found: np.ndarray, bands: int = BANDS) -> np.ndarray:
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """key, bands, for texts with words."""
     for batch in batches:
-        for rows, texts in text_slices(batch, limit=1 << 20, rows=1024):
+        for rows, texts in text_slices(batch, limit=1 << 19, rows=256):
             found = sketches(*weighted(*shingles(texts)), len(texts))
             with_words = found[:, 0] != _EMPTY
             bands = pa.array(list(band_keys(found[with_words])), pa.list_(pa.int64()))
