@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larderlens import schemas, session
@@ -78,13 +78,17 @@ def winning_rows(parsed: DataFrame, loaded: DataFrame, order: list[str]) -> Data
     return parsed.where(good).join(winners.select(order[-1]), order[-1], "left_semi")
 
 
+def log_url() -> Column:
+    """The URL as the log holds it: not null, and no longer than the log allows."""
+    return F.left(F.coalesce("url", F.lit("")), F.lit(schemas.LENGTHS["run_log"]["url"]))
+
+
 def log_rows(parsed: DataFrame, loaded: DataFrame, order: list[str]) -> DataFrame:
     """Every arrival with its status, as the log holds it: no URL is null or longer than the log allows."""
     seen = parsed.select(*[c for c in ("url", "source") if c in parsed.columns], *order, "outcome", "error_message")
     good = F.col("outcome") == "success"
     log = arrivals.arrival_status(seen, loaded, order, good, F.col("outcome"), F.col("error_message"))
-    limit = schemas.LENGTHS["run_log"]["url"]
-    return log.drop("outcome").withColumn("url", F.left(F.coalesce("url", F.lit("")), F.lit(limit)))
+    return log.drop("outcome").withColumn("url", log_url())
 
 
 def load_batch(
@@ -119,16 +123,25 @@ def load_batch(
     chosen = choose_pages(pages.where(F.col("source").isin([s.base_url for s in active])), urls)
     category_sources = [s.base_url for s in active if s.cuisine_in_category]
     numbered = extract.parse_pages(chosen, category_sources).withColumn("row_id", F.monotonically_increasing_id())
-    stage = lambda name, rows: tables.stage(name, rows, batch, run)
-    write = lambda name, rows: tables.write(name, rows, batch, run)
-    parsed = stage("parsed", numbered)
+    parsed = tables.stage("parsed", numbered, batch, run)
 
     loaded = tables.read("recipes", batch, run)
-    fresh = winning_rows(parsed, loaded, _ORDER)
-    accepted = stage("accepted", fresh.withColumn("id", F.xxhash64("url")).drop("row_id", "outcome", "error_message"))
+    write_batch(tables, winning_rows(parsed, loaded, _ORDER), log_rows(parsed, loaded, _ORDER), batch, run)
+
+
+def write_batch(tables: Catalogue, fresh: DataFrame, log: DataFrame, batch: int, run: str) -> None:
+    """Write all tables of a batch from the parsed pages to load (`fresh`) and the `log` of all arrivals.
+
+    The log comes last: a batch with a log is complete.
+    """
+    stage = lambda name, rows: tables.stage(name, rows, batch, run)
+    write = lambda name, rows: tables.write(name, rows, batch, run)
+    unused = [c for c in ("row_id", "outcome", "error_message", "status") if c in fresh.columns]
+    accepted = stage("accepted", fresh.withColumn("id", F.xxhash64("url")).drop(*unused))
 
     now = F.current_timestamp()
     write("recipes", accepted.withColumns({"source_id": F.xxhash64("source"), "scraped_at": now}))
+    tables.tell_known(accepted.select("url"), batch, run)
 
     lines = accepted.select(F.col("id").alias("recipe_id"), F.explode("ingredients").alias("raw"))
     pairs = rollup.bridge(lines.select("recipe_id", F.xxhash64("raw").alias("ingredient_id")), "recipe_id", "ingredient_id")
@@ -148,5 +161,4 @@ def load_batch(
     write("recipe_allergens", rollup.allergen_links(masks, tables.allergens()))
     write("recipe_dietary_tags", rollup.dietary_tag_links(masks, tables.dietary_tags()))
 
-    log = log_rows(parsed, loaded, _ORDER)
     write("run_log", log.withColumns({"source_id": F.xxhash64("source"), "scraped_at": now}))

@@ -30,8 +30,16 @@ def check_catalogue(tables: Catalogue) -> DataFrame:
     for child, key, parent in schemas.LINKS:
         faults = quality.orphans(frames[child], key, frames[parent], "id", f"{child}.{key}")
         reports.append(_report("no parent", faults, F.col("rule"), F.col("key"), F.col("rows")))
+    return quality.union_all([*reports, check_values(frames)])
+
+
+def check_values(frames: dict[str, DataFrame]) -> DataFrame:
+    """(kind, rule, key, rows) of missing and overlong values and of values outside their domain, in the given tables."""
+    reports = []
     dimensions = {name: schemas.DIMENSION for name in ("allergens", "dietary_tags")}
     for name, schema in (schemas.TABLES | dimensions).items():
+        if name not in frames:
+            continue
         id_column = schema.fields[0].name
         required = [f.name for f in schema.fields if not f.nullable]
         faults = quality.text_faults(frames[name], id_column, required, schemas.LENGTHS.get(name, {}))

@@ -311,6 +311,12 @@ ORACLE = {
       UNION ALL SELECT 'recipe_dietary_tags', recipe_id, count(*) FROM recipe_tags WHERE recipe_id NOT IN (SELECT o_orderkey FROM gone) GROUP BY recipe_id""",
 }
 
+ORACLE["noted_checks"] = f"""WITH {LINKS_CTE}, kept AS (SELECT *, id - CAST(id % 50 = 1 AS INT) AS shown FROM recipes WHERE id IN (SELECT o_orderkey FROM orders WHERE o_orderpriority <> '1-URGENT'))
+  SELECT 'repeated' AS kind, 'recipes.url' AS rule, 'https://example.org/recipes/' || shown AS key, count(*) AS rows FROM kept GROUP BY shown HAVING count(*) > 1
+  UNION ALL SELECT 'no parent', 'recipes.source_id', CAST(source_id AS VARCHAR), count(*) FROM kept GROUP BY source_id
+  UNION ALL SELECT 'no parent', 'recipe_allergens.recipe_id', CAST(recipe_id AS VARCHAR), count(*) FROM recipe_allergens
+    WHERE recipe_id NOT IN (SELECT id FROM kept) GROUP BY recipe_id"""
+
 # The same deletions, on stored tables.
 ORACLE["stored_cascade_delete"] = ORACLE["cascade_delete"]
 ORACLE["stored_ingredient_delete"] = ORACLE["delete_ingredients"]

@@ -16,6 +16,7 @@ from larderlens.operators import arrivals, discover, extract, matching, quality,
 from larderlens.operators.paging import PageIndex
 from larderlens.plans import bindings as b
 from larderlens.plans import catalogue
+from larderlens.plans.batch_checks import check_noted, note_batch
 from larderlens.sources import seeds
 from larderlens.sources.tables import Catalogue
 
@@ -645,3 +646,19 @@ def stored_ingredient_delete(spark, sf_dir):
         "allergen row": tables.read("ingredient_allergens").select(F.col("ingredient_id").alias("id")),
     }
     return quality.union_all([f.join(named, "id").select(F.lit(kind).alias("kind"), "raw_name") for kind, f in kinds.items()])
+
+
+@_query
+def noted_checks(spark, sf_dir):
+    """What the notes of three stored batches report: repeated URLs across batches, and links to recipes and sources that are not there."""
+    k = F.col("id")
+    kept = b.recipes(spark, sf_dir).join(b.recipe_ids(spark, sf_dir, "1-URGENT"), "id", "left_anti")
+    url = b.recipe_url(F.when(k % 50 == 1, k - 1).otherwise(k))
+    frames = {
+        "recipes": kept.withColumns({"url": url, "scraped_at": F.current_timestamp()}),
+        "recipe_allergens": _allergen_links(spark, sf_dir).drop("name"),
+    }
+    tables = _stored(spark, frames, {"recipes": "id", "recipe_allergens": "recipe_id"}, 3)
+    for batch in range(3):
+        note_batch(tables, batch)
+    return check_noted(tables)

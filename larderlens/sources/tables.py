@@ -58,6 +58,10 @@ class Catalogue:
             rows = rows.where(~((F.col("run") == run) & (F.col("batch") >= before_batch)))
         return rows.drop("run", "batch")
 
+    def read_batch(self, table: str, batch: int, run: str = DEFAULT_RUN) -> DataFrame:
+        """The rows of one batch."""
+        return self._rows(table).where((F.col("run") == run) & (F.col("batch") == batch)).drop("run", "batch")
+
     def _with_batch(self, table: str) -> StructType:
         return StructType([*schemas.TABLES[table].fields]).add("run", StringType()).add("batch", LongType())
 
@@ -94,6 +98,16 @@ class Catalogue:
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self._with_batch(table).fields]
         rows.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "batch").parquet(self.path(table))
 
+    @property
+    def known_path(self) -> str:
+        """URLs as they become known or are forgotten, (url, loaded, told_at), for streams to follow."""
+        return f"{self.root}/known_urls"
+
+    def tell_known(self, urls: DataFrame, batch: int, run: str = DEFAULT_RUN, loaded: bool = True) -> None:
+        """Tell streams that recipes of `urls` are in the catalogue, or no longer are."""
+        told = urls.select("url", F.lit(loaded).alias("loaded"), F.current_timestamp().alias("told_at"))
+        told.write.mode("overwrite").parquet(f"{self.known_path}/run={run}/batch={batch}")
+
     def stage(self, name: str, rows: DataFrame, batch: int = 0, run: str = DEFAULT_RUN) -> DataFrame:
         """Write an intermediate result of a batch and read it back.
 
@@ -125,8 +139,11 @@ class Catalogue:
         """
         keys = {"recipes": "id"} | dict.fromkeys(("recipe_ingredients", "recipe_allergens", "recipe_dietary_tags"), "recipe_id")
         ids = self._noted(deleted.select("id").distinct())
+        urls = self._noted(self.read("recipes").select("id", "url").join(ids, "id", "left_semi"))
         self._delete(keys, ids)
-        return self.read("recipes").select("id").join(ids, "id", "left_semi")
+        left = self.read("recipes").select("id").join(ids, "id", "left_semi")
+        self.tell_known(urls.join(left, "id", "left_anti"), 0, f"delete-{uuid.uuid4().hex}", loaded=False)
+        return left
 
     def delete_ingredients(self, deleted: DataFrame) -> DataFrame:
         """Remove ingredients (`deleted` has `id`) that no recipe has, and their allergen rows, from storage.
