@@ -6,6 +6,8 @@ from collections.abc import Callable, Iterable, Iterator
 
 # Bytes of chunks and results that a worker keeps; then it starts anew.
 HELD_BYTES = 96 << 20
+# What it keeps between tasks.
+RESTING_BYTES = 24 << 20
 # A chunk longer than this is worked out each time.
 LONG_CHUNK = 512
 # What an entry takes besides its own bytes.
@@ -35,6 +37,11 @@ class ChunkCache:
         self.held += sum(map(len, made)) + sum(map(len, made.values())) + ENTRY_BYTES * len(made)
         return {**self.known, **long} if long else self.known
 
+    def rest(self) -> None:
+        """Between tasks: give back what is more than RESTING_BYTES, as other stages run in the same worker."""
+        if self.held > RESTING_BYTES:
+            self.known, self.held = {}, 0
+
     def joined(self, texts: list[list[bytes]]) -> Iterator[bytes]:
         """For each text, given as chunks, its results one after the other."""
         found = self.results(set().union(*texts))

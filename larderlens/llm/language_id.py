@@ -160,5 +160,6 @@ def keep_accepted(docs: DataFrame, model: dict | None, least_score: float = 0.0)
             for rows, texts in text_slices(batch, limit=features.SLICE_TEXT, rows=features.SLICE_ROWS):
                 names, scores = predict(shared.value, texts)
                 yield rows.filter(pa.array((np.array(names) != UNKNOWN) & (scores >= least_score)))
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(kept, docs.schema)

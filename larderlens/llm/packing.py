@@ -31,6 +31,7 @@ MARK = b"\xff" * 4
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 _CACHES: dict[str, ChunkCache] = {}
+_ENCODERS: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
@@ -97,7 +98,8 @@ class WordEncoder:
 def token_ids(texts: Iterable[bytes], path: str) -> Iterator[bytes]:
     """The ids of each text as little-endian 32-bit numbers, without special tokens."""
     if path not in _CACHES:
-        _CACHES[path] = ChunkCache(WordEncoder(path))
+        _ENCODERS[path] = WordEncoder(path)
+        _CACHES[path] = ChunkCache(_ENCODERS[path])
     return _CACHES[path].joined([t.split() for t in texts])
 
 
@@ -117,6 +119,10 @@ def piece_rows(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> I
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"]
             )
+    if path in _CACHES:
+        _CACHES[path].rest()
+        _ENCODERS[path].parts.rest()
+        pa.default_memory_pool().release_unused()
 
 
 def best_two_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
