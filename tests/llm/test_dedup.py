@@ -339,29 +339,3 @@ def test_smallest_and_largest_ids(spark):
     told = exact_dedup.decide(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r.doc_id, r.keep_id) for r in told} == {(-(2**63), -(2**63)), (2**63 - 1, -(2**63)), (0, -5), (-5, -5), (None, -5)}
     assert sum(r.kept for r in told) == 2
-
-
-def test_lines_are_told_apart_by_pairs_only_if_they_are_not_near():
-    rng = random.Random(5)
-    lines = ["", "a", "ab", "x" * 300, "é漢😀 " * 9]
-    for _ in range(150):
-        line = "".join(rng.choice("abcdefé ") for _ in range(rng.randrange(1, 90)))
-        lines.append(line)
-        for _ in range(3):
-            edited = list(line)
-            for _ in range(rng.randrange(0, 1 + len(line) // 3)):
-                at = rng.randrange(len(edited) + 1)
-                edited[at : at + rng.randrange(2)] = [rng.choice("abcdefé ")][: rng.randrange(2)]
-            lines.append("".join(edited))
-    firsts, seconds = lines, [*lines[1:], lines[0]]
-    room = line_dedup.may_be_near(*line_dedup.pair_counts(firsts), *line_dedup.pair_counts(seconds))
-    near = [line_dedup.is_near(a, b) for a, b in zip(firsts, seconds, strict=True)]
-    assert not any(n and not r for n, r in zip(near, room, strict=True)) and sum(room) < len(room)
-    ids = list(range(len(lines)))
-    union = Union()
-    for a, b in line_dedup.linked_lines(ids, ids, lines):
-        assert line_dedup.is_near(lines[a], lines[b])
-        union.join(a, b)
-    for i in ids:
-        for j in ids[:i]:
-            assert union.find(i) == union.find(j) or not line_dedup.is_near(lines[i], lines[j])
