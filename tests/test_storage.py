@@ -100,22 +100,22 @@ def test_rows_of_an_unfinished_batch_stay_and_are_told(spark, tables):
 def test_many_batches_become_few_files_and_old_ones_stay_harmless(spark, tmp_path):
     tables = Catalogue(spark, str(tmp_path))
     log = tables._with_batch("run_log")
-    rows = spark.range(1000).select(
+    rows = spark.range(200).select(
         F.lit(1).cast("long").alias("source_id"), F.concat(F.lit("u/"), "id").alias("url"), F.lit("success").alias("status"),
         F.lit(None).cast("string").alias("error_message"), F.current_timestamp().alias("scraped_at"), F.lit("loads").alias("run"), F.col("id").alias("batch"),
     )
     rows.to(log).repartition(1).write.partitionBy("run", "batch").parquet(tables.path("run_log"))
     urls = lambda **of: sorted(r.url for r in tables.read("run_log", **of).collect())
-    want, early = urls(), urls(before_batch=400)
-    assert len(want) == 1000 and len(early) == 400
+    want, early = urls(), urls(before_batch=80)
+    assert len(want) == 200 and len(early) == 80
     assert tables.compact() == 1 and tables.compact() == 0
-    assert urls() == want and urls(before_batch=400) == early
-    assert len(tables.read("run_log").inputFiles()) < 1003  # listed still, not read
+    assert urls() == want and urls(before_batch=80) == early
+    assert len(tables.read("run_log").inputFiles()) < 203  # listed still, not read
     tables.write("run_log", tables.read("run_log").limit(1).withColumn("url", F.lit("again")), 7)
     assert urls() == want
-    assert tables.tidy() == 1000
+    assert tables.tidy() == 200
     assert len(glob.glob(f"{tmp_path}/**/*.parquet", recursive=True)) <= 3 and urls() == want
-    tables.write("run_log", tables.read("run_log").limit(1).withColumn("url", F.lit("new")), 1000)
+    tables.write("run_log", tables.read("run_log").limit(1).withColumn("url", F.lit("new")), 200)
     assert urls() == sorted([*want, "new"])
 
 
