@@ -1,6 +1,7 @@
 """What the operators must find, by plain means."""
 
 import hashlib
+import re
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -50,33 +51,56 @@ def brute_classes(rows):
     return {k: union.find(k) for k in rows}
 
 
-def brute_lines(rows):
-    """The rule by trying all pairs."""
+def normal_line(line):
+    line = "".join("0" if c in "0123456789" else c if ord(c) > 127 or c.isalnum() else " " for c in line.lower())
+    return " ".join(p for p in re.split("[\x00-\x20]+", line) if p)
+
+
+def line_places(rows):
     where = defaultdict(list)
     for k, text in rows.items():
-        for n, line in enumerate(line_dedup.normalised_lines((text or "").encode())):
-            if line:
-                where[line].append((k, n))
-    nodes = list(where)
-    sims = line_dedup.simhashes(nodes)[0].tolist() if nodes else []
-    bounds = [64 * n // line_dedup.BLOCKS for n in range(line_dedup.BLOCKS + 1)]
-    spans = list(zip(bounds[:-1], bounds[1:], strict=True))
-    union = Union()
-    for i, j in combinations(range(len(nodes)), 2):
-        other = sims[i] ^ sims[j]
-        if sum((other >> lo) & ((1 << hi - lo) - 1) == 0 for lo, hi in spans) >= line_dedup.AGREE:
-            if line_dedup.is_near(nodes[i].decode(), nodes[j].decode()):
-                union.join(i, j)
-    held = defaultdict(list)
-    for i, line in enumerate(nodes):
-        held[union.find(i)] += where[line]
+        for n, line in enumerate((text or "").split("\n")):
+            if normal_line(line):
+                where[normal_line(line)].append((k, n))
+    return where
+
+
+def later_lines(rows, groups):
     gone = defaultdict(list)
-    for own in held.values():
-        for k, n in sorted(own)[1:]:
+    for places in groups:
+        for k, n in sorted(places)[1:]:
             gone[k].append(n)
     return {k: sorted(gone[k]) for k in rows}
 
 
+def brute_lines(rows, compared=None):
+    """Dropped lines by comparing all pairs, or those that `compared` names. Pairs that cannot be near are told by their shared
+    three-grams first: an edit takes three at most."""
+    where = line_places(rows)
+    lines = sorted(where, key=len)
+    sizes = np.array([len(x) for x in lines])
+    grams = np.zeros((len(lines), 2048), dtype=np.uint8)
+    for i, x in enumerate(lines):
+        for gram, n in Counter(x[j : j + 3] for j in range(len(x) - 2)).items():
+            at = zlib.crc32(gram.encode()) % 2048
+            grams[i, at] = min(255, int(grams[i, at]) + n)
+    union = Union()
+    for i, x in enumerate(lines):
+        end = int(np.searchsorted(sizes, sizes[i] / 0.8 + 1e-9, side="right"))
+        shared = np.minimum(grams[i + 1 : end], grams[i]).sum(axis=1, dtype=np.int64)
+        clipped = (grams[i] == 255).any()
+        wanted = sizes[i + 1 : end] - 2 - 3 * np.floor(sizes[i + 1 : end] * 0.2 + 1e-9)
+        for j in (np.flatnonzero((shared >= wanted) | clipped) + i + 1).tolist():
+            if compared and not compared(x, lines[j]) or union.find(i) == union.find(j):
+                continue
+            if line_dedup.edit_distance(x, lines[j]) <= 0.2 * len(lines[j]) + 1e-9:
+                union.join(i, j)
+    held = defaultdict(list)
+    for i, x in enumerate(lines):
+        held[union.find(i)] += where[x]
+    return later_lines(rows, held.values())
+
+
 def digest(words):
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
