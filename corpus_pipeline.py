@@ -12,10 +12,13 @@ from larderlens.llm.queries import vocabulary_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# A text stays when its language is more likely right than not.
+LEAST_SCORE = 0.5
+
 
 def accept_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter go. All others stay, also in languages that were not learned: there is no least score."""
-    return language_id.keep_accepted(docs, language_id.train(docs))
+    """Texts without a letter go, and those whose language is told with a score below LEAST_SCORE."""
+    return language_id.keep_accepted(docs, language_id.train(docs), LEAST_SCORE)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

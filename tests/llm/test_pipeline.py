@@ -20,6 +20,18 @@ def test_every_stage_on_odd_and_no_documents(spark, odd, none, sf):
         assert {"doc_id", "sequence_id", "offset"} <= set(docs.columns)
 
 
+def test_texts_of_no_sure_language_go(spark, sf):
+    english = ["the house by the river was sold with all that was in it", "they have shown that this is what she would have thought"]
+    german = ["das haus am fluss wurde mit allem verkauft was darin war", "sie haben gezeigt dass sie das nicht gedacht hätten"]
+    rows = [(n, f"{text} {n}", lang) for n in range(40) for lang, texts in (("en", english), ("de", german)) for text in texts]
+    # A text that four languages have alike is none of them for sure.
+    rows += [(1000 + n, text, lang) for n in range(40) for lang, text in (("en", "xq"), ("fr", "xq"), ("es", "xq"), ("de", "xq"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    left = corpus_pipeline.accept_language(spark, docs, sf)
+    assert left.where("text = 'xq'").count() == 0
+    assert left.where("text <> 'xq'").count() == docs.where("text <> 'xq'").count()
+
+
 def test_run_equals_brute_force(spark, sf, rows):
     told = corpus_pipeline.run(spark, sf).collect()
     want = brute_pipeline(rows)
