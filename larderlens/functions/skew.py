@@ -23,6 +23,25 @@ def attach_by_key(rows: DataFrame, summary: DataFrame, key: str, weight: str) ->
     return direct.unionByName(shuffled).drop(weight)
 
 
+# Rows of a table scan that one task takes in joins and groupings by key: some 100 MB of hash maps and sorted rows.
+ROWS_PER_TASK = 250_000
+
+
+def tasks_for(scan: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """How many tasks a plain table scan (or a projection of one) is dealt to: their number grows with the rows, so that
+    none has more to do in a larger table. Rows are counted from the file footers."""
+    return max(scan.sparkSession.sparkContext.defaultParallelism, -(-scan.count() // rows_per_task))
+
+
+def deal(scan: DataFrame, *keys: str, tasks: int | None = None) -> DataFrame:
+    """Deal the rows of a plain table scan to tasks by `keys`; groupings and joins on these need no further shuffle.
+
+    The splits of a scan say little about its rows: a file with one row group is one task however many splits it has. And the
+    shuffles that Spark plans are put together into about as many tasks as there are cores, which grow with the table.
+    """
+    return scan.repartition(tasks or tasks_for(scan), *keys)
+
+
 def widen(scan: DataFrame, *keys: str) -> DataFrame:
     """Spread a plain table scan over all cores when it has fewer splits than there are cores.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larderlens.functions.skew import widen
+from larderlens.functions.skew import deal, tasks_for, widen
 
 # The ingredient lines of the golden table, in id order.
 PANTRY = (
@@ -54,6 +54,9 @@ CATEGORY_SOURCES = ["2"]
 URLS_PER_SITEMAP = 200
 SITEMAPS_PER_SOURCE = 8
 
+# Pages that one task renders and parses where no lines are joined to them.
+PAGES_PER_TASK = 50_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -87,10 +90,15 @@ def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ingredient lines (recipe_id, pos, raw), from line items."""
+def line_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """To how many tasks the ingredient lines are dealt by recipe."""
+    return tasks_for(table(spark, sf_dir, "lineitem"))
+
+
+def lines(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
+    """The ingredient lines (recipe_id, pos, raw), from line items, dealt by recipe."""
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    return widen(items, "l_orderkey").select(
+    return deal(items, "l_orderkey", tasks=tasks).select(
         F.col("l_orderkey").alias("recipe_id"),
         F.col("l_linenumber").alias("pos"),
         _pick(PANTRY, F.col("l_partkey")).alias("raw"),
@@ -103,9 +111,9 @@ def _rendered(values: tuple, key: Column) -> Column:
     return F.replace(_pick(plain, key), F.lit("\x01"), key.cast("string"))
 
 
-def _line_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _line_lists(spark: SparkSession, sf_dir: str, tasks: int) -> DataFrame:
     """(recipe_id, items): the lines of each order as JSON items; an order has a handful."""
-    listed = lines(spark, sf_dir).groupBy("recipe_id").agg(F.sort_array(F.collect_list(F.struct("pos", "raw"))).alias("l"))
+    listed = lines(spark, sf_dir, tasks).groupBy("recipe_id").agg(F.sort_array(F.collect_list(F.struct("pos", "raw"))).alias("l"))
     items = F.regexp_replace(F.to_json("l.raw"), r"^\[|\]$", "")
     return listed.select("recipe_id", items.alias("items"))
 
@@ -117,9 +125,12 @@ def pages(spark: SparkSession, sf_dir: str, with_lines: bool = True, with_copies
     name; of those, every second has no block the first time; and one in 29 has lost its URL.
     """
     k = F.col("o_orderkey")
-    base = widen(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    # Orders and their lines are dealt to the same tasks, so that they meet where they are.
+    tasks = max(tasks_for(orders, PAGES_PER_TASK), line_tasks(spark, sf_dir) if with_lines else 1)
+    base = deal(orders, "o_orderkey", tasks=tasks)
     if with_lines:
-        base = base.join(_line_lists(spark, sf_dir), F.col("recipe_id") == k, "left")
+        base = base.join(_line_lists(spark, sf_dir, tasks), F.col("recipe_id") == k, "left")
     else:
         base = base.withColumn("items", F.lit(""))
     copies = F.when((k % 10 == 0) & F.lit(with_copies), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
