@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from larderlens import schemas, session
 from larderlens.functions import labels
+from larderlens.functions.skew import deal
 from larderlens.functions.staging import new_path, settle
 from larderlens.functions.text import normalise_ingredient
 from larderlens.lexicon import CATEGORIES
@@ -493,12 +494,12 @@ def time_buckets(spark, sf_dir):
 def dq_duplicates(spark, sf_dir):
     """Key rules over tables in which keys were made to repeat."""
     k = F.col("id")
-    recipes = b.recipes(spark, sf_dir).select(b.recipe_url(F.when(k % 50 == 1, k - 1).otherwise(k)).alias("url"))
+    urls = b.recipes(spark, sf_dir).select(b.recipe_url(F.when(k % 50 == 1, k - 1).otherwise(k)).alias("url"))
     rows = b.lines(spark, sf_dir)
     origins = b.sources(spark, sf_dir).select(b.site_url(F.when(k % 10 == 1, k - 1).otherwise(k)).alias("base_url"))
     return quality.union_all(
         [
-            quality.duplicate_keys(recipes, "recipes.url", ["url"]),
+            quality.duplicate_keys(deal(urls, "url"), "recipes.url", ["url"]),
             quality.duplicate_keys(rows, "recipe_ingredients.pair", ["recipe_id", "raw"]),
             quality.duplicate_keys(origins, "sources.base_url", ["base_url"]),
             quality.duplicate_keys(rows.select("raw"), "ingredients.raw_name", ["raw"]),

@@ -37,3 +37,9 @@ def test_lines_and_pages_of_one_row_group_are_many_tasks(spark, star, monkeypatc
     monkeypatch.setattr(bindings, "PAGES_PER_TASK", 50)
     assert bindings.pages(spark, star, with_lines=False).rdd.getNumPartitions() == 40
     assert bindings.lines(spark, star, tasks=30).rdd.getNumPartitions() == 30
+
+
+def test_keys_are_counted_where_they_are_dealt(spark, star):
+    """No grouping by URL or by recipe is left to shuffles whose tasks grow with the table."""
+    plan = skew.deal(bindings.recipes(spark, star).select("url"), "url").groupBy("url").count()._jdf.queryExecution().toString()
+    assert "ENSURE_REQUIREMENTS" not in plan and "REPARTITION_BY_NUM" in plan
