@@ -181,8 +181,8 @@ def _tag_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _both_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Allergen and tag links from the same masks."""
-    masks = _masks(spark, sf_dir)
+    """Allergen and tag links from the same masks; these are settled, so that lines are flagged once for both."""
+    masks = deal(settle(_masks(spark, sf_dir), "masks"), "recipe_id", tasks=b.line_tasks(spark, sf_dir))
     return (
         rollup.allergen_links(masks, seeds.allergens(spark)),
         rollup.dietary_tag_links(masks, seeds.dietary_tags(spark)),
@@ -510,7 +510,7 @@ def dq_duplicates(spark, sf_dir):
 @_query
 def dq_orphans(spark, sf_dir):
     """Link rules after some parents were dropped."""
-    recipes, rows = b.recipes(spark, sf_dir), b.lines(spark, sf_dir)
+    recipes, rows = deal(b.recipes(spark, sf_dir), "id"), b.lines(spark, sf_dir)
     kept = recipes.join(b.recipe_ids(spark, sf_dir, "1-URGENT"), "id", "left_anti")
     origins = b.table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("source_id"))
     names = rows.select("raw").distinct().where(~F.col("raw").startswith("a"))
@@ -569,7 +569,7 @@ def _rows_left(tables: dict[str, DataFrame]) -> DataFrame:
 def _recipe_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     allergen_links, tag_links = _both_links(spark, sf_dir)
     return {
-        "recipes": b.recipes(spark, sf_dir),
+        "recipes": deal(b.recipes(spark, sf_dir), "id"),
         "recipe_ingredients": rollup.bridge(b.lines(spark, sf_dir)),
         "recipe_allergens": allergen_links,
         "recipe_dietary_tags": tag_links,

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larderlens.functions import skew
-from larderlens.plans import bindings
+from larderlens.plans import bindings, queries
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +39,11 @@ def test_lines_and_pages_of_one_row_group_are_many_tasks(spark, star, monkeypatc
     assert bindings.lines(spark, star, tasks=30).rdd.getNumPartitions() == 30
 
 
+def test_lines_are_flagged_once_for_both_links(spark, star):
+    for links in queries._both_links(spark, star):
+        assert "regexp_replace" not in links._jdf.queryExecution().toString()
+
+
 def test_keys_are_counted_where_they_are_dealt(spark, star):
     """No grouping by URL or by recipe is left to shuffles whose tasks grow with the table."""
     plan = skew.deal(bindings.recipes(spark, star).select("url"), "url").groupBy("url").count()._jdf.queryExecution().toString()
