@@ -602,7 +602,7 @@ def stored_cascade_delete(spark, sf_dir):
     tables.compact(segment_bytes=1)
     tables.delete_recipes(b.recipe_ids(spark, sf_dir, "5-LOW"))
     tables.compact()
-    return _rows_left({name: tables.read(name) for name in frames})
+    return _rows_left({name: deal(tables.read(name), "id" if name == "recipes" else "recipe_id") for name in frames})
 
 
 @_query

@@ -94,14 +94,17 @@ class Versions:
         in the order of their files.
         """
         path = f"{self.root}/data/{uuid.uuid4().hex}/{table}"
-        told = [(run, n, unit, (files or {}).get(unit, 1)) for unit, (run, first, last) in enumerate(units) for n in range(first, last + 1)]
+        number = [(files or {}).get(unit, 1) for unit in range(len(units))]
+        told = [(run, n, unit, number[unit], sum(number[:unit])) for unit, (run, first, last) in enumerate(units) for n in range(first, last + 1)]
         # A row for each batch, of which the driver has listed the folders anyway.
-        listed = self.spark.createDataFrame(told, "run string, batch long, segment int, files int")
+        listed = self.spark.createDataFrame(told, "run string, batch long, segment int, files int, file int")
         dealt = rows.join(F.broadcast(listed), ["run", "batch"])
         if files is not None:
             key = next(f.name for f in rows.schema if f.name not in ("run", "batch"))
-            dealt = dealt.repartition("segment", F.pmod(F.xxhash64(key), F.col("files"))).sortWithinPartitions("segment", "batch")
-        dealt.drop("files").write.partitionBy("segment").parquet(path)
+            # A task for each file, so that no task sorts more rows than one file has.
+            place = F.col("file") + F.pmod(F.xxhash64(key), F.col("files")).cast("int")
+            dealt = dealt.repartitionById(sum(number), place).sortWithinPartitions("segment", "batch")
+        dealt.drop("files", "file").write.partitionBy("segment").parquet(path)
         filled = {int(p.rsplit("=", 1)[1]) for p in below(self.spark, path) if "/segment=" in p}
         return [Segment(table, *u, f"{path}/segment={n}" if n in filled else None) for n, u in enumerate(units)]
 

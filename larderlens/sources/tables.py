@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
 from larderlens import schemas
+from larderlens.functions.skew import deal, tasks_for
 from larderlens.operators import quality
 from larderlens.sources import seeds
 from larderlens.sources.folders import below, exists, remove
@@ -29,6 +30,8 @@ DEFAULT_RUN = "loads"
 SEGMENT_BYTES = 1 << 30
 #: About the size of a file of a compacted segment.
 FILE_BYTES = 256 << 20
+#: Rows of such a file at most, about; the task that writes it sorts them.
+FILE_ROWS = 2_000_000
 
 
 class Catalogue:
@@ -139,7 +142,7 @@ class Catalogue:
         """
         keys = {"recipes": "id"} | dict.fromkeys(("recipe_ingredients", "recipe_allergens", "recipe_dietary_tags"), "recipe_id")
         ids = self._noted(deleted.select("id").distinct())
-        urls = self._noted(self.read("recipes").select("id", "url").join(ids, "id", "left_semi"))
+        urls = self._noted(deal(self.read("recipes").select("id", "url"), "id").join(ids, "id", "left_semi"))
         self._delete(keys, ids)
         left = self.read("recipes").select("id").join(ids, "id", "left_semi")
         self.tell_known(urls.join(left, "id", "left_anti"), 0, f"delete-{uuid.uuid4().hex}", loaded=False)
@@ -166,12 +169,14 @@ class Catalogue:
         new: list[Segment] = []
         for table, key in keys.items():
             rows = self._rows(table, segments)
-            hit = rows.join(ids.withColumnRenamed("id", key), key, "left_semi").select("run", "batch").distinct().collect()
+            keyed = deal(rows.select(key, "run", "batch"), key)
+            hit = keyed.join(ids.withColumnRenamed("id", key), key, "left_semi").select("run", "batch").distinct().collect()
             batches = {(r.run, r.batch) for r in hit} - unfinished
             old = [s for s in segments if s.table == table and any(s.covers(*b) for b in batches)]
             units = [(s.run, s.first, s.last) for s in old] + [(r, b, b) for r, b in sorted(batches) if not any(s.covers(r, b) for s in old)]
             if units:
-                kept = quality.without_keys(self._unit_rows(table, segments, units), key, ids, "id")
+                found = self._unit_rows(table, segments, units)
+                kept = quality.without_keys(deal(found, key, tasks=tasks_for(found, FILE_ROWS)), key, ids, "id")
                 new += self.versions.write(table, kept, units)
         if new:
             self.versions.switch(version, replaced(segments, new))
@@ -196,32 +201,36 @@ class Catalogue:
         for table in schemas.TABLES:
             own = [s for s in segments if s.table == table]
             single = {b for b in self._batches(table) - unfinished if not any(s.covers(*b) for s in own)}
-            size = self._bytes(table, own)
-            units = [(s.run, s.first, s.last, size.get(s.folder, 0)) for s in own]
-            units += [(r, b, b, size.get(f"{r}/{b}", 0)) for r, b in single]
+            size = self._sizes(table, own)
+            units = [(s.run, s.first, s.last, size.get(s.folder, (0, 0))[0]) for s in own]
+            units += [(r, b, b, size.get(f"{r}/{b}", (0, 0))[0]) for r, b in single]
             chosen = bins(units, segment_bytes)
             if not chosen:
                 continue
             wide = [(b[0][0], b[0][1], b[-1][2]) for b in chosen]
-            files = {n: max(1, -(-sum(u[3] for u in b) // file_bytes)) for n, b in enumerate(chosen)}
+            held = {(s.run, s.first): size.get(s.folder, (0, 0))[1] for s in own} | {(r, b): size.get(f"{r}/{b}", (0, 0))[1] for r, b in single}
+            files = {
+                n: max(1, -(-sum(u[3] for u in b) // file_bytes), -(-sum(held[u[0], u[1]] for u in b) // FILE_ROWS)) for n, b in enumerate(chosen)
+            }
             parts = [(r, first, last) for b in chosen for r, first, last, _ in b]
             new += self.versions.write(table, self._unit_rows(table, own, parts), wide, files)
         if new:
             self.versions.switch(version, replaced(segments, new))
         return len(new)
 
-    def _bytes(self, table: str, segments: list[Segment]) -> dict[str | None, int]:
-        """Bytes of files by batch (run/batch) and by folder of a segment; files without rows count nothing."""
+    def _sizes(self, table: str, segments: list[Segment]) -> dict[str | None, tuple[int, int]]:
+        """Bytes and rows of files by batch (run/batch) and by folder of a segment; files without rows count nothing."""
         scans = [self._loaded(table)] if self._batches(table) else []
         if any(s.folder for s in segments):
             scans.append(self.spark.read.schema(self._with_batch(table)).parquet(*sorted(s.folder for s in segments if s.folder)))
-        files = [r for scan in scans for r in scan.select("_metadata.file_path", "_metadata.file_size").distinct().collect()]
-        found: dict[str | None, int] = {}
+        files = [r for scan in scans for r in scan.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path", "file_size").agg(F.count(F.lit(1))).collect()]
+        found: dict[str | None, tuple[int, int]] = {}
         folders = {s.folder.rsplit("/_versions/", 1)[1]: s.folder for s in segments if s.folder}
-        for path, size in files:
+        for path, size, rows in files:
             m = re.search(r"/run=([^/]+)/batch=(\d+)/", path)
             name = f"{m[1]}/{m[2]}" if m else folders.get(path.rsplit("/_versions/", 1)[-1].rsplit("/", 1)[0])
-            found[name] = found.get(name, 0) + size
+            before = found.get(name, (0, 0))
+            found[name] = (before[0] + size, before[1] + rows)
         return found
 
     def tidy(self) -> int:

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from larderlens.functions import skew
 from larderlens.plans import bindings, queries
+from larderlens.sources import tables as stored
+from larderlens.sources.tables import Catalogue
 
 
 @pytest.fixture(scope="module")
@@ -48,3 +50,18 @@ def test_keys_are_counted_where_they_are_dealt(spark, star):
     """No grouping by URL or by recipe is left to shuffles whose tasks grow with the table."""
     plan = skew.deal(bindings.recipes(spark, star).select("url"), "url").groupBy("url").count()._jdf.queryExecution().toString()
     assert "ENSURE_REQUIREMENTS" not in plan and "REPARTITION_BY_NUM" in plan
+
+
+def test_a_task_of_compaction_sorts_no_more_rows_than_a_file_has(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stored, "FILE_ROWS", 100)
+    tables = Catalogue(spark, str(tmp_path / "catalogue"))
+    rows = spark.range(1_000).select(F.col("id").alias("recipe_id"), F.lit(1).alias("allergen_id"))
+    for batch in range(2):
+        part = rows.where(F.col("recipe_id") % 2 == batch)
+        tables.import_rows("recipe_allergens", part.withColumns({"run": F.lit("loads"), "batch": F.lit(batch)}))
+    assert tables.compact() == 1
+    folder = tables.versions.current()[1][0].folder
+    assert len(spark.read.parquet(folder).inputFiles()) == 10
+    assert tables.read("recipe_allergens").count() == 1_000
+    tables.delete_recipes(spark.createDataFrame([(n,) for n in range(0, 1_000, 2)], "id long"))
+    assert sorted(r.recipe_id for r in tables.read("recipe_allergens").collect()) == list(range(1, 1_000, 2))
