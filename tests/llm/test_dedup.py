@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import WHITE, Union, brute_classes, brute_lines, brute_substrings, digest, later_lines, line_places
 
@@ -278,6 +279,42 @@ def test_a_typo_at_the_start_is_found(spark):
     assert {r.doc_id: r.dropped for r in line_dedup.dropped_lines(docs).collect()} == {1: [], 2: [0]}
 
 
+def test_tasks_hand_on_the_pairs_of_a_bucket_that_pass_and_members_of_crowded_ones(monkeypatch):
+    draw = random.Random(17)
+    sims = [draw.getrandbits(64) - 2**63 for _ in range(90)]
+    # Buckets of 3, 40 and 47 unlike lines; in the first two, one has a near SimHash, in the last one all have.
+    rows = [(b, sims[n], n, 5) for b, lo, hi in ((1, 0, 3), (2, 3, 43), (3, 43, 90)) for n in range(lo, hi)]
+    rows += [(1, sims[0] ^ 0xFFFF, 100, 6), (1, sims[1] ^ 1, 101, 7), (2, sims[9] ^ 7, 102, 4), (3, sims[50], 50, 5)]
+    rows += [(4, 1 << n % 16, 200 + n, 5) for n in range(40)]
+    draw.shuffle(rows)
+    batches = [pa.table(dict(zip(("bucket", "sim", "whole", "band"), map(list, zip(*rows, strict=True)), strict=True))).to_batches()[0]]
+    told = [r for batch in line_dedup._candidates(iter(batches)) for r in batch.to_pylist()]
+    want = {frozenset((sims[0], sims[0] ^ 0xFFFF)), frozenset((sims[9], sims[9] ^ 7))}
+    held = [r for r in told if not r["whole"] >= 200]
+    assert {frozenset((r["sim"], r["sim_b"])) for r in held} == want and len(held) == 2
+    # All of the last bucket are alike: 780 pairs, more than CROWDED a member.
+    assert Counter(r["bucket"] for r in told) == {None: 2, 4: 40}
+    monkeypatch.setattr(line_dedup, "CROWD", 30)
+    told = [r for batch in line_dedup._candidates(iter(batches)) for r in batch.to_pylist()]
+    assert Counter(r["bucket"] for r in told) == {None: 1, 2: 41, 3: 47, 4: 40}
+
+
+def test_buckets_of_unlike_lines_need_no_pivots(spark, monkeypatch):
+    # Every bucket that lines shared was worked through with pivots, and each that stayed open was a task's group with its texts.
+    draw = random.Random(18)
+    fresh = lambda n: " ".join("".join(draw.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(n))
+    shared = fresh(30)
+    lines = [f"{fresh(60)} {shared} {fresh(60)}" for _ in range(12)] + [fresh(40)] * 2
+    lines.append(lines[3].replace("a", "b", 2))
+
+    def none(*args):
+        raise AssertionError("no bucket is crowded")
+
+    monkeypatch.setattr(line_dedup, "linked_groups", none)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert {r.doc_id for r in line_dedup.dropped_lines(docs).collect() if r.n_dropped} == {13, 14}
+
+
 def test_lines_of_odd_documents(odd, none):
     told = line_dedup.dropped_lines(odd).collect()
     assert len(told) == odd.count()
