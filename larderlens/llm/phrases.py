@@ -33,7 +33,9 @@ COVERED_PERCENT = 50
 TOP = 2000
 UNKNOWN = "und"
 # Text of a shard, and what a task gathers of all languages before it makes shards of them.
-SHARD_BYTES, GATHERED_BYTES = 4 << 20, 8 << 20
+SHARD_BYTES, GATHERED_BYTES = 2 << 20, 4 << 20
+# Rows that a task hands on at once: both sides hold them.
+SENT_ROWS = 1 << 15
 # Text that is cut into words at once.
 CUT_BYTES = 1 << 20
 # Bits of a filter: 2^27 for pairs and 2^25 for words, 20 MB in all whatever the corpus.
@@ -84,7 +86,7 @@ class FMIndex:
         packed = (self.bwt.astype(np.uint64) << np.uint64(32)) | np.arange(len(text), dtype=np.uint64)
         packed.sort()
         # Places by symbol, then order: that of rank r is where LF leads to r.
-        self.by_symbol = (packed & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        self.by_symbol = (packed & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
 class Intervals:
@@ -115,8 +117,8 @@ class BidirectionalIndex:
         """All extensions that occur of `patterns` (disjoint intervals) by one symbol to the left or to the right."""
         index = self.forward if left else self.reverse
         low, other = (patterns.low, patterns.reverse_low) if left else (patterns.reverse_low, patterns.low)
-        of = np.full(self.length, -1, dtype=np.int64)
-        of[ranges(low, patterns.size)] = np.repeat(np.arange(len(low)), patterns.size)
+        of = np.full(self.length, -1, dtype=np.int32)
+        of[ranges(low, patterns.size)] = np.repeat(np.arange(len(low), dtype=np.int32), patterns.size)
         held = of[index.by_symbol]
         rank = np.flatnonzero(held >= 0)
         parent, symbol = held[rank], index.bwt[index.by_symbol[rank]]
@@ -238,8 +240,9 @@ def numbered(words: Shard, lang: str) -> tuple[np.ndarray, np.ndarray, np.ndarra
     salt = np.frombuffer(hashlib.blake2b(lang.encode(), digest_size=8).digest(), dtype=np.uint64)
     hashes = mixed(hashes ^ salt).view(np.int64)
     gaps = np.flatnonzero(np.diff(words.pieces))
-    text = np.insert(ids.astype(np.int64) + 1, gaps + 1, 0)
-    return np.concatenate([[0], text, [0]]), hashes, first
+    ends = np.zeros(1, dtype=np.int32)
+    text = np.insert(ids.astype(np.int32) + 1, gaps + 1, 0)
+    return np.concatenate([ends, text, ends]), hashes, first
 
 
 def _counts(lang=None, word=None, h1=None, h2=None, h3=None, n=None) -> pa.RecordBatch:
@@ -249,13 +252,23 @@ def _counts(lang=None, word=None, h1=None, h2=None, h3=None, n=None) -> pa.Recor
     return pa.RecordBatch.from_arrays(arrays, names=["lang", "word", "h1", "h2", "h3", "n"])
 
 
+def _sent(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a shard, some at a time; what they took is free for the next shard after that."""
+    for at in range(0, len(batch), SENT_ROWS):
+        yield batch.slice(at, SENT_ROWS)
+    del batch
+    pa.default_memory_pool().release_unused()
+
+
 def pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """h1, h2, n: the pairs of each shard."""
     for lang, words in shards(batches):
         text, hashes, _ = numbered(words, lang)
         index = BidirectionalIndex(text, len(hashes) + 1, 0, 2)
         pairs = index.extended(index.words(), left=False)
-        yield pa.RecordBatch.from_arrays([pa.array(hashes[w - 1]) for w in pairs.words] + [pa.array(pairs.size)], names=["h1", "h2", "n"])
+        columns = [pa.array(hashes[w - 1]) for w in pairs.words] + [pa.array(pairs.size)]
+        del words, text, hashes, index, pairs
+        yield from _sent(pa.RecordBatch.from_arrays(columns, names=["h1", "h2", "n"]))
 
 
 def word_and_triple_batches(batches: Iterator[pa.RecordBatch], pair_filter: BitFilter, word_filter: BitFilter) -> Iterator[pa.RecordBatch]:
@@ -264,17 +277,22 @@ def word_and_triple_batches(batches: Iterator[pa.RecordBatch], pair_filter: BitF
         text, hashes, first = numbered(words, lang)
         index = BidirectionalIndex(text, len(hashes) + 1, 3, 2)
         singles = index.words()
-        yield _counts([lang], n=[len(words.starts)])
         singles = singles.where(word_filter.passes(hashes[singles.words[0] - 1]))
         at = first[singles.words[0] - 1]
         held = bytes(words.data)
         spelled = [held[a:b].decode(errors="replace") for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)]
-        yield _counts([lang] * len(spelled), spelled, hashes[singles.words[0] - 1], n=singles.size)
+        total, held = len(words.starts), None
+        del words, first, at
+        yield _counts([lang], n=[total])
+        yield from _sent(_counts([lang] * len(spelled), spelled, hashes[singles.words[0] - 1], n=singles.size))
+        del spelled
         pairs = index.extended(singles, left=False)
         pairs = pairs.where(pair_filter.passes(*(hashes[w - 1] for w in pairs.words)))
         triples = index.extended(pairs, left=True)
         triples = triples.where(pair_filter.passes(*(hashes[w - 1] for w in triples.words[:2])))
-        yield _counts(None, None, *(hashes[w - 1] for w in triples.words), triples.size)
+        counts = _counts(None, None, *(hashes[w - 1] for w in triples.words), triples.size)
+        del text, hashes, index, singles, pairs, triples
+        yield from _sent(counts)
 
 
 def mine(docs: DataFrame, min_count: int = MIN_COUNT, covered_percent: int = COVERED_PERCENT, top: int = TOP, bits: tuple[int, int] = (PAIR_BITS, WORD_BITS)) -> DataFrame:

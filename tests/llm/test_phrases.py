@@ -92,6 +92,18 @@ def test_equals_brute_force_also_with_many_small_shards(spark, documents, monkey
     assert told(documents.repartition(13)) == want
 
 
+def test_a_task_sends_few_rows_at_a_time(monkeypatch):
+    # A shard's counts were one batch, however many they were.
+    texts = [" ".join(f"w{n * 7919 % 5003}" for n in range(start, start + 2500)) for start in range(0, 10000, 2500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 4), pa.array(texts)], names=["lang", "text"])
+    monkeypatch.setattr(phrases, "SENT_ROWS", 1000)
+    sent = list(phrases.pair_batches(iter([batch])))
+    every = BitFilter(8, b"\xff" * 32)
+    more = list(phrases.word_and_triple_batches(iter([batch]), every, every))
+    assert max(map(len, sent + more)) <= 1000 and sum(b.column("n").to_numpy().sum() for b in sent) == 4 * 2499
+    assert sum(len(b) for b in more) > 2 * 5000 and more[0].to_pylist()[0]["n"] == 10000
+
+
 @pytest.mark.parametrize("low", [1, 3])
 def test_odd_documents(odd, none, low):
     texts = [(r.lang, r.text) for r in odd.select("lang", "text").collect()] + [(None, "A b c. a B c, \x0b a b\x0cc"), ("und", "a b"), ("en", None)]
