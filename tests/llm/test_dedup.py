@@ -315,6 +315,50 @@ def test_buckets_of_unlike_lines_need_no_pivots(spark, monkeypatch):
     assert {r.doc_id for r in line_dedup.dropped_lines(docs).collect() if r.n_dropped} == {13, 14}
 
 
+def test_many_pairs_are_told_as_one_by_one(monkeypatch):
+    # Pairs were compared one by one, in about a millisecond each.
+    draw = random.Random(19)
+    pairs = []
+    for letters, longest in (("ab ", 40), ("abcdefgh ", 700), ("".join(map(chr, range(300, 700))), 200), ("xyz\U0001f600", 1500)):
+        for _ in range(60):
+            line = "".join(draw.choice(letters) for _ in range(draw.randint(1, longest)))
+            other = list(line)
+            for _ in range(draw.randint(0, len(line) * 9 // 20)):
+                at = draw.randrange(len(other) + 1)
+                other[at : at + draw.randint(0, 1)] = draw.choice([[], [draw.choice(letters)]])
+            pairs.append((line, "".join(other)))
+    pairs += [("", "a"), ("a", "a"), ("abcd", "abcde"), ("abcde" * 900, "abcde" * 899 + "x"), ("ab" * 3000, "ba" * 3000)]
+    want = [line_dedup.is_near(*pair) for pair in pairs]
+    assert line_dedup.near_lines(*zip(*pairs, strict=True)).tolist() == want and 60 < sum(want) < 230
+    monkeypatch.setattr(line_dedup, "STEP_CELLS", 100)
+    assert line_dedup.near_lines(*zip(*pairs, strict=True)).tolist() == want
+
+
+def test_lines_that_others_have_linked_are_not_compared(monkeypatch):
+    counts, near_lines = [], line_dedup.near_lines
+    monkeypatch.setattr(line_dedup, "near_lines", lambda a, b: counts.append(len(a)) or near_lines(a, b))
+    line = "the quick brown fox jumps over the lazy dog near the old mill and nobody saw it"
+    lines = [f"{line} {chr(97 + n // 26)}{chr(97 + n % 26)}" for n in range(150)]
+    assert len(line_dedup.linked_lines(list(range(150)), list(range(150)), lines)) == 149 and sum(counts) == 149
+    # Lines that share a smaller bucket are compared there.
+    known = line_dedup._told_before(["", "5,7", "7", "-3", "5,-3"])
+    assert {(i, j) for i, j in zip(*np.nonzero(np.triu(known, 1)), strict=True)} == {(1, 2), (1, 4), (3, 4)}
+
+
+def test_crowded_buckets_of_a_block_need_no_pivots(spark, monkeypatch):
+    draw = random.Random(20)
+    fresh = lambda n: " ".join("".join(draw.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(n))
+    base = fresh(60)
+    lines = [f"{base} {fresh(1)}" for _ in range(45)] + [fresh(60)]
+
+    def none(*args):
+        raise AssertionError("no bucket is too large for blocks")
+
+    monkeypatch.setattr(line_dedup, "linked_groups", none)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert {r.doc_id for r in line_dedup.dropped_lines(docs).collect() if r.n_dropped} == set(range(1, 45))
+
+
 def test_lines_of_odd_documents(odd, none):
     told = line_dedup.dropped_lines(odd).collect()
     assert len(told) == odd.count()
