@@ -7,9 +7,10 @@ node is met once.
 
 Equal conversations count as one from the start. Most of the trie is narrow: below a certain depth, a node has few rows, or
 one conversation with its copies. All nodes below such a cut are peeled in one task, all its subtrees at once over flat arrays. Above
-the cuts lie the nodes with more than CUT_ROWS rows of different conversations below them; these are peeled depth by depth with one
-grouping of the whole table each, folded before the shuffle, so a first turn that a third of all conversations share is
-no burden. Only depths at which that many rows still go on together cost such a step.
+the cuts lie the nodes with more than CUT_ROWS rows of different conversations below them, the trunk. What comes up to it is added up
+for each node by one grouping, folded before the shuffle, so a first turn that a third of all conversations share is
+no burden. Then the trunk is peeled in bands of depths with at most BATCH_ROWS nodes in all, the deepest first, each in one task; a depth that
+has more by itself is a band of its own, whose nodes are dealt to tasks. So the steps grow with the nodes of the trunk, not with its depth.
 
 Turns are ordered by turn (null first), then by digest. A null role or text is empty. Rows without a conv_id belong to no
 conversation and are left out; repeated rows are turns of their own. A conversation's digests pass through one
@@ -39,6 +40,7 @@ ID_SPAN = 4096
 BATCH_ROWS = 100_000
 
 ROOT = b""
+MOST_ID = (1 << 63) - 1
 NO_ENDS = hashlib.sha256(b"").hexdigest()
 
 PREFIXES = "conv_id long, depth long, digest binary, parent binary, bytes long, last boolean"
@@ -144,7 +146,7 @@ def endings(prefixes: DataFrame) -> DataFrame:
 
 def peel(table: pa.Table) -> pa.RecordBatch:
     """All nodes of the subtrees in `table` (prefix rows of different conversations from their cut down, those that end
-    with n and ends_sha256).
+    with n and ends_sha256; or rows of nodes from their cut down, with n and what has come up to them from below).
 
     From the greatest depth to the least: conversations that end at a depth and nodes that came up to it are one by their
     digest; each adds what it holds to the node that is left when its last turn is gone.
@@ -157,10 +159,14 @@ def peel(table: pa.Table) -> pa.RecordBatch:
     parent[rows], depth[rows], bytes_[rows] = ups, column("depth"), column("bytes")
     top = np.zeros(size, dtype=bool)
     top[rows[column("depth") == column("cut_depth")]] = True
-    convs, members, children, leaves, saved = np.full(size, np.iinfo(np.int64).max), *(np.zeros(size, dtype=np.int64) for _ in range(4))
-    ended = np.flatnonzero(table["n"].is_valid().to_numpy())
-    members[rows[ended]] = table["n"].take(pa.array(ended)).to_numpy()
-    convs[rows[ended]] = column("conv_id")[ended]
+    convs, members, children, leaves, saved = np.full(size, MOST_ID), *(np.zeros(size, dtype=np.int64) for _ in range(4))
+    held = np.flatnonzero(table["n"].is_valid().to_numpy())
+    members[rows[held]] = table["n"].take(pa.array(held)).to_numpy()
+    convs[rows[held]] = column("conv_id")[held]
+    if "n_children" in table.column_names:
+        for into, name in ((children, "n_children"), (leaves, "n_leaves"), (saved, "saved_tokens")):
+            into[rows] = column(name)
+    ended = np.flatnonzero(table["ends_sha256"].is_valid().to_numpy())
     nodes = np.flatnonzero(depth >= 0)
     nodes = nodes[np.argsort(-depth[nodes], kind="stable")]
     edges = np.flatnonzero(np.diff(depth[nodes], prepend=-2, append=-2))
@@ -187,6 +193,25 @@ def peel(table: pa.Table) -> pa.RecordBatch:
     )
 
 
+def peel_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`peel` over all rows of a task."""
+    if held := [batch for batch in batches if len(batch)]:
+        yield peel(pa.Table.from_batches(held).combine_chunks())
+
+
+def bands(counts: list[tuple[int, int]], most: int) -> Iterator[tuple[int, int, int]]:
+    """Runs of depths, the deepest first: least and greatest depth, nodes. `counts` are depths, from the greatest down to 0, and nodes of each; a run
+    has at most `most` nodes, or one depth."""
+    high, held = None, 0
+    for depth, n in counts:
+        if high is not None and held + n > most:
+            yield depth + 1, high, held
+            high, held = None, 0
+        high, held = depth if high is None else high, held + n
+    if high is not None:
+        yield 0, high, held
+
+
 def peel_stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """`peel` over whole subtrees, whose rows come one after the other, many subtrees at once."""
     held: list[pa.RecordBatch] = []
@@ -210,15 +235,15 @@ def peel_stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield peel(pa.Table.from_batches(held).combine_chunks())
 
 
-def trie(conversations: DataFrame, cut_rows: int = CUT_ROWS) -> DataFrame:
+def trie(conversations: DataFrame, cut_rows: int = CUT_ROWS, band_rows: int = BATCH_ROWS) -> DataFrame:
     """All nodes of the rebuilt conversations (conv_id, turn, role, text): conv_id (smallest member), depth,
     parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256. No conversations, no nodes."""
-    placed = rebuilt(turn_rows(conversations)).repartition("base").sortWithinPartitions("conv_id", "place")
+    placed = rebuilt(settle(turn_rows(conversations), "turns")).repartition("base").sortWithinPartitions("conv_id", "place")
     prefixes = settle(placed.select("conv_id", "place", "turn_digest", "bytes").mapInArrow(prefix_stream, PREFIXES), "prefixes")
-    return peeled(prefixes, settle(endings(prefixes), "endings"), cut_rows)
+    return peeled(prefixes, settle(endings(prefixes), "endings"), cut_rows, band_rows)
 
 
-def peeled(prefixes: DataFrame, ends: DataFrame, cut_rows: int) -> DataFrame:
+def peeled(prefixes: DataFrame, ends: DataFrame, cut_rows: int, band_rows: int) -> DataFrame:
     """The nodes, from prefix rows and the different conversations among them."""
     told = ends.select("conv_id", F.col("depth").alias("length"), "n", "ends_sha256")
     own = settle(prefixes.drop("last").join(told, "conv_id"), "different-conversations")
@@ -238,33 +263,38 @@ def peeled(prefixes: DataFrame, ends: DataFrame, cut_rows: int) -> DataFrame:
         "cut_digest", "cut_depth", "conv_id", "depth", "digest", "parent", "bytes",
         F.when(ended, F.col("n")).alias("n"), F.when(ended, F.col("ends_sha256")).alias("ends_sha256"),
     )
-    nodes = settle(rows.repartition("cut_digest").sortWithinPartitions("cut_digest").mapInArrow(peel_stream, NODES), "nodes")
-
-    # Above the cuts: one grouping for each depth.
-    trunk = settle(upper.groupBy("digest", "depth").agg(F.any_value("parent").alias("parent"), F.any_value("bytes").alias("bytes")), "trunk")
-    deepest = trunk.agg(F.max("depth")).first()[0]
-    found = nodes
-    for depth in range(-1 if deepest is None else deepest, -1, -1):
-        at = trunk.where(F.col("depth") == depth)
-        stripped = found.where(F.col("cut") & (F.col("depth") == depth + 1)).select(
-            F.col("parent").alias("digest"), "conv_id", "n_convs", F.lit(1).alias("n_children"), "n_leaves", "saved_tokens"
-        )
-        ending = ends.where(F.col("depth") == depth).join(at.select("digest"), "digest", "left_semi").select(
-            "digest", "conv_id", F.col("n").alias("n_convs"), F.lit(0).alias("n_children"), F.lit(0).alias("n_leaves"), F.lit(0).alias("saved_tokens"), "ends_sha256"
-        )
-        sums = [F.sum(c).cast("long").alias(c) for c in ("n_convs", "n_children", "n_leaves", "saved_tokens")]
-        merged = stripped.unionByName(ending, allowMissingColumns=True).groupBy("digest").agg(
-            F.min("conv_id").alias("conv_id"), *sums, F.max("ends_sha256").alias("ends_sha256")
+    found = settle(rows.repartition("cut_digest").sortWithinPartitions("cut_digest").mapInArrow(peel_stream, NODES), "nodes")
+
+    # Above the cuts: what comes up from below, and from each band to the next, is added up for each node.
+    def come_up(nodes: DataFrame) -> DataFrame:
+        return nodes.where("cut AND parent IS NOT NULL").select(
+            F.col("parent").alias("digest"), "conv_id", F.col("n_convs").alias("n"), F.lit(1).cast("long").alias("n_children"), "n_leaves", "saved_tokens"
         )
-        made = merged.join(at, "digest").withColumns({
-            "saved_tokens": F.col("saved_tokens") + (F.col("n_convs") - 1) * F.col("bytes"),
-            "ends_sha256": F.coalesce("ends_sha256", F.lit(NO_ENDS)), "cut": F.lit(True), "parent_conv_id": F.lit(None).cast("long"),
-        })
-        found = found.unionByName(settle(made.select(*found.columns), "trunk-nodes"))
+
+    def added(parts: DataFrame) -> DataFrame:
+        sums = [F.sum(c).cast("long").alias(c) for c in ("n", "n_children", "n_leaves", "saved_tokens")]
+        once = [F.max(c).alias(c) for c in ("ends_sha256", "parent", "depth", "bytes") if c in parts.columns]
+        return parts.groupBy("digest").agg(F.min("conv_id").alias("conv_id"), *sums, *once)
+
+    trunk = upper.groupBy("digest", "depth").agg(F.any_value("parent").alias("parent"), F.any_value("bytes").alias("bytes"))
+    none = [F.lit(0).cast("long").alias(c) for c in ("n_children", "n_leaves", "saved_tokens")]
+    ending = ends.join(heavy.select("digest"), "digest", "left_semi").select("digest", "conv_id", "n", *none, "ends_sha256")
+    trunk = settle(trunk.join(added(come_up(found).unionByName(ending, allowMissingColumns=True)), "digest", "left"), "trunk")
+    counts = trunk.groupBy("depth").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("depth").desc()).collect()
+    last = found.limit(0)
+    for low_depth, high_depth, n in bands([tuple(row) for row in counts], band_rows):
+        facts = trunk.where(F.col("depth").between(low_depth, high_depth)).fillna(0, ["n", "n_children", "n_leaves", "saved_tokens"])
+        band = added(facts.unionByName(come_up(last), allowMissingColumns=True)).withColumn("cut_depth", F.lit(low_depth).cast("long"))
+        # At least one row comes up to each node, so that its smallest conversation is known when it is met.
+        band = band.withColumn("conv_id", F.coalesce("conv_id", F.lit(MOST_ID).cast("long")))
+        tasks = -(-n // band_rows)
+        last = settle((band.repartition(tasks, "digest") if tasks > 1 else band.coalesce(1)).mapInArrow(peel_whole, NODES), "trunk-nodes")
+        found = found.unionByName(last)
+    trunk = trunk.select("digest")
 
     inner = found.where(~F.col("cut") | F.col("parent").isNull())
     outer = found.where(F.col("cut") & F.col("parent").isNotNull()).drop("parent_conv_id")
-    parents = found.join(trunk.select("digest"), "digest", "left_semi").select(F.col("digest").alias("parent"), F.col("conv_id").alias("parent_conv_id"), F.col("n_children").alias("weight"))
+    parents = found.join(trunk, "digest", "left_semi").select(F.col("digest").alias("parent"), F.col("conv_id").alias("parent_conv_id"), F.col("n_children").alias("weight"))
     under = attach_by_key(outer, settle(parents, "trunk-parents"), "parent", "weight")
     names: list[str | Column] = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
     return inner.select(*names).unionByName(under.select(*names))

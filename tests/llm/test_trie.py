@@ -7,7 +7,9 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from larderlens.llm.conversation_trie import trie
+from larderlens.llm import conversation_trie
+from larderlens.llm.common import settle
+from larderlens.llm.conversation_trie import bands, trie
 
 COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
 
@@ -66,6 +68,26 @@ def test_equals_brute_force_wherever_it_is_cut(grown_together, cut_rows):
     assert told(grown_together, cut_rows=cut_rows) == brute_trie(plain(grown_together))
 
 
+@pytest.mark.parametrize("band_rows", [40, 2])
+def test_equals_brute_force_with_every_way_of_banding(grown_together, band_rows):
+    assert told(grown_together, cut_rows=20, band_rows=band_rows) == brute_trie(plain(grown_together))
+
+
+def test_bands_cover_all_depths():
+    assert list(bands([], 5)) == []
+    assert list(bands([(0, 9)], 5)) == [(0, 0, 9)]
+    assert list(bands([(4, 1), (3, 2), (2, 3), (1, 7), (0, 1)], 5)) == [(3, 4, 3), (2, 2, 3), (1, 1, 7), (0, 0, 1)]
+
+
+def test_a_long_shared_beginning_takes_one_step(spark, monkeypatch):
+    rows = [(5 * n, t, "user", f"turn {t}" if t < 50 + n % 9 else f"{n} {t}") for n in range(1, 41) for t in range(60)]
+    conversations = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    names = []
+    monkeypatch.setattr(conversation_trie, "settle", lambda frame, name: (names.append(name), settle(frame, name))[1])
+    assert told(conversations, cut_rows=20) == brute_trie(rows)
+    assert names.count("trunk-nodes") == 1
+
+
 def test_equals_brute_force_on_conversations(spark, sf):
     conversations = spark.read.parquet(f"{sf}/conversations.parquet")
     assert told(conversations) == brute_trie(plain(conversations))
