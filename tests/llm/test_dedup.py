@@ -69,6 +69,19 @@ def test_components_of_random_graphs(spark):
         assert told == {x: union.find(x) for x in touched}
 
 
+def test_components_of_few_edges_take_one_step(spark, monkeypatch):
+    names, settle = [], groups.settle
+    monkeypatch.setattr(groups, "settle", lambda frame, name: (names.append(name), settle(frame, name))[1])
+    edges = [(n, n + 1) for n in range(300)] + [(1000 + n, 1000) for n in range(1, 200)] + [(-5, 7000), (7000, -5), (9, 9)]
+    rows = spark.createDataFrame(edges, "a long, b long")
+    one = {(r.node, r.group) for r in groups.components(rows).collect()}
+    assert names == ["edges", "components"]
+    monkeypatch.setattr(groups, "FEW_EDGES", 0)
+    assert {(r.node, r.group) for r in groups.components(rows).collect()} == one and len(names) > 6
+    assert one == {(n, 0) for n in range(301)} | {(n, 1000) for n in range(1000, 1200)} | {(-5, -5), (7000, -5)}
+    assert groups.components(rows.limit(0)).collect() == []
+
+
 def run_groups(spark, members, near):
     def compare(nodes, own, contents):
         assert contents == [str(n) for n in nodes]
@@ -334,6 +347,22 @@ def test_many_pairs_are_told_as_one_by_one(monkeypatch):
     assert line_dedup.near_lines(*zip(*pairs, strict=True)).tolist() == want
 
 
+@pytest.mark.parametrize(("steps", "share"), [(1, 1.0), (2, 0.9), (7, 0.5)])
+def test_pairs_that_are_too_far_apart_are_left_early(monkeypatch, steps, share):
+    monkeypatch.setattr(line_dedup, "LEAVE_STEPS", steps)
+    monkeypatch.setattr(line_dedup, "LEAVE_SHARE", share)
+    seen, least_edits = [], line_dedup._least_edits
+    monkeypatch.setattr(line_dedup, "_least_edits", lambda *how: (seen.append(least_edits(*how)), seen[-1])[1])
+    draw, pairs = random.Random(steps), []
+    for n in range(400):
+        line = "".join(draw.choices("abcde ", k=draw.randint(1, 120)))
+        other = "".join(c if draw.random() < 0.92 - 0.2 * (n % 3) else draw.choice(["", "x", c + "y"]) for c in line)
+        pairs.append((line, other))
+    want = [line_dedup.is_near(a, b) for a, b in pairs]
+    assert line_dedup.near_lines(*zip(*pairs, strict=True)).tolist() == want and 100 < sum(want) < 350
+    assert seen
+
+
 def test_lines_that_others_have_linked_are_not_compared(monkeypatch):
     counts, near_lines = [], line_dedup.near_lines
     monkeypatch.setattr(line_dedup, "near_lines", lambda a, b: counts.append(len(a)) or near_lines(a, b))
